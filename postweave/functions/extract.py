@@ -55,6 +55,7 @@ DESCRIPTION_LINES = 100
 DESCRIPTION_CHARS = 2_000
 
 LINEWISE, ANYWHERE = "imdU", "idU"
+_SEP = "\u0001"
 
 
 def _first_group(text: Column, pattern: str, flags: str) -> Column:
@@ -98,7 +99,11 @@ def is_remote(text: Column) -> Column:
 
 
 def skills(text: Column, names: Sequence[str] = SKILLS, whole_words: bool = False) -> Column:
-    """Skills named in the text, in the order of `names`; substring test unless whole_words."""
+    """Skills named in the text, in the order of `names`; substring test unless whole_words.
+
+    Hits are joined and split again because concat_ws drops nulls inside generated code, where
+    the lower-cased text is made once; array_compact would leave it and lower-case per name.
+    """
     low = F.lower(text)
     if whole_words:
         def hit(n: str) -> Column:
@@ -106,7 +111,8 @@ def skills(text: Column, names: Sequence[str] = SKILLS, whole_words: bool = Fals
     else:
         def hit(n: str) -> Column:
             return low.contains(n.lower())
-    return F.array_compact(F.array(*(F.when(hit(n), F.lit(n)) for n in names)))
+    joined = F.concat_ws(_SEP, *(F.when(hit(n), F.lit(n)) for n in names))
+    return F.array_remove(F.split(joined, _SEP), "")
 
 
 def _amount(digits: Column) -> Column:
@@ -118,31 +124,30 @@ def _amount(digits: Column) -> Column:
     return F.when((n > 0) & (n < SALARY_CEILING), n.cast("int"))
 
 
+# Cheap test that any salary match implies; spares most texts the two full scans.
+_RANGE_HINT = java_pattern(r"[\d,k]\s*(?:-|–|to)", ANYWHERE)
+
+
 def salary(text: Column) -> Column:
     """First match, over all matches of the first then the second pattern, with two sound numbers."""
     def ranges(pattern: str) -> Column:
         jp = java_pattern(pattern, ANYWHERE)
 
         def bounds(m: Column) -> Column:
+            a = _amount(F.regexp_extract(m, jp, 1))
+            b = _amount(F.regexp_extract(m, jp, 2))
+            sound = a.isNotNull() & b.isNotNull()
             return F.struct(
-                _amount(F.regexp_extract(m, jp, 1)).alias("a"),
-                _amount(F.regexp_extract(m, jp, 2)).alias("b"),
+                F.when(sound, F.least(a, b)).alias("min"),
+                F.when(sound, F.greatest(a, b)).alias("max"),
+                F.lit(S.DEFAULT_CURRENCY).alias("currency"),
+                F.lit(S.DEFAULT_PERIOD).alias("period"),
             )
 
         hits = F.transform(F.regexp_extract_all(text, F.lit(jp), F.lit(0)), bounds)
-        sound = F.filter(hits, lambda r: r["a"].isNotNull() & r["b"].isNotNull())
-        return F.try_element_at(sound, F.lit(1))
-
-    pick = F.coalesce(*(ranges(p) for p in SALARY_PATTERNS))
-    return F.when(
-        pick.isNotNull(),
-        F.struct(
-            F.least(pick["a"], pick["b"]).alias("min"),
-            F.greatest(pick["a"], pick["b"]).alias("max"),
-            F.lit(S.DEFAULT_CURRENCY).alias("currency"),
-            F.lit(S.DEFAULT_PERIOD).alias("period"),
-        ),
-    )
+        return F.try_element_at(F.filter(hits, lambda r: r["min"].isNotNull()), F.lit(1))
+
+    return F.when(text.rlike(_RANGE_HINT), F.coalesce(*(ranges(p) for p in SALARY_PATTERNS)))
 
 
 _IN_LINE = r"[\s\x1c-\x1f&&[^\n]]"
