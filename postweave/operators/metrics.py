@@ -20,34 +20,41 @@ def _count(c: Column) -> Column:
 def run_summary(records: DataFrame, runs: DataFrame) -> DataFrame:
     """One row per run.
 
-    records: run_id, source, duplicate, parsed, outcome (validated/flagged/error), delivered; one row
-    per arriving record. runs: run_id, started_at, finished_at. Duplicates do not count as fetched.
+    records: run_id, source, fetched, duplicate, parsed, outcome (validated/flagged/error), delivered;
+    one row per arriving record. A row dropped while fetching is a duplicate only, one found in the
+    store is both fetched and a duplicate. runs: run_id, started_at, finished_at.
     """
-    fresh = ~F.coalesce("duplicate", F.lit(False))
     per_source = records.groupBy("run_id", "source").agg(
-        _count(fresh).alias("fetched"),
+        _count(F.col("fetched")).alias("fetched"),
         _count(F.col("parsed")).alias("parsed"),
         _count(F.col("outcome") == "validated").alias("validated"),
         _count(F.col("outcome") == "flagged").alias("flagged"),
         (_count(F.col("outcome") == "error") + _count(~F.col("delivered"))).alias("errors"),
         _count(F.col("duplicate")).alias("duplicates"),
     )
-    counts = ("fetched", "parsed", "validated", "flagged", "errors", "duplicates")
-    entry = F.when(F.col("fetched") > 0, F.struct("source", "fetched"))
-    per_run = per_source.groupBy("run_id").agg(
-        *(F.sum(c).alias(c) for c in counts),
+    return summarise_counts(per_source, runs)
+
+
+COUNTS = ("fetched", "parsed", "validated", "flagged", "errors", "duplicates")
+
+
+def summarise_counts(per_source: DataFrame, runs: DataFrame) -> DataFrame:
+    """Run rows with the sums of partial counts (run_id, source, COUNTS); a null source counts for the run only."""
+    by_source = per_source.groupBy("run_id", "source").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    entry = F.when(F.col("source").isNotNull() & (F.col("fetched") > 0), F.struct("source", "fetched"))
+    per_run = by_source.groupBy("run_id").agg(
+        *(F.sum(c).alias(c) for c in COUNTS),
         # At most one entry per source domain value.
         F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("per_source"),
     )
     seconds = F.round((F.unix_micros("finished_at") - F.unix_micros("started_at")) / 1e6, 2)
-    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in counts]
-    return (
-        runs.join(per_run, "run_id", "left")
-        .select("run_id", "started_at", "finished_at", *zero, "per_source", seconds.alias("duration_seconds"))
-        .withColumn("jobs_per_second", F.when(
-            F.col("duration_seconds") > 0, F.round(F.col("parsed") / F.col("duration_seconds"), 2)
-        ).otherwise(0.0))
+    more = [c for c in runs.columns if c not in ("run_id", "started_at", "finished_at")]
+    joined = runs.join(per_run, "run_id", "left").select(
+        "run_id", "started_at", "finished_at", *more,
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS), "per_source", seconds.alias("duration_seconds"),
     )
+    rate = F.round(F.col("parsed") / F.col("duration_seconds"), 2)
+    return joined.withColumn("jobs_per_second", F.when(F.col("duration_seconds") > 0, rate).otherwise(0.0))
 
 
 def latency_percentiles(latencies: DataFrame, run: str = "run_id", value: str = "latency") -> DataFrame:
@@ -84,8 +91,7 @@ def lifetime_totals(summaries: DataFrame) -> DataFrame:
 
 
 def source_totals(records: DataFrame) -> DataFrame:
-    fresh = ~F.coalesce("duplicate", F.lit(False))
-    return records.filter(fresh).groupBy("source").agg(F.count(F.lit(1)).alias("total"))
+    return records.filter("fetched").groupBy("source").agg(F.count(F.lit(1)).alias("total"))
 
 
 def source_errors(outcomes: DataFrame) -> DataFrame:

@@ -21,7 +21,8 @@ NO_COMPANY = "Could not extract company name"
 BY_RULES = "Parsed via structured extraction (no LLM)"
 FELL_BACK = "LLM unavailable — used structured fallback"
 
-_NO_STRINGS = F.array().cast("array<string>")
+def _no_strings() -> Column:
+    return F.array().cast("array<string>")
 
 
 def parsed_id(raw_id: Column) -> Column:
@@ -36,9 +37,9 @@ def _finish(df: DataFrame, now: Column | None = None, carry: Sequence[str] = ())
     defaults = {
         "id": parsed_id(F.col("raw_id")),
         "status": F.lit("parsed"),
-        "preferred_skills": _NO_STRINGS,
+        "preferred_skills": _no_strings(),
         "parsed_at": now if now is not None else F.current_timestamp(),
-        "validation_issues": _NO_STRINGS,
+        "validation_issues": _no_strings(),
         "reviewer_notes": F.lit(""),
     }
     return df.select(*(
@@ -140,7 +141,7 @@ def failure_rows(failed: DataFrame, now: Column | None = None, carry: Sequence[s
         "raw_id", "model_used",
         F.lit(S.FAILED_TITLE).alias("job_title"),
         F.lit(False).alias("remote"),
-        _NO_STRINGS.alias("required_skills"),
+        _no_strings().alias("required_skills"),
         F.lit(0.0).alias("confidence"),
         F.array("error").alias("parse_warnings"),
         *carry,
@@ -212,7 +213,7 @@ class _Answer:
 
     def strings(self, path: str) -> Column:
         got, k = self._get(path)
-        read = F.coalesce(F.try_variant_get(self.v, path, "array<string>"), _NO_STRINGS)
+        read = F.coalesce(F.try_variant_get(self.v, path, "array<string>"), _no_strings())
         self.unfit.append(~k.isin("MISSING", "ARRAY<STRING>", "ARRAY<VOID>") | F.exists(read, F.isnull))
         return read
 
@@ -273,7 +274,7 @@ def decode_model_json(answers: DataFrame, now: Column | None = None, carry: Sequ
         .otherwise(F.col("parse_warnings")),
     }
     for n in ("required_skills", "preferred_skills"):
-        keep[n] = F.when(bad, _NO_STRINGS).otherwise(F.col(n))
+        keep[n] = F.when(bad, _no_strings()).otherwise(F.col(n))
     return _finish(read.select("raw_id", "model_used", *carry, *(c.alias(n) for n, c in keep.items())), now, carry)
 
 
@@ -289,7 +290,7 @@ def hybrid_overlay(primary: DataFrame, structured: DataFrame) -> DataFrame:
     def pick(n: str) -> Column:
         fallback = F.col(f"s.{n}")
         if n == "parse_warnings":
-            fallback = F.array_append(F.coalesce(fallback, _NO_STRINGS), F.lit(FELL_BACK))
+            fallback = F.array_append(F.coalesce(fallback, _no_strings()), F.lit(FELL_BACK))
         return F.when(usable, F.col(f"p.{n}")).otherwise(fallback).alias(n)
 
     joined = structured.alias("s").join(primary.alias("p"), F.col("s.raw_id") == F.col("p.raw_id"), "left")

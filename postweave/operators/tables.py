@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postweave import schemas as S
 
@@ -34,13 +34,31 @@ class JobTables:
     def log_status(self, events: DataFrame, run_id: str) -> None:
         self._save(events.select(*(f.name for f in S.STATUS_EVENT)), "status_log", run_id)
 
+    def save_run(self, summary: DataFrame, run_id: str) -> None:
+        self._save(summary.select(*(f.name for f in S.RUN if f.name != "run_id")), "runs", run_id)
+
+    def runs(self, spark: SparkSession) -> DataFrame:
+        return self._read(spark, "runs", S.RUN)
+
+    def save_seen_keys(self, keys: DataFrame, run_id: str) -> None:
+        self._save(keys.select("external_id", "fp"), "seen_keys", run_id)
+
+    def seen_keys(self, spark: SparkSession) -> DataFrame:
+        return self._read(spark, "seen_keys", S.SEEN_KEY)
+
+    def save_cycle(self, stats: DataFrame, run_id: str) -> None:
+        self._save(stats.select(*(f.name for f in S.CYCLE)), "cycles", run_id)
+
+    def cycles(self, spark: SparkSession) -> DataFrame:
+        return self._read(spark, "cycles", S.CYCLE)
+
     def _read(self, spark: SparkSession, name: str, schema) -> DataFrame:
-        fields = schema.fieldNames()
+        fields = [f for f in schema.fieldNames() if f != "run_id"]
+        with_run = T.StructType([f for f in schema if f.name != "run_id"]).add("run_id", "string")
         path = self.path(name)
         jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
         if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
-            return spark.createDataFrame([], schema).withColumn("run_id", F.lit("").cast("string"))
-        with_run = schema.fromJson(schema.jsonValue()).add("run_id", "string")
+            return spark.createDataFrame([], with_run).select(*fields, "run_id")
         return spark.read.schema(with_run).parquet(path).select(*fields, "run_id")
 
     def raw(self, spark: SparkSession) -> DataFrame:

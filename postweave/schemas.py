@@ -69,6 +69,24 @@ STATUS_EVENT = T.StructType([
     T.StructField("event_seq", T.LongType(), False),
 ])
 
+SEEN_KEY = T.StructType([
+    T.StructField("external_id", T.StringType()),
+    T.StructField("fp", T.StringType()),
+])
+
+CYCLE = T.StructType([T.StructField(c, T.LongType()) for c in ("fetched", "parsed", "handoff_ok", "errors")])
+
+RUN = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("started_at", T.TimestampType()),
+    T.StructField("finished_at", T.TimestampType()),
+    T.StructField("error", T.StringType()),
+    *(T.StructField(c, T.LongType()) for c in ("fetched", "parsed", "validated", "flagged", "errors", "duplicates")),
+    T.StructField("per_source", T.MapType(T.StringType(), T.LongType())),
+    T.StructField("duration_seconds", T.DoubleType()),
+    T.StructField("jobs_per_second", T.DoubleType()),
+])
+
 # One landed payload: a page of an API answer, a feed document or an HTML page.
 # page_seq is the arrival order of payloads; unit names the fetch it belongs to.
 PAGE = T.StructType([
