@@ -610,6 +610,21 @@ ORACLES["breaker_stats"] = ctes(
     "THEN 'half_open' ELSE 'open' END AS state, consecutive_failures, total_failures, total_successes FROM totals"
 )
 
+_PROBE = "r.opened >= 0 AND a.us - r.opened >= 86400000000"
+_SKIP = "r.opened >= 0 AND a.us - r.opened < 86400000000"
+ORACLES["breaker_timeline"] = "WITH RECURSIVE" + ctes(
+    records=RECORDS,
+    attempts="SELECT source_id AS source, epoch_us(ts) AS us, seq, ok, row_number() OVER (PARTITION BY source_id ORDER BY ts, seq) AS k FROM records",
+    walk=(
+        "SELECT DISTINCT source, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS opened, CAST(0 AS BIGINT) AS failures, CAST(NULL AS BIGINT) AS seq, "
+        "true AS ok, '' AS state, false AS skipped FROM attempts UNION ALL "
+        f"SELECT a.source, a.k, CASE WHEN {_SKIP} THEN r.opened WHEN a.ok THEN -1 WHEN {_PROBE} OR r.failures + 1 >= 3 THEN a.us ELSE r.opened END, "
+        f"CASE WHEN {_SKIP} THEN r.failures WHEN a.ok THEN 0 ELSE r.failures + 1 END, a.seq, a.ok, "
+        f"CASE WHEN {_PROBE} THEN 'half_open' WHEN {_SKIP} THEN 'open' ELSE 'closed' END, {_SKIP} "
+        "FROM walk r JOIN attempts a ON a.source = r.source AND a.k = r.k + 1"
+    ),
+).removeprefix("WITH") + "SELECT source, seq, ok, state, skipped, failures AS consecutive FROM walk WHERE k > 0"
+
 
 # ── whole jobs ──────────────────────────────────────────────────────────────────────────────────
 
@@ -636,9 +651,8 @@ ORACLES["bulk_ingest"] = ctes(
     "(SELECT count(*) FROM keys) - (SELECT count(*) FROM fresh) AS duplicates, per_source FROM done, per"
 )
 ORACLES["streaming_ingest"] = ORACLES["dedup_postings"]
+# All rows of one save carry the same time, so the queue is ordered by job id, a hash of the raw id.
 ORACLES["review_queue"] = ctes(
     **_FIELDS, checked=graded("structured"),
-) + (
-    "SELECT status, count(*) AS jobs FROM (SELECT CASE WHEN false THEN 'sent' ELSE 'parsed' END AS status FROM checked) GROUP BY 1"
-)
-del ORACLES["review_queue"]
+    queued="SELECT *, row_number() OVER (ORDER BY md5(concat('parsed', chr(1), raw_id))) <= 1000 AND confidence >= 0.5 AND n_issues = 0 AS taken FROM checked",
+) + "SELECT CASE WHEN taken THEN 'sent' ELSE 'parsed' END AS status, count(*) AS jobs FROM queued GROUP BY 1"
