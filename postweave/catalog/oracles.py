@@ -366,7 +366,9 @@ ORACLES["raw_from_rss"] = ctes(postings=POSTINGS) + (
     f"CASE WHEN seq % 3 = 0 THEN '' ELSE concat('http://feed.test/', seq) END AS source_url FROM postings WHERE (seq // {L.PAGE_SIZE}) % 7 <> 0"
 )
 
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+_ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
+)
 
 
 def unescape(x: str) -> str:
