@@ -110,14 +110,14 @@ def breaker_timeline(
     )
     rows = O.in_chunks(narrow, ["source"], ["us", "seq"], chunks)
 
-    def summarise(key, f: pd.DataFrame) -> pd.DataFrame:
+    def summarise(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["us", "seq"])
         closed, table = exits(f["us"].to_numpy(), f["ok"].to_numpy(), threshold, wait)
         out = [(True, c, *e) for c, e in enumerate(closed)] + [(False, t, *e) for t, e in table]
         out = pd.DataFrame(out, columns=["closed", "at", "opened", "failures", "relative"])
         return out.assign(source=key[0], chunk=key[1])
 
-    def enter(key, f: pd.DataFrame) -> pd.DataFrame:
+    def enter(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         state, out = State(), []
         for chunk, part in f.sort_values(["chunk", "closed", "at"]).groupby("chunk"):
             out.append((key[0], chunk, *state))

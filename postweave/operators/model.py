@@ -32,7 +32,12 @@ def _text_or_none(x) -> bool:
     return x is None or isinstance(x, str)
 
 
+def _flag(x) -> bool:
+    return isinstance(x, bool) or x in (0, 1) or str(x).lower() in ("t", "true", "y", "yes", "1", "f", "false", "n", "no", "0")
+
+
 _FITS = {
+    "remote": _flag,
     "job_title": _text, "company": _text_or_none, "location": _text_or_none,
     "required_skills": _texts, "preferred_skills": _texts, "parse_warnings": _texts,
     "years_experience": _whole, "education_level": _text_or_none, "employment_type": _text_or_none,
