@@ -27,8 +27,10 @@ LOCATION_PATTERNS = (
     r"(?:remote|hybrid|on.?site)\s*(?:-|\||in)?\s*([A-Za-z,\s]+)",
     r"(?:in|at)\s+([A-Z][a-z]+(?:\s*,\s*[A-Z][a-z]+)?)",
 )
+# Of the salary patterns, the optional currency before and unit after a range are left out: they
+# hold no digits, so they change no captured number, and without them a search starts at a digit.
 SALARY_PATTERNS = (
-    r"(?:\$|USD|GBP|EUR)?\s*(\d{2,3}(?:,\d{3})?(?:k|K)?)\s*(?:-|–|to)\s*(?:\$|USD|GBP|EUR)?\s*(\d{2,3}(?:,\d{3})?(?:k|K)?)\s*(?:\s*(?:/year|/yr|/annum|yearly|/hr|/hour|hourly|monthly|/mo))?",
+    r"(\d{2,3}(?:,\d{3})?(?:k|K)?)\s*(?:-|–|to)\s*(?:\$|USD|GBP|EUR)?\s*(\d{2,3}(?:,\d{3})?(?:k|K)?)",
     r"(?:salary|range|pay)[:\s]+(?:\$|USD|GBP|EUR)?\s*(\d[\d,]*)\s*(?:-|–|to)\s*(?:\$|USD|GBP|EUR)?\s*(\d[\d,]*)",
 )
 EMPLOYMENT_PATTERNS = (
@@ -116,12 +118,9 @@ def skills(text: Column, names: Sequence[str] = SKILLS, whole_words: bool = Fals
 
 
 def _amount(digits: Column) -> Column:
-    """Number behind one salary capture; null when it is none or out of bounds."""
-    plain = F.lower(F.replace(digits, F.lit(","), F.lit("")))
-    thousands = plain.endswith("k")
-    n = F.rtrim(plain, F.lit("k")).try_cast("bigint")
-    n = F.when(thousands, n * 1000).when(n >= SALARY_FLOOR, n)
-    return F.when((n > 0) & (n < SALARY_CEILING), n.cast("int"))
+    """Number behind one salary capture; null when it has more digits than any number here."""
+    n = F.rtrim(digits, F.lit("k")).try_cast("bigint")
+    return n * F.when(digits.endswith("k"), 1000).otherwise(1)
 
 
 # Cheap test that any salary match implies; spares most texts the two full scans.
@@ -129,23 +128,29 @@ _RANGE_HINT = java_pattern(r"[\d,k]\s*(?:-|–|to)", ANYWHERE)
 
 
 def salary(text: Column) -> Column:
-    """First match, over all matches of the first then the second pattern, with two sound numbers."""
+    """First match, over all matches of the first then the second pattern, with two sound numbers.
+
+    Both numbers must reach the floor (which also rules out 0k) and stay below the ceiling. Matches
+    pass through one small step after the other, since nothing is shared inside a lambda.
+    """
     def ranges(pattern: str) -> Column:
         jp = java_pattern(pattern, ANYWHERE)
-
-        def bounds(m: Column) -> Column:
-            a = _amount(F.regexp_extract(m, jp, 1))
-            b = _amount(F.regexp_extract(m, jp, 2))
-            sound = a.isNotNull() & b.isNotNull()
-            return F.struct(
-                F.when(sound, F.least(a, b)).alias("min"),
-                F.when(sound, F.greatest(a, b)).alias("max"),
-                F.lit(S.DEFAULT_CURRENCY).alias("currency"),
-                F.lit(S.DEFAULT_PERIOD).alias("period"),
-            )
-
-        hits = F.transform(F.regexp_extract_all(text, F.lit(jp), F.lit(0)), bounds)
-        return F.try_element_at(F.filter(hits, lambda r: r["min"].isNotNull()), F.lit(1))
+        low, high = F.lit(SALARY_FLOOR), F.lit(SALARY_CEILING - 1)
+
+        def digits(m: Column) -> Column:
+            return F.struct(*(
+                F.lower(F.replace(F.regexp_extract(m, jp, i), F.lit(","), F.lit(""))).alias(n) for i, n in ((1, "a"), (2, "b"))
+            ))
+
+        hits = F.transform(F.regexp_extract_all(text, F.lit(jp), F.lit(0)), digits)
+        pairs = F.transform(hits, lambda d: F.struct(_amount(d["a"]).alias("a"), _amount(d["b"]).alias("b")))
+        sound = F.filter(pairs, lambda p: p["a"].between(low, high) & p["b"].between(low, high))
+        return F.try_element_at(F.transform(sound, lambda p: F.struct(
+            F.least(p["a"], p["b"]).cast("int").alias("min"),
+            F.greatest(p["a"], p["b"]).cast("int").alias("max"),
+            F.lit(S.DEFAULT_CURRENCY).alias("currency"),
+            F.lit(S.DEFAULT_PERIOD).alias("period"),
+        )), F.lit(1))
 
     return F.when(text.rlike(_RANGE_HINT), F.coalesce(*(ranges(p) for p in SALARY_PATTERNS)))
 

@@ -101,7 +101,11 @@ def breaker_timeline(
     attempts: DataFrame, threshold: int = THRESHOLD, cooldown: float = COOLDOWN,
     source: str = "source", ts: str = "ts", seq: str = "seq", chunks: int | None = None,
 ) -> DataFrame:
-    """attempts: source, ts, seq, ok. Adds state (seen by the attempt), skipped and consecutive."""
+    """attempts: source, ts, seq, ok. Adds state (seen by the attempt), skipped and consecutive.
+
+    Chunks are ranges of the order (source, time), so only the first and last source of a chunk can
+    go on in another one: two maps per chunk are all that has to be carried.
+    """
     wait = int(cooldown * 1_000_000)
     kind = attempts.schema[source].dataType.simpleString()
     seq_kind = attempts.schema[seq].dataType.simpleString()
@@ -111,11 +115,15 @@ def breaker_timeline(
     rows = O.in_chunks(narrow, ["source"], ["us", "seq"], chunks)
 
     def summarise(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["us", "seq"])
-        closed, table = exits(f["us"].to_numpy(), f["ok"].to_numpy(), threshold, wait)
-        out = [(True, c, *e) for c, e in enumerate(closed)] + [(False, t, *e) for t, e in table]
-        out = pd.DataFrame(out, columns=["closed", "at", "opened", "failures", "relative"])
-        return out.assign(source=key[0], chunk=key[1])
+        f = f.sort_values(["source", "us", "seq"])
+        parts = []
+        for name in dict.fromkeys((f["source"].iloc[0], f["source"].iloc[-1])):
+            edge = f[f["source"] == name]
+            closed, table = exits(edge["us"].to_numpy(), edge["ok"].to_numpy(), threshold, wait)
+            out = [(True, c, *e) for c, e in enumerate(closed)] + [(False, t, *e) for t, e in table]
+            out = pd.DataFrame(out, columns=["closed", "at", "opened", "failures", "relative"])
+            parts.append(out.assign(source=name, chunk=key[0]))
+        return pd.concat(parts)
 
     def enter(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         state, out = State(), []
@@ -127,16 +135,26 @@ def breaker_timeline(
         return pd.DataFrame(out, columns=["source", O.CHUNK, "opened", "failures"])
 
     def annotate(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["us", "seq"])
-        start = State(int(f["opened"].iloc[0]), int(f["failures"].iloc[0]))
-        f["state"], f["skipped"], f["consecutive"], _ = replay(f["us"].to_numpy(), f["ok"].to_numpy(), start, threshold, wait)
+        f = f.sort_values(["source", "us", "seq"], ignore_index=True)
+        us, ok = f["us"].to_numpy(), f["ok"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (f["source"] != f["source"].shift()).to_numpy()[1:]])
+        seen, skipped, streak = [], [], []
+        for i, j in zip(starts, np.r_[starts[1:], len(f)]):
+            entry = State(int(f["opened"].iat[i]), int(f["failures"].iat[i]))
+            a, b, c, _ = replay(us[i:j], ok[i:j], entry, threshold, wait)
+            seen += a
+            skipped += b
+            streak += c
+        f["state"], f["skipped"], f["consecutive"] = seen, skipped, streak
         return f[["source", "us", "seq", "ok", "state", "skipped", "consecutive"]]
 
-    maps = rows.groupBy("source", O.CHUNK).applyInPandas(summarise, f"source {kind}, {_MAP}")
+    maps = rows.groupBy(O.CHUNK).applyInPandas(summarise, f"source {kind}, {_MAP}")
     entries = maps.groupBy("source").applyInPandas(
         enter, f"source {kind}, {O.CHUNK} int, opened long, failures long"
     )
-    done = rows.join(entries, ["source", O.CHUNK]).groupBy("source", O.CHUNK).applyInPandas(
+    # At most two entries per chunk, whatever the size of the log.
+    ready = rows.join(F.broadcast(entries), ["source", O.CHUNK], "left").fillna({"opened": -1, "failures": 0})
+    done = ready.groupBy(O.CHUNK).applyInPandas(
         annotate,
         f"source {kind}, us long, seq {seq_kind}, ok boolean, state string, skipped boolean, consecutive long",
     )

@@ -28,6 +28,12 @@ class JobTables:
     def save_raw(self, raw: DataFrame, run_id: str) -> None:
         self._save(raw.select(*(f.name for f in S.RAW)), "raw_jobs", run_id, ("source",))
 
+    def land(self, rows: DataFrame, name: str, run_id: str) -> DataFrame:
+        """Writes the rows of one source as they came and reads them back from there."""
+        path = f"{self.path('landed')}/run_id={run_id}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
     def save_parsed(self, parsed: DataFrame, run_id: str) -> None:
         self._save(parsed.select(*(f.name for f in S.PARSED)), "parsed_jobs", run_id)
 
@@ -133,30 +139,28 @@ def with_source(jobs: DataFrame, raw: DataFrame) -> DataFrame:
 
 
 def stats(raw: DataFrame, jobs: DataFrame) -> DataFrame:
-    """One long table: (section, name, value) with totals, average confidence and counts per status and source."""
-    def rows(df: DataFrame, section: str, name: Column, value: Column) -> DataFrame:
-        return df.select(F.lit(section).alias("section"), name.alias("name"), value.cast("double").alias("value"))
+    """One long table: (section, name, value) with totals, average confidence and counts per status and source.
 
-    by_status = jobs.groupBy("status").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("confidence").alias("c"), F.count("confidence").alias("m")
-    )
-    by_source = raw.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    # The totals are sums over the two small count tables, so each big table is read once.
-    total = by_status.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.coalesce(F.try_divide(F.sum("c"), F.sum("m")), F.lit(1.0)).alias("avg"),
+    Each big table is read and grouped once; the few groups are then folded into one row, which
+    gives the totals also for an empty store.
+    """
+    def entry(section: str, name: Column | str, value: Column) -> Column:
+        named = name if isinstance(name, Column) else F.lit(name)
+        return F.struct(F.lit(section).alias("section"), named.alias("name"), value.cast("double").alias("value"))
+
+    def counted(df: DataFrame, by: str, *more: Column) -> DataFrame:
+        groups = df.groupBy(F.col(by).alias("name")).agg(F.count(F.lit(1)).alias("n"), *more)
+        sums = [F.sum(c).alias(c) for c in groups.columns[2:]]
+        total = F.coalesce(F.sum("n"), F.lit(0)).alias("n")
+        # One element per status or source domain value.
+        folded = groups.agg(total, *sums, F.collect_list(F.struct("name", "n")).alias("groups"))
+        return folded.withColumn("groups", F.transform("groups", lambda g: entry(f"by_{by}", g["name"], g["n"])))
+
+    sources = counted(raw, "source").select(
+        F.inline(F.concat(F.array(entry("total", "raw", F.col("n"))), "groups"))
     )
-    n = F.col("n")
-    return union_rows(
-        rows(by_source.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")), "total", F.lit("raw"), n),
-        rows(total, "total", F.lit("parsed"), n),
-        rows(total, "total", F.lit("avg_confidence"), F.round("avg", 4)),
-        rows(by_status, "by_status", F.col("status"), n),
-        rows(by_source, "by_source", F.col("source"), n),
+    average = F.round(F.coalesce(F.try_divide("c", "m"), F.lit(1.0)), 4)
+    statuses = counted(jobs, "status", F.sum("confidence").alias("c"), F.count("confidence").alias("m")).select(
+        F.inline(F.concat(F.array(entry("total", "parsed", F.col("n")), entry("total", "avg_confidence", average)), "groups"))
     )
-
-
-def union_rows(first: DataFrame, *rest: DataFrame) -> DataFrame:
-    for df in rest:
-        first = first.unionByName(df)
-    return first
+    return sources.unionByName(statuses)

@@ -90,17 +90,15 @@ def ingest(intake: Intake, raw: DataFrame, run_id: str | None = None) -> DataFra
     return results(*intake.process(raw, run_id or str(uuid.uuid4()), SINGLE_NOTE))
 
 
-def _fetch(sources: Mapping[str, Callable[[], DataFrame]]) -> tuple[list[DataFrame], DataFrame | None]:
-    """Rows of each source, computed apart so that a failing source does not stop the others."""
-    frames, outcomes = [], []
+def _fetch(intake: Intake, sources: Mapping[str, Callable[[], DataFrame]], run_id: str) -> list[DataFrame]:
+    """Landed rows of each source, computed apart so that a failing source does not stop the others."""
+    frames = []
     for name, read in sources.items():
         try:
-            frames.append(pin(read()))
-            outcomes.append((name, True, None))
+            frames.append(intake.tables.land(read(), name, run_id))
         except Exception as e:  # noqa: BLE001 - whatever stops one source
             log.error("source %s failed: %s", name, e)
-            outcomes.append((name, False, str(e)[:500]))
-    return frames, outcomes
+    return frames
 
 
 def run_bulk(
@@ -113,8 +111,8 @@ def run_bulk(
     """
     run_id = run_id or str(uuid.uuid4())
     started = datetime.now(timezone.utc)
-    frames, fetched = _fetch(sources)
-    error = None if frames or not fetched else "all sources failed"
+    frames = _fetch(intake, sources, run_id)
+    error = None if frames or not sources else "all sources failed"
     records = None
     if frames:
         raw = U.union_sources(*frames)

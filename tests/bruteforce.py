@@ -33,6 +33,13 @@ def employment(t):
     return got.lower() if got is not None else None
 
 
+# The salary patterns with all their optional parts.
+SALARY_PATTERNS = (
+    r"(?:\$|USD|GBP|EUR)?\s*(\d{2,3}(?:,\d{3})?(?:k|K)?)\s*(?:-|–|to)\s*(?:\$|USD|GBP|EUR)?\s*(\d{2,3}(?:,\d{3})?(?:k|K)?)\s*(?:\s*(?:/year|/yr|/annum|yearly|/hr|/hour|hourly|monthly|/mo))?",
+    r"(?:salary|range|pay)[:\s]+(?:\$|USD|GBP|EUR)?\s*(\d[\d,]*)\s*(?:-|–|to)\s*(?:\$|USD|GBP|EUR)?\s*(\d[\d,]*)",
+)
+
+
 def amount(s):
     s = s.lower().replace(",", "")
     n = int(s[:-1]) * 1000 if s[-1] == "k" else int(s) if int(s) >= 1000 else 0
@@ -40,7 +47,7 @@ def amount(s):
 
 
 def salary(t):
-    pairs = ([amount(a), amount(b)] for p in X.SALARY_PATTERNS for a, b in re.findall(p, t, _I))
+    pairs = ([amount(a), amount(b)] for p in SALARY_PATTERNS for a, b in re.findall(p, t, _I))
     for pair in pairs:
         if None not in pair:
             return tuple(sorted(pair))

@@ -27,6 +27,7 @@ PIECES = [
     "Title:", "Company:", "Location:", "title", "company ", "location: ", "Senior Engineer", "at Foo & Co.", "remote - ",
     "hybrid", "in Accra, Ghana", "\n", "\r\n", "\n\n", " ", " ", " ", "\x1c", "\x85", "$120,000 - $90k", "15-25",
     "90k to 120k", "salary: 1,0000-20000", "pay 10 to 99999999999999999999", "00k-12k", "USD 200 – 300", "Full time",
+    "$", "EUR", "GBP 45", "/year", " yearly", "/hr", "to", "k", "120,500", "77",
     "Employment Type: part-time", "contract", "contractors", "About us", "  Requirements:", "what you'll do ", "description",
     "Python/Go", "e-mail JAVASCRIPT", "NoSQL C++ C#", "İstanbul ſtraße", "K", "|", "-", "x" * 101, ":", "a\tb",
 ]
