@@ -29,9 +29,9 @@ class State(NamedTuple):
 
 
 def replay(ts: np.ndarray, ok: np.ndarray, state: State, threshold: int, wait: int):
-    """Per attempt: state seen, skipped or not, consecutive failures after it; and the exit state."""
+    """Per attempt: state seen, skipped or not, and the breaker after it (opened, failures)."""
     opened, failures = state
-    seen, skipped, streak = [], [], []
+    seen, skipped, since, streak = [], [], [], []
     for t, good in zip(ts.tolist(), ok.tolist()):
         probing = opened >= 0 and t - opened >= wait
         skip = opened >= 0 and not probing
@@ -40,8 +40,9 @@ def replay(ts: np.ndarray, ok: np.ndarray, state: State, threshold: int, wait: i
             failures = 0 if good else failures + 1
             opened = -1 if good else t if probing or failures >= threshold else opened
         skipped.append(skip)
+        since.append(opened)
         streak.append(failures)
-    return seen, skipped, streak, State(opened, failures)
+    return seen, skipped, since, streak
 
 
 class Exit(NamedTuple):
@@ -101,18 +102,30 @@ def breaker_timeline(
     attempts: DataFrame, threshold: int = THRESHOLD, cooldown: float = COOLDOWN,
     source: str = "source", ts: str = "ts", seq: str = "seq", chunks: int | None = None,
 ) -> DataFrame:
-    """attempts: source, ts, seq, ok. Adds state (seen by the attempt), skipped and consecutive.
+    """attempts: source, ts, seq, ok. Adds state (seen by the attempt), skipped and consecutive."""
+    named = attempts.select(F.col(source).alias("source"), F.unix_micros(ts).alias("us"), F.col(seq).alias("seq"), "ok")
+    return walk(named, threshold, cooldown, chunks=chunks).select(
+        F.col("source").alias(source), F.timestamp_micros("us").alias(ts), F.col("seq").alias(seq),
+        "ok", "state", "skipped", F.col("failures").alias("consecutive"),
+    )
+
+
+def walk(
+    attempts: DataFrame, threshold: int, cooldown: float, before: DataFrame | None = None, chunks: int | None = None,
+) -> DataFrame:
+    """attempts: source, us, seq, ok. Adds state, skipped, and the breaker after the attempt (opened, failures).
 
-    Chunks are ranges of the order (source, time), so only the first and last source of a chunk can
-    go on in another one: two maps per chunk are all that has to be carried.
+    before holds the breakers (source, opened, failures) with which the sources start; others start
+    closed. Chunks are ranges of the order (source, time), so only the first and last source of a
+    chunk can go on in another one: two maps per chunk are all that has to be carried.
     """
     wait = int(cooldown * 1_000_000)
-    kind = attempts.schema[source].dataType.simpleString()
-    seq_kind = attempts.schema[seq].dataType.simpleString()
-    narrow = attempts.select(
-        F.col(source).alias("source"), F.unix_micros(ts).alias("us"), F.col(seq).alias("seq"), "ok"
-    )
-    rows = O.in_chunks(narrow, ["source"], ["us", "seq"], chunks)
+    kinds = ", ".join(f"{c} {attempts.schema[c].dataType.simpleString()}" for c in ("source", "us", "seq", "ok"))
+    kind = attempts.schema["source"].dataType.simpleString()
+    if before is None:
+        before = attempts.sparkSession.createDataFrame([], f"source {kind}, opened long, failures long")
+    begin = before.select("source", F.col("opened").alias("opened0"), F.col("failures").alias("failures0"))
+    rows = O.in_chunks(attempts, ["source"], ["us", "seq"], chunks)
 
     def summarise(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["source", "us", "seq"])
@@ -126,7 +139,7 @@ def breaker_timeline(
         return pd.concat(parts)
 
     def enter(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        state, out = State(), []
+        state, out = State(int(f["opened0"].iat[0]), int(f["failures0"].iat[0])), []
         for chunk, part in f.sort_values(["chunk", "closed", "at"]).groupby("chunk"):
             out.append((key[0], chunk, *state))
             table = [(r.at, Exit(r.opened, r.failures, r.relative)) for r in part.itertuples(index=False)]
@@ -138,27 +151,30 @@ def breaker_timeline(
         f = f.sort_values(["source", "us", "seq"], ignore_index=True)
         us, ok = f["us"].to_numpy(), f["ok"].to_numpy()
         starts = np.flatnonzero(np.r_[True, (f["source"] != f["source"].shift()).to_numpy()[1:]])
-        seen, skipped, streak = [], [], []
+        columns = [[], [], [], []]
         for i, j in zip(starts, np.r_[starts[1:], len(f)]):
             entry = State(int(f["opened"].iat[i]), int(f["failures"].iat[i]))
-            a, b, c, _ = replay(us[i:j], ok[i:j], entry, threshold, wait)
-            seen += a
-            skipped += b
-            streak += c
-        f["state"], f["skipped"], f["consecutive"] = seen, skipped, streak
-        return f[["source", "us", "seq", "ok", "state", "skipped", "consecutive"]]
+            for all_rows, part in zip(columns, replay(us[i:j], ok[i:j], entry, threshold, wait)):
+                all_rows += part
+        f["state"], f["skipped"], f["opened"], f["failures"] = columns
+        return f[["source", "us", "seq", "ok", "state", "skipped", "opened", "failures"]]
 
+    closed = {"opened0": -1, "failures0": 0}
     maps = rows.groupBy(O.CHUNK).applyInPandas(summarise, f"source {kind}, {_MAP}")
-    entries = maps.groupBy("source").applyInPandas(
+    entries = maps.join(begin, "source", "left").fillna(closed).groupBy("source").applyInPandas(
         enter, f"source {kind}, {O.CHUNK} int, opened long, failures long"
     )
     # At most two entries per chunk, whatever the size of the log.
-    ready = rows.join(F.broadcast(entries), ["source", O.CHUNK], "left").fillna({"opened": -1, "failures": 0})
-    done = ready.groupBy(O.CHUNK).applyInPandas(
-        annotate,
-        f"source {kind}, us long, seq {seq_kind}, ok boolean, state string, skipped boolean, consecutive long",
+    ready = rows.join(F.broadcast(entries), ["source", O.CHUNK], "left").join(begin, "source", "left").fillna(closed)
+    start = [F.coalesce(n, f"{n}0").alias(n) for n in ("opened", "failures")]
+    return ready.select("source", "us", "seq", "ok", O.CHUNK, *start).groupBy(O.CHUNK).applyInPandas(
+        annotate, f"{kinds}, state string, skipped boolean, opened long, failures long"
     )
-    return done.select(
-        F.col("source").alias(source), F.timestamp_micros("us").alias(ts), F.col("seq").alias(seq),
-        "ok", "state", "skipped", "consecutive",
+
+
+def breakers_after(walked: DataFrame, before: DataFrame) -> DataFrame:
+    """The breaker of every source after the last of its attempts."""
+    last = walked.groupBy("source").agg(F.max_by(F.struct("opened", "failures"), F.struct("us", "seq")).alias("_s"))
+    return before.join(last, "source", "full").select(
+        "source", *(F.coalesce(f"_s.{n}", n).alias(n) for n in ("opened", "failures"))
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postweave import schemas as S
@@ -52,6 +53,16 @@ class JobTables:
     def seen_keys(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "seen_keys", S.SEEN_KEY)
 
+    def save_breakers(self, states: DataFrame, run_id: str) -> None:
+        self._save(states, "breakers", run_id)
+
+    def breakers(self, spark: SparkSession, source_type: T.DataType) -> DataFrame:
+        schema = T.StructType([T.StructField("source", source_type), *S.BREAKER])
+        return self._read(spark, "breakers", schema)
+
+    def save_timeline(self, rows: DataFrame, run_id: str) -> None:
+        self._save(rows, "breaker_timeline", run_id)
+
     def save_cycle(self, stats: DataFrame, run_id: str) -> None:
         self._save(stats.select(*(f.name for f in S.CYCLE)), "cycles", run_id)
 
@@ -61,11 +72,13 @@ class JobTables:
     def _read(self, spark: SparkSession, name: str, schema) -> DataFrame:
         fields = [f for f in schema.fieldNames() if f != "run_id"]
         with_run = T.StructType([f for f in schema if f.name != "run_id"]).add("run_id", "string")
-        path = self.path(name)
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
-            return spark.createDataFrame([], with_run).select(*fields, "run_id")
-        return spark.read.schema(with_run).parquet(path).select(*fields, "run_id")
+        try:
+            rows = spark.read.schema(with_run).parquet(self.path(name))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = spark.createDataFrame([], with_run)
+        return rows.select(*fields, "run_id")
 
     def raw(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "raw_jobs", S.RAW)
@@ -106,10 +119,16 @@ def update_status(jobs: DataFrame, ids: DataFrame, status: str, notes: str = "",
     return status_events(known, status, notes, now, event_seq)
 
 
+def latest_events(log: DataFrame) -> DataFrame:
+    """The last event per job; written to a new store, it is the log in compact form."""
+    event = F.struct("reviewed_at", "event_seq", "status", "reviewer_notes")
+    last = log.groupBy("job_id").agg(F.max(event).alias("_e"))
+    return last.select("job_id", "_e.status", "_e.reviewer_notes", "_e.reviewed_at", "_e.event_seq")
+
+
 def current_jobs(parsed: DataFrame, log: DataFrame) -> DataFrame:
     """Parsed rows with the status, notes and time of their last event; reviewed_by stays as saved."""
-    event = F.struct("reviewed_at", "event_seq", "status", "reviewer_notes")
-    last = log.groupBy(F.col("job_id").alias("id")).agg(F.max(event).alias("_e"))
+    last = latest_events(log).select(F.col("job_id").alias("id"), F.struct("*").alias("_e"))
     has = F.col("_e").isNotNull()
     changed = {
         "status": F.when(has, F.col("_e.status")).otherwise(F.col("status")),

@@ -74,6 +74,9 @@ SEEN_KEY = T.StructType([
     T.StructField("fp", T.StringType()),
 ])
 
+# State of one source's breaker: microseconds of the failure that opened it (-1: closed), failures in a row.
+BREAKER = T.StructType([T.StructField("opened", T.LongType()), T.StructField("failures", T.LongType())])
+
 CYCLE = T.StructType([T.StructField(c, T.LongType()) for c in ("fetched", "parsed", "handoff_ok", "errors")])
 
 RUN = T.StructType([

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from postweave.operators import breaker as B
 from postweave.operators import dedup as U
 from postweave.operators import metrics as M
+from postweave.operators.tables import JobTables
 from postweave.plans.intake import SINGLE_NOTE, Intake, results
 from postweave.session import pin
 
@@ -48,33 +45,25 @@ def run_cycle(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def breaker_stream(
-    attempts: DataFrame, threshold: int = B.THRESHOLD, cooldown: float = B.COOLDOWN,
-) -> DataFrame:
-    """Breaker timeline over a stream of attempts (source, ts, seq, ok), one small state per source.
+def run_breakers(
+    tables: JobTables, attempts: DataFrame, checkpoint: str, threshold: int = B.THRESHOLD,
+    cooldown: float = B.COOLDOWN, available_now: bool = True,
+) -> StreamingQuery:
+    """Breaker timeline over a stream of attempts (source, ts, seq, ok) that arrive in order.
 
-    Attempts must arrive in order from batch to batch. A task holds one source's rows of one
-    micro-batch, so bound the batch (maxFilesPerTrigger) to bound the task.
+    Every micro-batch is worked on in chunks, like a batch, so no source is bound to one task. The
+    breakers after batch n are a table that batch n+1 starts from; timeline rows go to their own table.
     """
-    wait = int(cooldown * 1_000_000)
-    kind = attempts.schema["source"].dataType.simpleString()
+    kind = attempts.schema["source"].dataType
 
-    def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start = B.State(*state.get) if state.exists else B.State()
-        f = pd.concat(list(frames)).sort_values(["us", "seq"])
-        f["state"], f["skipped"], f["consecutive"], end = B.replay(
-            f["us"].to_numpy(), f["ok"].to_numpy(), start, threshold, wait
-        )
-        state.update(tuple(end))
-        yield f[["source", "us", "seq", "ok", "state", "skipped", "consecutive"]]
+    def one_batch(batch: DataFrame, epoch: int) -> None:
+        run_id = batch_run_id(epoch)
+        known = tables.breakers(batch.sparkSession, kind)
+        before = known.filter(F.col("run_id") == batch_run_id(epoch - 1)).drop("run_id")
+        named = batch.select("source", F.unix_micros("ts").alias("us"), "seq", "ok")
+        walked = pin(B.walk(named, threshold, cooldown, before))
+        tables.save_breakers(B.breakers_after(walked, before), run_id)
+        tables.save_timeline(walked, run_id)
 
-    done = (
-        attempts.select("source", F.unix_micros("ts").alias("us"), F.col("seq").cast("bigint").alias("seq"), "ok")
-        .groupBy("source")
-        .applyInPandasWithState(
-            advance,
-            f"source {kind}, us long, seq long, ok boolean, state string, skipped boolean, consecutive long",
-            "opened long, failures long", "append", GroupStateTimeout.NoTimeout,
-        )
-    )
-    return done.select("source", F.timestamp_micros("us").alias("ts"), "seq", "ok", "state", "skipped", "consecutive")
+    writer = attempts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one_batch)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

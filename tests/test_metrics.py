@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from postweave.operators import breaker as K
 from postweave.operators import metrics as M
-from postweave.streaming.cycle import breaker_stream
+from postweave.operators.tables import JobTables
+from postweave.streaming.cycle import run_breakers
 
 SLOW = dict(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -86,7 +87,8 @@ def test_breaker_chunk_maps_compose():
             j = min(n, i + rnd.randint(1, 9))
             state = K.step(state, *K.exits(ts[i:j], ok[i:j], thr, wait), wait)
             i = j
-        assert state == K.replay(ts, ok, K.State(), thr, wait)[3]
+        _, _, since, streak = K.replay(ts, ok, K.State(), thr, wait)
+        assert state == (since[-1], streak[-1])
 
 
 def test_breaker_stream_equals_batch(spark, tmp_path):
@@ -94,11 +96,10 @@ def test_breaker_stream_equals_batch(spark, tmp_path):
     for part in range(3):
         df.filter((F.col("seq") % 90 >= part * 30) & (F.col("seq") % 90 < part * 30 + 30)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    q = (breaker_stream(stream, 3, 7.0).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/ck")
-         .trigger(availableNow=True).start(f"{tmp_path}/out"))
-    q.awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out").collect()
-    assert {r.seq: (r.state, r.skipped, r.consecutive) for r in got} == walk(rows, 3, 7.0)
+    tables = JobTables(f"{tmp_path}/store")
+    run_breakers(tables, stream, f"{tmp_path}/ck", 3, 7.0).awaitTermination()
+    got = spark.read.parquet(tables.path("breaker_timeline")).collect()
+    assert {r.seq: (r.state, r.skipped, r.failures) for r in got} == walk(rows, 3, 7.0)
 
 
 @settings(**SLOW)

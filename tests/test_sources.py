@@ -80,6 +80,11 @@ def test_links(spark):
     ]
 
 
+def test_pages_without_links(spark):
+    assert H.html_anchors(pages(spark, "<p>/job/</p>", "")).count() == 0
+    assert H.html_job_links(pages(spark, "<p>/job/</p>"), H.BOARDS["fuzu"]).count() == 0
+
+
 def test_detail_text():
     page = ('<title> T </title><script>var x = "<p>no</p>";</script><div class="a description b">in <b>bold</b><br>next<!-- c -->end</div>'
             '<div id="job-detail">by id</div><p>rest &lt;x&gt;')
