@@ -75,7 +75,7 @@ def salaries(source: str, key: str, t: str) -> dict[str, str]:
     return {
         "hits": " UNION ALL ".join(hits(i, p) for i, p in enumerate(X.SALARY_PATTERNS)),
         "sums": f"SELECT k, p, i, {amount('a')} AS a, {amount('b')} AS b FROM hits",
-        "pay": "SELECT k, least(a, b) AS lo, greatest(a, b) AS hi FROM sums WHERE a IS NOT NULL AND b IS NOT NULL "
+        "pay": "SELECT k, CAST(least(a, b) AS INT) AS lo, CAST(greatest(a, b) AS INT) AS hi FROM sums WHERE a IS NOT NULL AND b IS NOT NULL "
                "QUALIFY row_number() OVER (PARTITION BY k ORDER BY p, i) = 1",
     }
 
@@ -170,7 +170,7 @@ def prompt(t: str) -> str:
     return f"replace({q(P.PROMPT)}, '{{raw_text}}', left({t}, {P.PROMPT_CHARS}))"
 
 
-ORACLES["build_prompt"] = f"SELECT doc_id, length({prompt('text')}) AS chars, md5({prompt('text')}) AS digest FROM documents"
+ORACLES["build_prompt"] = f"SELECT doc_id, CAST(length({prompt('text')}) AS INT) AS chars, md5({prompt('text')}) AS digest FROM documents"
 
 
 # What the answers say, read from the columns they were made of.
@@ -279,8 +279,8 @@ _KEYS = dict(
 )
 _RAW = "seq, source, external_id, raw_text, CAST(NULL AS VARCHAR) AS source_url"
 ORACLES["union_sources"] = ctes(postings=POSTINGS) + (
-    "SELECT seq, source, external_id, length(raw_text) AS chars FROM postings UNION ALL "
-    "SELECT doc_id, 'manual', NULL, length(text) FROM documents"
+    "SELECT seq, source, external_id, CAST(length(raw_text) AS INT) AS chars FROM postings UNION ALL "
+    "SELECT doc_id, 'manual', NULL, CAST(length(text) AS INT) FROM documents"
 )
 ORACLES["dedup_within_fetch"] = ctes(postings=POSTINGS, units="SELECT *, concat(source, '|', seq % 3) AS unit FROM postings") + (
     f"SELECT seq, unit, external_id FROM units QUALIFY {kept_first(chr(117) + 'nit, coalesce(external_id, ' + q('') + ')')}"
@@ -429,7 +429,7 @@ ORACLES["raw_from_html"] = ctes(
 )
 ORACLES["raw_manual"] = (
     "SELECT doc_id AS seq, 'manual' AS source, CAST(NULL AS VARCHAR) AS external_id, '{}' AS metadata, "
-    f"{strip('text')} <> '' AS healthy, length(text) AS chars FROM documents"
+    f"{strip('text')} <> '' AS healthy, CAST(length(text) AS INT) AS chars FROM documents"
 )
 
 
