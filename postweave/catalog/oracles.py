@@ -192,6 +192,7 @@ ORACLES["hybrid_overlay"] = ctes(**_FIELDS, answers=_ANSWERS) + (
     f"CASE WHEN good THEN '' WHEN s.warnings = '' THEN {q(P.FELL_BACK)} ELSE concat(s.warnings, '|', {q(P.FELL_BACK)}) END AS warnings "
     "FROM structured s JOIN (SELECT *, NOT bad AND CAST(seq % 100 AS DOUBLE) / 100 >= 0.3 AS good FROM answers) a USING (raw_id)"
 )
+ORACLES["hybrid_parse"] = ORACLES["hybrid_overlay"]
 _CALLS = dict(
     postings=POSTINGS,
     sized=f"SELECT id AS raw_id, length({prompt(T)}) AS n FROM postings",

@@ -22,7 +22,7 @@ from postweave.operators import review as V
 from postweave.operators import tables as T
 from postweave.operators import validate as W
 from postweave.plans import intake as J
-from postweave.session import shared_dir
+from postweave.session import pin, shared_dir
 from postweave.sources import grid as G
 from postweave.sources import html as H
 from postweave.sources import landed as S
@@ -194,6 +194,13 @@ def hybrid_overlay(spark, sf_dir):
     return both.select("raw_id", "job_title", "model_used", "confidence", _joined("parse_warnings").alias("warnings"))
 
 
+@query
+def hybrid_parse(spark, sf_dir):
+    raw, primary = I.postings(spark, sf_dir), pin(P.decode_model_json(L.answers(spark, sf_dir)))
+    both = J.hybrid_parser(lambda _: primary)(raw)
+    return both.select("raw_id", "job_title", "model_used", "confidence", _joined("parse_warnings").alias("warnings"))
+
+
 # ── validation ──────────────────────────────────────────────────────────────────────────────────
 
 def _rule(name: str, rule: R.Rule) -> None:

@@ -101,15 +101,15 @@ CALL_COLUMNS = ("failed_attempts", "used_fallback", "latency")
 
 
 def to_parsed(answers: DataFrame, now: Column | None = None, carry: Sequence[str] = CALL_COLUMNS) -> DataFrame:
-    """Answers as parsed rows: decoded where there is a response, failure rows elsewhere."""
-    got = P.decode_model_json(answers.filter(F.col("response").isNotNull()), now, carry)
-    lost = P.failure_rows(answers.filter(F.col("response").isNull()), now, carry)
-    return got.unionByName(lost)
+    """Answers as parsed rows, in one pass: a record without a response is a failure row that tells its error."""
+    parsed = P.decode_model_json(answers, now, ("error", *carry))
+    told = F.when(F.col("error").isNotNull(), F.array("error")).otherwise(F.col("parse_warnings"))
+    return parsed.withColumn("parse_warnings", told).drop("error")
 
 
 def extract_with_model(raw: DataFrame, model: Callable[[str], str], name: str, now: Column | None = None, **options) -> DataFrame:
     """Prompt, call and decode; parsed rows plus failed_attempts, used_fallback and latency.
 
-    The answers are pinned, so that a lost executor or a second use does not call the model again.
+    The result is pinned, so that neither a lost executor nor a second use calls the model again.
     """
-    return to_parsed(pin(ask(P.build_prompt(raw), model, name, **options)), now)
+    return pin(to_parsed(ask(P.build_prompt(raw), model, name, **options), now))

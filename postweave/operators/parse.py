@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -278,23 +278,40 @@ def decode_model_json(answers: DataFrame, now: Column | None = None, carry: Sequ
     return _finish(read.select("raw_id", "model_used", *carry, *(c.alias(n) for n, c in keep.items())), now, carry)
 
 
+def usable(prefix: str = "") -> Column:
+    """Did the primary parser give a row worth keeping? Never null."""
+    title, confidence = F.col(f"{prefix}job_title"), F.col(f"{prefix}confidence")
+    return F.coalesce((title != S.FAILED_TITLE) & (confidence >= OVERLAY_CONFIDENCE), F.lit(False))
+
+
+def _fallback_warnings(warnings: Column) -> Column:
+    return F.array_append(F.coalesce(warnings, _no_strings()), F.lit(FELL_BACK))
+
+
 def hybrid_overlay(primary: DataFrame, structured: DataFrame) -> DataFrame:
     """The primary row where it parsed with enough confidence, else the structured row with a warning.
 
     Joined on raw_id, unique on both sides. Records the primary never answered count as failed.
     """
-    names = [f.name for f in S.PARSED]
-    good = (F.col("p.job_title") != S.FAILED_TITLE) & (F.col("p.confidence") >= OVERLAY_CONFIDENCE)
-    usable = F.coalesce(good, F.lit(False))
-
     def pick(n: str) -> Column:
         fallback = F.col(f"s.{n}")
-        if n == "parse_warnings":
-            fallback = F.array_append(F.coalesce(fallback, _no_strings()), F.lit(FELL_BACK))
-        return F.when(usable, F.col(f"p.{n}")).otherwise(fallback).alias(n)
+        fallback = _fallback_warnings(fallback) if n == "parse_warnings" else fallback
+        return F.when(usable("p."), F.col(f"p.{n}")).otherwise(fallback).alias(n)
 
     joined = structured.alias("s").join(primary.alias("p"), F.col("s.raw_id") == F.col("p.raw_id"), "left")
-    return joined.select(*(pick(n) for n in names))
+    return joined.select(*(pick(f.name) for f in S.PARSED))
+
+
+def hybrid_parse(raw: DataFrame, primary: DataFrame, fallback: Callable[[DataFrame], DataFrame] = parse_structured) -> DataFrame:
+    """hybrid_overlay without parsing twice: only rows that the primary did not settle reach the fallback.
+
+    primary is read twice and filtered, so pass pinned rows, as extract_with_model returns them.
+    """
+    names = [f.name for f in S.PARSED]
+    good = primary.filter(usable()).select(*names)
+    rest = raw.join(good.select(F.col("raw_id").alias("id")), "id", "left_anti")
+    parsed = fallback(rest).withColumn("parse_warnings", _fallback_warnings(F.col("parse_warnings")))
+    return good.unionByName(parsed.select(*names))
 
 
 def parse_stats(parsed: DataFrame) -> DataFrame:

@@ -31,7 +31,8 @@ Parser = Callable[[DataFrame], DataFrame]
 
 
 def hybrid_parser(primary: Parser, fallback: Parser = P.parse_structured) -> Parser:
-    return lambda raw: P.hybrid_overlay(primary(raw), fallback(raw))
+    """The primary parser first, the fallback for what it left open. The primary returns pinned rows."""
+    return lambda raw: P.hybrid_parse(raw, primary(raw), fallback)
 
 
 @dataclass(frozen=True)

@@ -201,6 +201,8 @@ def test_overlay(spark):
     rows = P.hybrid_overlay(P.decode_model_json(answers), P.parse_structured(raw)).orderBy("raw_id").collect()
     assert [r.job_title for r in rows] == ["M", "T1", "T2", "T3"]
     assert [r.parse_warnings for r in rows[1:]] == [[P.FELL_BACK]] * 3
+    shorter = J.hybrid_parser(lambda _: P.decode_model_json(answers))(raw).orderBy("raw_id").collect()
+    assert [r.asDict() | {"parsed_at": None} for r in shorter] == [r.asDict() | {"parsed_at": None} for r in rows]
 
 
 def test_rules_can_be_added(spark):
