@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postweave import schemas as S
 from postweave.functions import jsonval as J
 from postweave.functions.text import blank, stable_uuid, strip
 

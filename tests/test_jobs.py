@@ -8,7 +8,6 @@ from postweave.functions import rules as R
 from postweave.operators import deliver as D
 from postweave.operators import model as N
 from postweave.operators import parse as P
-from postweave.operators import review as V
 from postweave.operators import tables as T
 from postweave.operators import validate as W
 from postweave.plans import intake as J
