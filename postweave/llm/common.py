@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Words between ASCII white space, as Java and Python patterns read them.
@@ -21,3 +22,46 @@ def lower_ascii(text: Column) -> Column:
 
 def sha256_of(joined: Column) -> Column:
     return F.sha2(joined, 256)
+
+
+# Which bytes of UTF-8 stand in words of either kind.
+ALNUM_BYTES = np.zeros(256, bool)
+ALNUM_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+SPACED_BYTES = np.ones(256, bool)
+SPACED_BYTES[[32, *range(9, 14)]] = False
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_MIX = 0x9E3779B97F4A7C15
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+class Words:
+    """The words of one byte string, A-Z in lower case: bounds, a hash of each, and the bytes."""
+
+    def __init__(self, data: bytes, inside: np.ndarray = ALNUM_BYTES):
+        self.lower = low = _LOWER[np.frombuffer(data, np.uint8)]
+        held = np.concatenate(([False], inside[low], [False]))
+        edges = np.flatnonzero(held[1:] != held[:-1])
+        self.start, self.end = edges[::2], edges[1::2]
+        n = len(low)
+        # A word's hash is the polynomial of its bytes, taken out of the prefix sums of the text.
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _powers(_MIX, n))))
+        raw = (sums[self.end] - sums[self.start]) * _powers(pow(_MIX, -1, 1 << 64), n + 1)[self.start]
+        raw = (raw ^ (raw >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+        self.hash = raw ^ (raw >> np.uint64(32))
+
+    def windows(self, n: int) -> np.ndarray:
+        """Hash of the n words from each word on."""
+        k = len(self.hash) - n + 1
+        out = np.zeros(max(k, 0), np.uint64)
+        for i in range(n if k > 0 else 0):
+            out = out * np.uint64(_MIX) + self.hash[i : i + k]
+        return (out ^ (out >> np.uint64(31))) + np.uint64(n)
+
+    def words(self, at: int, n: int) -> list[bytes]:
+        return [self.lower[s:e].tobytes() for s, e in zip(self.start[at : at + n], self.end[at : at + n])]

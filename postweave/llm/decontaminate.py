@@ -13,48 +13,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from postweave.llm.common import Words
+
 N = 13
 BLOCK_WORDS = 2_000_000
-_WORD = np.zeros(256, bool)
-_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_SPREAD = np.uint64(0xD6E8FEB86659FD93)
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-class Words:
-    """The words of one byte string: bounds, a hash of each, and the lower-case bytes."""
-
-    def __init__(self, data: bytes):
-        self.lower = low = _LOWER[np.frombuffer(data, np.uint8)]
-        inside = np.concatenate(([False], _WORD[low], [False]))
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
-        self.start, self.end = edges[::2], edges[1::2]
-        n = len(low)
-        # A word's hash is the polynomial of its bytes, taken out of the prefix sums of the text.
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _powers(_MIX, n))))
-        raw = (sums[self.end] - sums[self.start]) * _powers(_INVERSE, n + 1)[self.start]
-        raw = (raw ^ (raw >> np.uint64(29))) * _SPREAD
-        self.hash = raw ^ (raw >> np.uint64(32))
-
-    def windows(self, n: int) -> np.ndarray:
-        """Hash of the n words from each word on."""
-        k = len(self.hash) - n + 1
-        out = np.zeros(max(k, 0), np.uint64)
-        for i in range(n if k > 0 else 0):
-            out = out * _MIX + self.hash[i : i + k]
-        return (out ^ (out >> np.uint64(31))) + np.uint64(n)
-
-    def words(self, at: int, n: int) -> list[bytes]:
-        return [self.lower[s:e].tobytes() for s, e in zip(self.start[at : at + n], self.end[at : at + n])]
 
 
 class Windows:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postweave.llm import decontaminate, mixing, quality
+from postweave.llm import decontaminate, jaccard, mixing, quality, tokens
 from postweave.llm.common import table
 
 
@@ -19,6 +19,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.materialise(table(spark, sf_dir, "documents"), tokens.new_folder(spark, "shards"))[0]
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
@@ -27,13 +35,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op4_decontamination": op4_decontamination,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_token_shards": op8_token_shards,
     "op10_quality_rules": op10_quality_rules,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+
 ORACLES: dict[str, str] = {
+    "op7_ngram_jaccard": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_SPACED}) AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, list_aggregate(w[k:k + least(3, len(w)) - 1], 'string_agg', ' ') AS s
+  FROM d, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS u(k) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM g x JOIN g y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM c JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * m >= 90 * (p.n + q.n - m)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = d.doc_id), doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id)
+""",
     "op4_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_ALNUM}) AS w FROM documents),
 i AS (SELECT CAST(item_id AS VARCHAR) AS id, regexp_extract_all({_LOWER.format("text")}, {_ALNUM}) AS w
