@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postweave.llm import decontaminate, jaccard, mixing, quality, tokens
+from postweave.llm import decontaminate, jaccard, licenses, mixing, quality, tokens
 from postweave.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -34,6 +38,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
+    "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_token_shards": op8_token_shards,
