@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from postweave.llm import decontaminate, jaccard, mixing, quality, tokens
-from postweave.llm.common import table
+from postweave.llm.common import new_folder, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shards of token ids in training order; a row per document tells where its ids stand."""
-    return tokens.materialise(docs, tokens.new_folder(spark, "training"))[0]
+    return tokens.materialise(docs, new_folder(spark, "training"))[0]
 
 
 STAGES = [
@@ -49,7 +49,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's result is a table in the shared folder, so that a lost executor costs no more."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = tokens.new_folder(spark, name.replace(" ", "-"))
+        path = new_folder(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from postweave.session import shared_dir
+
 # Words between ASCII white space, as Java and Python patterns read them.
 SPACED = r"[^\x20\x09-\x0D]+"
 # Words of digits, ASCII letters and anything beyond ASCII.
@@ -15,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written as a table in the shared folder and read again: as pinning, but columnar and compressed."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, everything else as it is; null as the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

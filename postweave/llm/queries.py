@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postweave.llm import decontaminate, jaccard, licenses, mixing, quality, tokens
-from postweave.llm.common import table
+from postweave.llm import decontaminate, jaccard, licenses, lm, mixing, quality, tokens
+from postweave.llm.common import new_folder, table
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,11 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.materialise(table(spark, sf_dir, "documents"), tokens.new_folder(spark, "shards"))[0]
+    return tokens.materialise(table(spark, sf_dir, "documents"), new_folder(spark, "shards"))[0]
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_token_shards": op8_token_shards,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
 }
 
