@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postweave.llm import decontaminate, jaccard, licenses, lm, mixing, quality, tokens
+from postweave.llm import decontaminate, jaccard, licenses, lm, mixing, pii, quality, tokens
 from postweave.llm.common import new_folder, table
 
 
@@ -23,6 +23,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pii_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("found")).alias("spans"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
+    "op6_personal_data": op6_personal_data,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_token_shards": op8_token_shards,
     "op9_lm_scoring": op9_lm_scoring,
