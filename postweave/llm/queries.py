@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postweave.llm import decontaminate, jaccard, licenses, lm, mixing, pii, quality, tokens
+from postweave.llm import decontaminate, jaccard, licenses, linechunks, lm, mixing, pii, quality, tokens
 from postweave.llm.common import new_folder, table
 
 
@@ -23,6 +23,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linechunks.line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_chunks", "n_removed", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("found")).alias("spans"))
@@ -49,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
+    "op5_line_chunks": op5_line_chunks,
     "op6_personal_data": op6_personal_data,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_token_shards": op8_token_shards,
@@ -62,6 +68,20 @@ _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _SPACED = r"'[^\x20\x09-\x0D]+'"
 
 ORACLES: dict[str, str] = {
+    "op5_line_chunks": """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+li AS (SELECT doc_id, k, l[k] AS line, md5(l[k]) AS h, md5(l[greatest(k - 1, 1)]) AS p FROM d, unnest(range(1, len(l) + 1)) AS u(k)),
+c AS (SELECT *, sum(CASE WHEN k = 1 OR substr(md5(p || h), 1, 1) < '8' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS nth FROM li),
+ch AS (SELECT doc_id, nth, count(*) AS n, string_agg(line, chr(10) ORDER BY k) AS body FROM c GROUP BY doc_id, nth),
+cand AS (SELECT *, len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) AS w, row_number() OVER (PARTITION BY body ORDER BY doc_id, nth) AS seen FROM ch),
+gone AS (SELECT doc_id, nth, n FROM cand WHERE seen > 1 AND w > 0 AND (n >= 2 OR w >= 50)),
+per AS (SELECT doc_id, count(*) AS r, sum(n) AS rl FROM gone GROUP BY doc_id),
+kept AS (SELECT c.doc_id, string_agg(line, chr(10) ORDER BY k) AS body FROM c ANTI JOIN gone g ON c.doc_id = g.doc_id AND c.nth = g.nth GROUP BY c.doc_id),
+tot AS (SELECT doc_id, count(*) AS n_lines, max(nth) AS n_chunks FROM c GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_chunks, 0) AS BIGINT) AS n_chunks,
+  CAST(coalesce(r, 0) AS BIGINT) AS n_removed, CAST(coalesce(rl, 0) AS BIGINT) AS n_removed_lines, sha256(coalesce(body, '')) AS kept_sha256
+FROM documents LEFT JOIN tot USING (doc_id) LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
     "op7_ngram_jaccard": f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_SPACED}) AS w FROM documents),
 g AS (SELECT DISTINCT doc_id, list_aggregate(w[k:k + least(3, len(w)) - 1], 'string_agg', ' ') AS s
