@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postweave.llm import decontaminate, jaccard, licenses, linechunks, lm, mixing, pii, quality, tokens
+from postweave.llm import decontaminate, jaccard, licenses, linechunks, lm, mixing, pii, quality, tokens, webtext
 from postweave.llm.common import new_folder, table
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -51,6 +55,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
     "op2_source_mixing": op2_source_mixing,
     "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
