@@ -44,29 +44,48 @@ ALNUM_BYTES = np.zeros(256, bool)
 ALNUM_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 SPACED_BYTES = np.ones(256, bool)
 SPACED_BYTES[[32, *range(9, 14)]] = False
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _MIX = 0x9E3779B97F4A7C15
+_INVERSE = pow(_MIX, -1, 1 << 64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+class _Powers:
+    """Powers of a number mod 2^64, kept up to a length that most texts stay under."""
+
+    def __init__(self, base: int):
+        self.base, self.kept = base, np.ones(1, np.uint64)
+
+    def __call__(self, n: int) -> np.ndarray:
+        if n > len(self.kept):
+            out = np.full(max(n, 1 << 16), self.base, np.uint64)
+            out[0] = 1
+            out = np.multiply.accumulate(out)
+            if n > 1 << 20:
+                return out
+            self.kept = out
+        return self.kept[:n]
+
+
+_powers, _inverses = _Powers(_MIX), _Powers(_INVERSE)
 
 
 class Words:
     """The words of one byte string, A-Z in lower case: bounds, a hash of each, and the bytes."""
 
     def __init__(self, data: bytes, inside: np.ndarray = ALNUM_BYTES):
-        self.lower = low = _LOWER[np.frombuffer(data, np.uint8)]
-        held = np.concatenate(([False], inside[low], [False]))
+        data = data.lower()
+        self.lower = low = np.frombuffer(data, np.uint8)
+        n = len(low)
+        held = np.zeros(n + 2, np.uint8)
+        held[1:-1] = np.frombuffer(data.translate(inside.tobytes()), np.uint8)
         edges = np.flatnonzero(held[1:] != held[:-1])
         self.start, self.end = edges[::2], edges[1::2]
-        n = len(low)
         # A word's hash is the polynomial of its bytes, taken out of the prefix sums of the text.
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _powers(_MIX, n))))
-        raw = (sums[self.end] - sums[self.start]) * _powers(pow(_MIX, -1, 1 << 64), n + 1)[self.start]
+        sums = np.zeros(n + 1, np.uint64)
+        terms = low.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= _powers(n)
+        np.cumsum(terms, out=sums[1:])
+        raw = (sums[self.end] - sums[self.start]) * _inverses(n + 1)[self.start]
         raw = (raw ^ (raw >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
         self.hash = raw ^ (raw >> np.uint64(32))
 
@@ -75,7 +94,8 @@ class Words:
         k = len(self.hash) - n + 1
         out = np.zeros(max(k, 0), np.uint64)
         for i in range(n if k > 0 else 0):
-            out = out * np.uint64(_MIX) + self.hash[i : i + k]
+            out *= np.uint64(_MIX)
+            out += self.hash[i : i + k]
         return (out ^ (out >> np.uint64(31))) + np.uint64(n)
 
     def words(self, at: int, n: int) -> list[bytes]:

@@ -18,21 +18,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from postweave.llm.common import SPACED_BYTES, Words
+from postweave.llm.common import SPACED_BYTES, Words, stored
 from postweave.llm.components import components
 from postweave.session import pin
 
 N = 3
 # Similarity as a fraction, so that every bound is exact.
 NUM, DEN = 90, 100
-SKETCH_BITS, SLICES = 18, 64
-RANGES = 32
+SKETCH_BITS, SLICES = 21, 64
+# Counts per hash range: a coarse vector of bytes, packed into two numbers, and a fine one of 16 bits each.
+COARSE, FINE = 16, 128
 
 
 def shingles(text: str | None, n: int = N) -> np.ndarray:
     """Sorted distinct hashes of the n-word shingles; of the whole sequence if it is shorter; none without words."""
     words = Words((text or "").encode(), SPACED_BYTES)
-    return np.unique(words.windows(min(n, len(words.hash)))) if len(words.hash) else np.zeros(0, np.uint64)
+    if not len(words.hash):
+        return np.zeros(0, np.uint64)
+    own = np.sort(words.windows(min(n, len(words.hash))))
+    first = np.ones(len(own), bool)
+    first[1:] = own[1:] != own[:-1]
+    return own[first]
 
 
 def node_of(own: np.ndarray, salt: int) -> int | None:
@@ -46,14 +52,21 @@ def second_of(own: np.ndarray) -> int | None:
     return node_of(own, 1 << 32) if len(own) else None
 
 
+def ranges_of(own: np.ndarray) -> tuple[int, int, bytes]:
+    """Elements per hash range: the coarse counts in two numbers, the fine ones as bytes. Full counts stay at their largest value."""
+    fine = np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=FINE)
+    low, high = np.minimum(fine.reshape(COARSE, -1).sum(1), 255).astype(np.uint8).view("<i8").tolist()
+    return low, high, np.minimum(fine, 65535).astype("<u2").tobytes()
+
+
 def _measured(docs: DataFrame, n: int, salt: int) -> DataFrame:
-    """Per document (doc_id, tkey, n_shingles, node, second), and per task the slices of its shingle counts.
+    """Per document (doc_id, tkey, n_shingles, node, second, counts per range), and per task the slices of its shingle counts.
 
-    tkey is a hash of the text. A shingle counts in one of 2^18 cells, once per document.
+    tkey is a hash of the text. A shingle counts in one of 2^21 cells, once per document.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("tkey", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("second", pa.int64()),
-        ("slice", pa.int32()), ("cells", pa.binary()),
+        ("low", pa.int64()), ("high", pa.int64()), ("fine", pa.binary()), ("slice", pa.int32()), ("cells", pa.binary()),
     ])
     names = [f.name for f in schema]
 
@@ -66,14 +79,14 @@ def _measured(docs: DataFrame, n: int, salt: int) -> DataFrame:
             for doc_id, tkey, text in zip(*batch.columns):
                 own = shingles(text.as_py(), n)
                 np.add.at(cells, (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-                rows.append((doc_id.as_py(), tkey.as_py(), len(own), node_of(own, salt), second_of(own), None, None))
+                rows.append((doc_id.as_py(), tkey.as_py(), len(own), node_of(own, salt), second_of(own), *ranges_of(own), None, None))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(schema), schema)], names=names)
         for i, part in enumerate(np.split(cells, SLICES)):
             if part.any():
-                packed = zstandard.compress(part.astype("<i8").tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((None,) * 5 + (i, packed), schema)], names=names)
+                packed = zstandard.compress(part.astype("<u4").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((None,) * 8 + (i, packed), schema)], names=names)
 
-    ddl = "doc_id bigint, tkey bigint, n_shingles bigint, node bigint, second bigint, slice int, cells binary"
+    ddl = "doc_id bigint, tkey bigint, n_shingles bigint, node bigint, second bigint, low bigint, high bigint, fine binary, slice int, cells binary"
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tkey"), "text").mapInArrow(run, ddl)
 
 
@@ -86,7 +99,7 @@ def _sketch(measured: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[i] = total.get(i, 0) + np.frombuffer(zstandard.decompress(cells), "<i8")
+                total[i] = total.get(i, 0) + np.frombuffer(zstandard.decompress(cells), "<u4").astype(np.int64)
         for i, part in total.items():
             yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "cells": pa.array([part.astype("<i8").tobytes()], pa.binary())})
 
@@ -129,30 +142,27 @@ def _entries(docs: DataFrame, sketch, n: int, salt: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int, salt: int, most: int = 1_000_000) -> DataFrame:
-    """(node, size, ranges, own) of the wanted (node, tkey): counts per hash range, and the sorted hashes.
+    """(node, size, own) of the wanted (node, w_doc_id, w_tkey): the sorted hashes.
 
-    Up to `most` wanted rows their keys go to all tasks; beyond, texts are shuffled by key. Copies count once per task before.
+    Up to `most` wanted rows are sent to all tasks; beyond, texts are shuffled by key.
     """
-    small = wanted.count() <= most
-    texts = docs.select(F.xxhash64("text").alias("tkey"), "text").join(F.broadcast(wanted) if small else wanted, "tkey").select("node", "text")
-    schema = pa.schema([("node", pa.int64()), ("size", pa.int32()), ("ranges", pa.list_(pa.int32())), ("own", pa.binary())])
+    wanted = pin(wanted)
+    sent = F.broadcast(wanted) if wanted.count() <= most else wanted
+    keyed = docs.select(F.col("doc_id").cast("long").alias("k"), F.xxhash64("text").alias("t"), "text")
+    texts = keyed.join(sent, F.col("k").eqNullSafe(F.col("w_doc_id")) & (F.col("t") == F.col("w_tkey"))).select("node", "text")
+    schema = pa.schema([("node", pa.int64()), ("size", pa.int32()), ("own", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
         for batch in batches:
             rows = []
             for node, text in zip(*batch.columns):
-                node = node.as_py()
-                if node in done:
-                    continue
-                own = shingles(text.as_py(), n)
+                node, own = node.as_py(), shingles(text.as_py(), n)
                 if node_of(own, salt) == node:  # and not another text of the same key
-                    done.add(node)
-                    rows.append((node, len(own), np.bincount((own >> np.uint64(59)).astype(np.int64), minlength=RANGES).tolist(), own.tobytes()))
+                    rows.append((node, len(own), own.tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return texts.mapInArrow(run, "node bigint, size int, ranges array<int>, own binary").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node bigint, size int, own binary").dropDuplicates(["node"])
 
 
 def _need(a: Column, b: Column) -> Column:
@@ -160,30 +170,44 @@ def _need(a: Column, b: Column) -> Column:
     return F.ceil(F.lit(NUM) * (a + b) / F.lit(NUM + DEN)).cast("int")
 
 
-def _close_ranges() -> Column:
-    """Suffix filter: sets that differ in more elements per hash range than the sizes allow are apart."""
-    apart = F.aggregate(F.zip_with("a_ranges", "b_ranges", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    return apart <= F.col("a_size") + F.col("b_size") - 2 * _need(F.col("a_size"), F.col("b_size"))
+def _may_be_similar(a: str, b: str) -> Column:
+    """Length and suffix filter of two sides with prefixes a and b: sets whose counts per hash range differ by more than the sizes allow are apart."""
+    size, other = F.col(f"{a}size"), F.col(f"{b}size")
+    lengths = DEN * F.least(size, other) >= NUM * F.greatest(size, other)
+    apart = F.lit(0)
+    for half in ("low", "high"):
+        for i in range(0, 64, 8):
+            byte = lambda x: F.shiftrightunsigned(f"{x}{half}", i).bitwiseAND(F.lit(255))  # noqa: B023, E731
+            apart = apart + F.abs(byte(a) - byte(b))
+    return lengths & (apart <= size + other - 2 * _need(size, other))
 
 
-@F.arrow_udf(returnType=T.IntegerType())
-def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array(
-        [len(np.intersect1d(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), assume_unique=True)) for x, y in zip(a, b)],
-        pa.int32(),
-    )
+def _fine_apart(a: pa.Array, b: pa.Array) -> pa.Array:
+    x, y = (np.frombuffer(b"".join(v.to_pylist()), "<u2").reshape(-1, FINE).astype(np.int32) for v in (a, b))
+    return pa.array(np.abs(x - y).sum(1).astype(np.int32))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the distinct pairs (a, b) that are similar: filtered by sizes and ranges, then by the whole sets."""
-    light = sets.select("node", "size", "ranges")
-    side = lambda df, x: df.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in df.columns])
-    likely = (
-        pairs.join(side(light, "a"), "a").join(side(light, "b"), "b")
-        .where((DEN * F.least("a_size", "b_size") >= NUM * F.greatest("a_size", "b_size")) & _close_ranges()).select("a", "b")
-    )
-    whole = sets.select("node", "own", "size")
-    both = likely.join(side(whole, "a"), "a").join(side(whole, "b"), "b").withColumn("common", _shared("a_own", "b_own"))
+def _common(a: pa.Array, b: pa.Array) -> pa.Array:
+    pairs = ((np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) for x, y in zip(a, b))
+    return pa.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in pairs], pa.int32())
+
+
+def _side(df: DataFrame, x: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in df.columns])
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, salt: int) -> DataFrame:
+    """Those of the distinct pairs (a, b) that are similar: filtered by fine ranges, then by the whole sets, once each."""
+    fine = nodes.select("node", "size", "fine")
+    apart = F.arrow_udf(_fine_apart, T.IntegerType())
+    allowed = F.col("a_size") + F.col("b_size") - 2 * _need(F.col("a_size"), F.col("b_size"))
+    likely = pairs.join(_side(fine, "a"), "a").join(_side(fine, "b"), "b").where(apart("a_fine", "b_fine") <= allowed).select("a", "b")
+    likely = pin(likely)
+    if likely.isEmpty():
+        return likely
+    ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    sets = stored(_sets(docs, nodes.join(ends, "node").select("node", "w_doc_id", "w_tkey"), n, salt), "jaccard-sets")
+    both = likely.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").withColumn("common", F.arrow_udf(_common, T.IntegerType())("a_own", "b_own"))
     return both.where(DEN * F.col("common") >= NUM * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b")
 
 
@@ -200,7 +224,7 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
     """
     salt = 0
     while True:
-        measured = pin(_measured(docs, n, salt))
+        measured = stored(_measured(docs, n, salt), "jaccard-measured")
         per = measured.where("slice IS NULL").drop("slice", "cells")
         # Different sets under one number would be taken for one: then all get other numbers.
         clash = per.where("node IS NOT NULL").groupBy("node").agg(F.min("second").alias("x"), F.max("second").alias("y")).where("x <> y")
@@ -210,31 +234,35 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
     sketch = docs.sparkSession.sparkContext.broadcast(_sketch(measured))
     entries = _entries(docs, sketch, n, salt)
     met = entries.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last").select("token", "pivot")
-    shared = pin(entries.join(met, "token").dropDuplicates(["token", "node"]))
-    wanted = per.join(shared.select("node").distinct(), "node").groupBy("node").agg(F.min("tkey").alias("tkey"))
-    sets = pin(_sets(docs, pin(wanted), n, salt))
+    # Copies within a task are already one; those of several tasks are dealt with where the rows are few.
+    shared = stored(entries.join(met, "token"), "jaccard-shared")
+    member = per.join(shared.select("node").distinct(), "node")
+    first_row = F.min(F.struct("doc_id", "tkey", F.col("n_shingles").cast("int").alias("size"), "low", "high", "fine")).alias("r")
+    nodes = member.groupBy("node").agg(first_row).select("node", F.col("r.doc_id").alias("w_doc_id"), F.col("r.tkey").alias("w_tkey"), "r.size", "r.low", "r.high", "r.fine")
+    nodes = stored(nodes, "jaccard-nodes")
+    coarse = nodes.select("node", "size", "low", "high")
 
     first = shared.where("node <> pivot").select(*_pair("node", "pivot")).distinct()
-    near = pin(_verified(first, sets))
+    first = first.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_")).select("a", "b")
+    near = pin(_verified(first, nodes, docs, n, salt))
     group = pin(components(near))
 
     # What shares a shingle with another component than its own.
-    known = shared.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = shared.select("token", "node", "place").distinct().join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_tokens = known.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
-    rest = pin(known.join(open_tokens, "token").select("token", "node", "size", "place", "component"))
-    y = rest.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "size", "place", "component")])
-    x = rest.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "size", "place", "component")])
+    rest = stored(known.join(open_tokens, "token").join(coarse, "node"), "jaccard-open")
+    fields = ("node", "size", "place", "component", "low", "high")
+    x, y = (rest.select("token", *[F.col(c).alias(f"{s}_{c}") for c in fields]) for s in "xy")
     size, other = F.col("x_size"), F.col("y_size")
     # The smaller set, or of equal ones the one of smaller number, is looked up by a shorter prefix.
     index = other - F.ceil(F.lit(2 * NUM) * other / F.lit(NUM + DEN)).cast("int") + 1
     can_reach = 1 + F.least(size - F.col("x_place") - 1, other - F.col("y_place") - 1) >= _need(size, other)
     ordered = (other < size) | ((other == size) & (F.col("y_node") < F.col("x_node")))
-    second = (
-        x.join(y.where(F.col("y_place") < index), "token")
-        .where(ordered & (F.col("x_component") != F.col("y_component")) & (DEN * other >= NUM * size) & can_reach)
-        .select(*_pair("x_node", "y_node")).distinct()
-    )
-    links = near.union(_verified(second.join(near, ["a", "b"], "left_anti"), sets))
+    second = x.join(
+        y.where(F.col("y_place") < index),
+        (x["token"] == y["token"]) & ordered & (F.col("x_component") != F.col("y_component")) & can_reach & _may_be_similar("x_", "y_"),
+    ).select(*_pair("x_node", "y_node")).distinct()
+    links = near.union(_verified(second, nodes, docs, n, salt))
     of = components(pin(links))
 
     named = per.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
