@@ -80,15 +80,13 @@ def salaries(source: str, key: str, t: str) -> dict[str, str]:
     }
 
 
-def description(t: str) -> str:
+def description(t: str, cut: bool = True) -> str:
     lines = f"list_transform(string_split({t}, chr(10)), lambda x: {strip('x')})"
     header = q("^(?i:" + "|".join(X.DESCRIPTION_HEADERS) + r")[:\s]")
     at = f"list_position(list_transform({lines}, lambda x: regexp_matches(x, {header})), true)"
     kept = f"list_filter(list_slice({lines}, {at}, len({lines})), lambda x: x <> '')"
-    return (
-        f"CASE WHEN coalesce({at}, 0) > 0 THEN array_to_string(list_slice({kept}, 1, {X.DESCRIPTION_LINES}), chr(10)) "
-        f"ELSE left({t}, {X.DESCRIPTION_CHARS}) END"
-    )
+    body, head = (f"list_slice({kept}, 1, 100)", f"left({t}, 2000)") if cut else (kept, t)
+    return f"CASE WHEN coalesce({at}, 0) > 0 THEN array_to_string({body}, chr(10)) ELSE {head} END"
 
 
 def fp(t: str) -> str:
@@ -130,6 +128,7 @@ ORACLES["extract_from_documents"] = ctes(**salaries("documents", "doc_id", "text
     f"{employment('text')} AS employment_type, {remote('text')} AS remote FROM documents LEFT JOIN pay ON doc_id = k"
 )
 ORACLES["clean_description"] = f"SELECT doc_id, {description('text')} AS description FROM documents"
+ORACLES["clean_description_uncut"] = f"SELECT doc_id, {description('text', cut=False)} AS description FROM documents"
 ORACLES["fingerprint"] = f"SELECT doc_id, {fp('text')} AS fp FROM documents"
 
 # Fields of every posting by text and, with m_ columns, by board metadata; then the rows of both parsers.
@@ -166,10 +165,13 @@ ORACLES["parse_workable"] = ctes(**_FIELDS) + "SELECT * FROM board"
 ORACLES["parse_structured"] = ctes(**_FIELDS) + "SELECT * FROM structured"
 
 
-def prompt(t: str) -> str:
-    return f"replace({q(P.PROMPT)}, '{{raw_text}}', left({t}, {P.PROMPT_CHARS}))"
+def prompt(t: str, cut: bool = True) -> str:
+    return f"replace({q(P.PROMPT)}, '{{raw_text}}', {f'left({t}, 8000)' if cut else t})"
 
 
+ORACLES["build_prompt_uncut"] = (
+    f"SELECT doc_id, CAST(length({prompt('text', False)}) AS INT) AS chars, md5({prompt('text', False)}) AS digest FROM documents"
+)
 ORACLES["build_prompt"] = f"SELECT doc_id, CAST(length({prompt('text')}) AS INT) AS chars, md5({prompt('text')}) AS digest FROM documents"
 
 
@@ -320,7 +322,7 @@ ORACLES["exists_by_external_id"] = ctes(postings=POSTINGS) + (
 # ── sources ─────────────────────────────────────────────────────────────────────────────────────
 
 # Rows are numbered by page and position on it.
-_SEQ = f"(seq // {L.PAGE_SIZE}) * 1000000 + row_number() OVER (PARTITION BY seq // {L.PAGE_SIZE} ORDER BY seq) - 1 AS seq"
+_SEQ = f"(seq // {L.PAGE_SIZE}) * 2147483648 + row_number() OVER (PARTITION BY seq // {L.PAGE_SIZE} ORDER BY seq) - 1 AS seq"
 _NL = "chr(10)"
 
 
@@ -393,7 +395,7 @@ def _links(board: H.Board) -> str:
             f"unnest(regexp_extract_all(payload, {_ANCHOR}, 1)) AS href, unnest(regexp_extract_all(payload, {_ANCHOR}, 2)) AS body FROM search"
         ),
         named=f"SELECT * EXCLUDE (href, body), {unescape('href')} AS href, {strip(unescape('body'))} AS title FROM anchors",
-    ) + f"SELECT page_seq * 1000000 + pos AS seq, unit, title, {url} AS url FROM named WHERE ({mark}) AND length(title) > 5"
+    ) + f"SELECT page_seq * 2147483648 + pos AS seq, unit, title, {url} AS url FROM named WHERE ({mark}) AND length(title) > 5"
 
 
 _HIDDEN = q(r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>")
@@ -533,6 +535,10 @@ ORACLES["bulk_action"] = ctes(**_ASKED) + (
     "SELECT id AS requested_id, true AS success, id AS job_id, 'rejected' AS status, '' AS message FROM queue "
     f"WHERE confidence >= {Q.THRESHOLD} AND n_issues = 0"
 )
+ORACLES["bulk_action_all"] = ctes(jobs=JOBS) + (
+    "SELECT id AS requested_id, true AS success, id AS job_id, 'rejected' AS status, '' AS message FROM jobs "
+    f"WHERE status = 'parsed' AND confidence >= {Q.THRESHOLD} AND len({_STANDARD}) = 0"
+)
 ORACLES["auto_approve"] = ctes(jobs=JOBS) + (
     f"SELECT id FROM jobs WHERE status = 'parsed' AND confidence >= {Q.THRESHOLD} AND len({_STANDARD}) = 0"
 )
@@ -640,7 +646,11 @@ _DOC_FIELDS = dict(
     scored="SELECT *, CASE WHEN job_title = '[UNKNOWN]' THEN 0.3 ELSE 0.5 END AS confidence FROM found",
 )
 ORACLES["ingest_manual"] = ctes(**_DOC_FIELDS, checked=graded("scored")) + (
-    "SELECT true AS success, 'sent' AS status, n_issues AS issues, count(*) AS jobs FROM checked GROUP BY ALL"
+    "SELECT true AS success, 'sent' AS status, n_issues AS issues, count(*) AS jobs, count(*) AS written FROM checked GROUP BY ALL"
+)
+ORACLES["ingest_two_runs"] = (
+    "SELECT 'run-9' AS run_id, 'sent' AS status, count(*) AS jobs, count(*) AS ids FROM documents UNION ALL "
+    "SELECT 'run-10', 'rejected', count(*), count(*) FROM documents"
 )
 _NEW = "NOT EXISTS (SELECT 1 FROM postings s WHERE s.mark = 'F' AND s.external_id = kept.external_id AND s.external_id <> '')"
 ORACLES["bulk_ingest"] = ctes(
@@ -654,8 +664,7 @@ ORACLES["bulk_ingest"] = ctes(
     "(SELECT count(*) FROM keys) - (SELECT count(*) FROM fresh) AS duplicates, per_source FROM done, per"
 )
 ORACLES["streaming_ingest"] = ORACLES["dedup_postings"]
-# All rows of one save carry the same time, so the queue is ordered by job id, a hash of the raw id.
-ORACLES["review_queue"] = ctes(
-    **_FIELDS, checked=graded("structured"),
-    queued="SELECT *, row_number() OVER (ORDER BY md5(concat('parsed', chr(1), raw_id))) <= 1000 AND confidence >= 0.5 AND n_issues = 0 AS taken FROM checked",
-) + "SELECT CASE WHEN taken THEN 'sent' ELSE 'parsed' END AS status, count(*) AS jobs FROM queued GROUP BY 1"
+ORACLES["review_queue"] = ctes(**_FIELDS, checked=graded("structured")) + (
+    "SELECT CASE WHEN confidence >= 0.5 AND n_issues = 0 THEN 'sent' ELSE 'parsed' END AS status, count(*) AS jobs, "
+    "count(CASE WHEN confidence >= 0.5 AND n_issues = 0 THEN 1 END) AS written FROM checked GROUP BY 1"
+)

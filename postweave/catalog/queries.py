@@ -113,6 +113,12 @@ def clean_description(spark, sf_dir):
     return I.table(spark, sf_dir, "documents").select("doc_id", d.alias("description"))
 
 
+@query
+def clean_description_uncut(spark, sf_dir):
+    d = X.description(F.col("text"), lines=None, chars=None)
+    return I.table(spark, sf_dir, "documents").select("doc_id", d.alias("description"))
+
+
 @query
 def fingerprint(spark, sf_dir):
     return I.table(spark, sf_dir, "documents").select("doc_id", X.fingerprint(F.col("text")).alias("fp"))
@@ -139,6 +145,12 @@ def build_prompt(spark, sf_dir):
     return P.build_prompt(docs).select("doc_id", F.length("prompt").alias("chars"), F.md5("prompt").alias("digest"))
 
 
+@query
+def build_prompt_uncut(spark, sf_dir):
+    docs = I.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw_text"))
+    return P.build_prompt(docs, chars=None).select("doc_id", F.length("prompt").alias("chars"), F.md5("prompt").alias("digest"))
+
+
 @query
 def decode_model_json(spark, sf_dir):
     parsed = P.decode_model_json(L.answers(spark, sf_dir))
@@ -236,9 +248,8 @@ def validation_outcome(spark, sf_dir):
 @query
 def outcome_per_source(spark, sf_dir):
     """Extraction, validation and outcome counts per source."""
-    raw = I.postings(spark, sf_dir)
-    checked = W.validate(P.parse_generic(raw))
-    return W.outcome_counts(T.with_source(checked, raw), "source").withColumn("avg_confidence", F.round("avg_confidence", 6))
+    checked = W.validate(P.parse_generic(I.postings(spark, sf_dir), carry=("source",)))
+    return W.outcome_counts(checked, "source").withColumn("avg_confidence", F.round("avg_confidence", 6))
 
 
 # ── union, deduplication, limits ────────────────────────────────────────────────────────────────
@@ -290,12 +301,12 @@ def dedup_stats(spark, sf_dir):
 
 @query
 def dedup_stats_until_target(spark, sf_dir):
-    return U.dedup_stats(U.dedup_keys(I.postings(spark, sf_dir)), target=U.TARGET_MAX)
+    return U.dedup_stats(U.dedup_keys(I.postings(spark, sf_dir)), target=U.REQUEST_MAX)
 
 
 @query
 def dedup_totals(spark, sf_dir):
-    return U.dedup_totals(U.dedup_stats(U.dedup_keys(I.postings(spark, sf_dir)), target=U.TARGET_MAX), U.TARGET_MAX)
+    return U.dedup_totals(U.dedup_stats(U.dedup_keys(I.postings(spark, sf_dir)), target=U.REQUEST_MAX), U.REQUEST_MAX)
 
 
 def _stored(raw: DataFrame) -> DataFrame:
@@ -421,9 +432,9 @@ def _job_row(jobs: DataFrame) -> DataFrame:
 def save_raw(spark, sf_dir):
     store = T.JobTables(_new_dir(spark))
     raw = I.postings(spark, sf_dir)
-    store.save_raw(raw.filter(F.col("mark") == "F"), "run-1")
-    store.save_raw(raw, "run-2")
-    return _flat_raw(T.latest_by_id(store.raw(spark)))
+    store.save_raw(raw.filter(F.col("mark") == "F").withColumn("raw_text", F.lit("an earlier text")), "run-9")
+    store.save_raw(raw, "run-10")
+    return _flat_raw(store.raw(spark))
 
 
 @query
@@ -494,12 +505,12 @@ def _refusing(body: dict) -> None:
 
 @query
 def approve(spark, sf_dir):
-    return V.approve(_asked(spark, sf_dir), I.jobs(spark, sf_dir), "ann", "fine", D.to_sender(_refusing)).results
+    return V.approve(_asked(spark, sf_dir), I.jobs(spark, sf_dir), "ann", "fine", send=D.to_sender(_refusing)).results
 
 
 @query
 def approve_events(spark, sf_dir):
-    events = V.approve(_asked(spark, sf_dir), I.jobs(spark, sf_dir), "ann", "fine", D.to_sender(_refusing)).events
+    events = V.approve(_asked(spark, sf_dir), I.jobs(spark, sf_dir), "ann", "fine", send=D.to_sender(_refusing)).events
     return events.select("job_id", "status", "reviewer_notes")
 
 
@@ -511,11 +522,19 @@ def reject(spark, sf_dir):
 @query
 def approve_batch(spark, sf_dir):
     asked = _asked(spark, sf_dir)
-    return V.for_each_request(asked, V.approve_batch(asked, I.jobs(spark, sf_dir), "ann").results)
+    done = V.approve_batch(asked, I.jobs(spark, sf_dir), "ann", send=D.to_files(_new_dir(spark)))
+    return V.for_each_request(asked, done.results)
 
 
 @query
 def bulk_action(spark, sf_dir):
+    jobs = W.validate(I.jobs(spark, sf_dir)).drop("is_valid")
+    return V.bulk_action("reject", jobs, "ann", "old", confidence_min=THRESHOLD, exclude_flagged=True, limit=V.QUEUE).results
+
+
+@query
+def bulk_action_all(spark, sf_dir):
+    """The whole queue, whatever its length."""
     jobs = W.validate(I.jobs(spark, sf_dir)).drop("is_valid")
     return V.bulk_action("reject", jobs, "ann", "old", confidence_min=THRESHOLD, exclude_flagged=True).results
 
@@ -639,12 +658,39 @@ def breaker_stats(spark, sf_dir):
 
 # ── whole jobs ──────────────────────────────────────────────────────────────────────────────────
 
+def _intake(spark, root: str, **options) -> J.Intake:
+    """A store whose payloads go to files beside it."""
+    return J.Intake(T.JobTables(f"{root}/store"), D.to_files(f"{root}/delivered"), **options)
+
+
+def _delivered(spark, root: str) -> DataFrame:
+    """Payloads as they stand in the files, of all runs."""
+    return spark.read.schema("job_id string, job_title string, run_id string").json(f"{root}/delivered")
+
+
 @query
 def ingest_manual(spark, sf_dir):
+    """Counts of the results, and how many of their payloads stand in the delivered files."""
     texts = I.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("text").alias("raw_text"))
-    store = J.Intake(T.JobTables(_new_dir(spark)))
-    done = J.ingest(store, S.raw_manual(texts), "run-1")
-    return done.groupBy("success", "status", F.size("errors").alias("issues")).agg(F.count(F.lit(1)).alias("jobs"))
+    root = _new_dir(spark)
+    done = J.ingest(_intake(spark, root), S.raw_manual(texts), "run-1")
+    both = done.join(_delivered(spark, root).select("job_id", F.lit(1).alias("written")), "job_id", "left")
+    return both.groupBy("success", "status", F.size("errors").alias("issues")).agg(F.count(F.lit(1)).alias("jobs"), F.count("written").alias("written"))
+
+
+@query
+def ingest_two_runs(spark, sf_dir):
+    """Two runs whose rows are numbered alike: every row has an id of its own, and a rejection in one run stays in it."""
+    docs = I.table(spark, sf_dir, "documents")
+    root = _new_dir(spark)
+    store = _intake(spark, root)
+    for run, text in (("run-9", F.col("text")), ("run-10", F.concat(F.lit("Title: Second\n"), "text"))):
+        J.ingest(store, S.raw_manual(docs.select(F.col("doc_id").alias("seq"), text.alias("raw_text"))), run)
+    jobs = store.tables.parsed(spark)
+    second = jobs.filter(F.col("run_id") == "run-10").select(F.col("id").alias("job_id"))
+    store.tables.log_status(T.update_status(jobs, second, "rejected", "again", event_seq=3), "by-hand")
+    now = T.current_jobs(store.tables.parsed(spark), store.tables.status_log(spark))
+    return now.groupBy("run_id", "status").agg(F.count(F.lit(1)).alias("jobs"), F.count_distinct("id").alias("ids"))
 
 
 def _by_source(spark, sf_dir) -> dict[str, Callable[[], DataFrame]]:
@@ -656,7 +702,7 @@ def _by_source(spark, sf_dir) -> dict[str, Callable[[], DataFrame]]:
 @query
 def bulk_ingest(spark, sf_dir):
     """A store that already knows some ids takes in the rest; one of the sources fails."""
-    store = J.Intake(T.JobTables(_new_dir(spark)))
+    store = _intake(spark, _new_dir(spark))
     store.tables.save_raw(_stored(I.postings(spark, sf_dir)), "run-0")
     done = J.run_bulk(spark, store, _by_source(spark, sf_dir), run_id="run-1")
     per_source = F.transform(F.array_sort(F.map_entries("per_source")), lambda e: F.concat_ws("=", e["key"], e["value"]))
@@ -671,9 +717,9 @@ def streaming_ingest(spark, sf_dir):
     top = raw.agg(F.max("seq")).scalar()
     for i in range(3):
         part = raw.filter((F.col("seq") * 3 > top * i) if i else F.lit(True)).filter(F.col("seq") * 3 <= top * (i + 1))
-        part.coalesce(1).write.mode("append").parquet(f"{root}/landed")
-    rows = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
-    store = J.Intake(T.JobTables(f"{root}/store"))
+        part.write.mode("append").parquet(f"{root}/landed/part={i}")
+    rows = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed/part=*")
+    store = _intake(spark, root)
     C.run_cycle(store, rows, f"{root}/progress").awaitTermination()
     return _flat_raw(store.tables.raw(spark))
 
@@ -681,8 +727,10 @@ def streaming_ingest(spark, sf_dir):
 @query
 def review_queue(spark, sf_dir):
     """Approves the sound part of the queue of a gated run, then counts the jobs by status."""
-    store = J.Intake(T.JobTables(_new_dir(spark)), review_gate=True)
+    root = _new_dir(spark)
+    store = _intake(spark, root, review_gate=True)
     J.ingest(store, I.postings(spark, sf_dir), "run-1")
     J.review(store, spark, "approve", "ann", confidence_min=0.5, exclude_flagged=True)
     jobs = T.current_jobs(store.tables.parsed(spark), store.tables.status_log(spark))
-    return jobs.groupBy("status").agg(F.count(F.lit(1)).alias("jobs"))
+    written = _delivered(spark, root).select(F.col("job_id").alias("id"), F.lit(1).alias("written"))
+    return jobs.join(written, "id", "left").groupBy("status").agg(F.count(F.lit(1)).alias("jobs"), F.count("written").alias("written"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -117,9 +118,14 @@ def skills(text: Column, names: Sequence[str] = SKILLS, whole_words: bool = Fals
     return F.array_remove(F.split(joined, _SEP), "")
 
 
+# Decimal digits of all scripts, as the patterns match them, and what they stand for.
+_OTHER = [(chr(i), str(unicodedata.decimal(chr(i)))) for i in range(128, 0x110000) if unicodedata.decimal(chr(i), None) is not None]
+_OTHER_DIGITS, _ASCII_DIGITS = ("".join(x) for x in zip(*_OTHER))
+
+
 def _amount(digits: Column) -> Column:
     """Number behind one salary capture; null when it has more digits than any number here."""
-    n = F.rtrim(digits, F.lit("k")).try_cast("bigint")
+    n = F.translate(F.rtrim(digits, F.lit("k")), _OTHER_DIGITS, _ASCII_DIGITS).try_cast("bigint")
     return n * F.when(digits.endswith("k"), 1000).otherwise(1)
 
 
@@ -163,13 +169,12 @@ _TAIL = (
 _BREAKS = rf"(?U){_IN_LINE}*+\n[\s\x1c-\x1f]*+"
 
 
-def description(text: Column) -> Column:
-    """Stripped, non-empty lines from the first header line on, or the head of the text without one."""
+def description(text: Column, lines: int | None = DESCRIPTION_LINES, chars: int | None = DESCRIPTION_CHARS) -> Column:
+    """Stripped, non-empty lines from the first header line on, or the head of the text without one; None sets no limit."""
     tail = F.regexp_extract(text, _TAIL, 1)
-    lines = F.regexp_replace(strip(tail), _BREAKS, "\n")
-    return F.when(tail != "", F.substring_index(lines, "\n", DESCRIPTION_LINES)).otherwise(
-        F.left(text, F.lit(DESCRIPTION_CHARS))
-    )
+    body = F.regexp_replace(strip(tail), _BREAKS, "\n")
+    body = body if lines is None else F.substring_index(body, "\n", lines)
+    return F.when(tail != "", body).otherwise(text if chars is None else F.left(text, F.lit(chars)))
 
 
 _HEAD = rf"(?dU)^{SPACE}*+([^\n]*+(?:\n[^\n]*+)?)"

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postweave.functions.extract import fingerprint
 from postweave.functions.text import blank, or_null
+from postweave.session import pin
 
-# Bounds of a requested run size.
-TARGET_MIN, TARGET_MAX = 1, 2_000
+# Fixed value: the largest run size that a request may ask for. The operators here take any.
+REQUEST_MAX = 2_000
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:
@@ -32,9 +33,10 @@ def dedup_keys(raw: DataFrame) -> DataFrame:
 
 
 def _first_per(keys: DataFrame, *by: Column) -> DataFrame:
-    row = F.struct("seq", *(c for c in keys.columns if c != "seq"))
+    """The row of least seq per key. Only seq is aggregated, by hash; the other columns follow for the survivors."""
     named = [c.alias(f"_k{i}") for i, c in enumerate(by)]
-    return keys.groupBy(*named).agg(F.min(row).alias("_r")).select("_r.*")
+    first = keys.groupBy(*named).agg(F.min("seq").alias("seq")).select("seq")
+    return first if keys.columns == ["seq"] else keys.join(first, "seq", "left_semi")
 
 
 def first_by_external_id(keys: DataFrame) -> DataFrame:
@@ -54,11 +56,11 @@ def survivors(keys: DataFrame, by_fingerprint: bool = True) -> DataFrame:
 
 
 def take_target(kept: DataFrame, target: int | None) -> DataFrame:
-    """First `target` rows by arrival, a top-k of bounded size; None takes all."""
+    """First `target` rows by arrival; None takes all."""
     if target is None:
         return kept
-    if not TARGET_MIN <= target <= TARGET_MAX:
-        raise ValueError(f"target must lie in {TARGET_MIN}..{TARGET_MAX}, or be None for all rows")
+    if target < 1:
+        raise ValueError("target must be positive, or None for all rows")
     return kept.orderBy("seq").limit(target)
 
 
@@ -85,20 +87,22 @@ def dedup_within_fetch(raw: DataFrame, unit: str = "unit") -> DataFrame:
     return rows_at(raw, first)
 
 
-def dedup_stats(keys: DataFrame, by_fingerprint: bool = True, target: int | None = None) -> DataFrame:
-    """Kept and dropped rows per source; rows that arrive after the target is reached count as neither."""
-    kept = take_target(survivors(keys, by_fingerprint), target)
+def dedup_stats(keys: DataFrame, by_fingerprint: bool = True, target: int | None = None, kept: DataFrame | None = None) -> DataFrame:
+    """Kept and dropped rows per source; rows that arrive after the target is reached count as neither.
+
+    kept: what the caller has already taken from the keys; else it is computed, once, and pinned.
+    """
+    if kept is None:
+        kept = pin(take_target(survivors(keys, by_fingerprint), target).select("seq", "source"))
     seen = keys
     if target is not None:
         # One row: the arrival of the last row taken, or no limit while the target is not reached.
-        cut = kept.agg(F.when(F.count(F.lit(1)) >= target, F.max("seq")).alias("cut"))
-        limit = cut.scalar()
-        seen = keys.filter(limit.isNull() | (F.col("seq") <= limit))
-    total = seen.groupBy("source").agg(F.count(F.lit(1)).alias("seen"))
-    taken = kept.groupBy("source").agg(F.count(F.lit(1)).alias("kept"))
-    n = F.coalesce("kept", F.lit(0))
-    return total.join(taken, "source", "left").select(
-        "source", n.alias("kept"), (F.col("seen") - n).alias("dropped")
+        limit = kept.agg(F.when(F.count(F.lit(1)) >= target, F.max("seq"))).first()[0]
+        seen = keys if limit is None else keys.filter(F.col("seq") <= limit)
+    one, none = F.lit(1), F.lit(0)
+    both = seen.select("source", one.alias("seen"), none.alias("kept")).unionAll(kept.select("source", none.alias("seen"), one.alias("kept")))
+    return both.groupBy("source").agg(F.sum("seen").alias("seen"), F.sum("kept").alias("kept")).select(
+        "source", "kept", (F.col("seen") - F.col("kept")).alias("dropped")
     )
 
 

@@ -36,9 +36,9 @@ def to_payload(jobs: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
-def write_jsonl(payloads: DataFrame, path: str) -> None:
-    """Appends JSON lines, nulls written out."""
-    payloads.write.mode("append").option("ignoreNullFields", "false").json(path)
+def write_jsonl(payloads: DataFrame, path: str, mode: str = "append") -> None:
+    """Writes JSON lines, nulls written out."""
+    payloads.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def deliver(payloads: DataFrame, send: Callable[[dict], None], max_tries: int = MAX_TRIES) -> DataFrame:
@@ -67,23 +67,27 @@ def deliver(payloads: DataFrame, send: Callable[[dict], None], max_tries: int =
     return payloads.mapInArrow(batches, OUTCOME)
 
 
-def to_files(path: str) -> Callable[[DataFrame], DataFrame]:
-    """A way to send: appends the payloads as JSON lines, then reports them as delivered."""
-    def send(payloads: DataFrame) -> DataFrame:
-        write_jsonl(payloads, path)
-        return delivered_to_file(payloads)
+def to_files(root: str) -> Callable[[DataFrame, str], DataFrame]:
+    """A way to send: writes the payloads as JSON lines to the run's folder, then reports what stands there as delivered.
+
+    A repeated run replaces its folder.
+    """
+    def send(payloads: DataFrame, run_id: str = "once") -> DataFrame:
+        path = f"{root.rstrip('/')}/run_id={run_id}"
+        write_jsonl(payloads, path, "overwrite")
+        return _delivered(payloads.sparkSession.read.schema(payloads.schema).json(path))
 
     return send
 
 
-def to_sender(send: Callable[[dict], None], max_tries: int = MAX_TRIES) -> Callable[[DataFrame], DataFrame]:
+def to_sender(send: Callable[[dict], None], max_tries: int = MAX_TRIES) -> Callable[[DataFrame, str], DataFrame]:
     """A way to send: one call per payload, with the outcomes pinned so that no later use sends again."""
-    return lambda payloads: pin(deliver(payloads, send, max_tries))
+    return lambda payloads, run_id="once": pin(deliver(payloads, send, max_tries))
 
 
-def delivered_to_file(payloads: DataFrame) -> DataFrame:
-    """Outcome rows for payloads that a committed file write has taken over."""
-    return payloads.select(
+def _delivered(written: DataFrame) -> DataFrame:
+    """Outcome rows for payloads read back from where they were written."""
+    return written.select(
         "job_id", F.lit(True).alias("ok"), F.lit(1).alias("attempts"), F.lit(None).cast("string").alias("error")
     )
 

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from postweave.operators import ordered as O
 
-# Reported percentiles, kept and shown runs.
+# Reported percentiles, runs shown.
 PERCENTILES = (50, 95, 99)
-HISTORY, RECENT = 50, 10
+RECENT = 10
 
 
 def _count(c: Column) -> Column:
@@ -100,9 +100,9 @@ def source_errors(outcomes: DataFrame) -> DataFrame:
 
 
 def recent_runs(summaries: DataFrame, n: int = RECENT) -> DataFrame:
-    """Last finished runs, newest first; at most the HISTORY that is kept."""
+    """Last n finished runs, newest first."""
     done = summaries.filter(F.col("finished_at").isNotNull())
-    return done.orderBy(F.desc("finished_at"), F.desc("run_id")).limit(min(n, HISTORY))
+    return done.orderBy(F.desc("finished_at"), F.desc("run_id")).limit(n)
 
 
 def run_status(runs: DataFrame) -> DataFrame:

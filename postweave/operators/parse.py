@@ -103,18 +103,19 @@ def _board_marks() -> dict[str, Column]:
     }
 
 
-def _extract(raw: DataFrame, fields: dict[str, Column]) -> DataFrame:
+def _extract(raw: DataFrame, fields: dict[str, Column], carry: Sequence[str] = ()) -> DataFrame:
     """The one pass over the text. Marks are added above it, where Catalyst keeps a second projection
     because every extracted column is costly and used more than once."""
     return raw.select(
         F.col("id").alias("raw_id"), F.col("source").alias("_source"),
         *(c.alias(n) for n, c in fields.items()),
-        F.lit(S.RULE_PARSER).alias("model_used"),
+        F.lit(S.RULE_PARSER).alias("model_used"), *carry,
     )
 
 
-def parse_generic(raw: DataFrame, now: Column | None = None) -> DataFrame:
-    return _finish(_extract(raw, _from_text(F.col("raw_text"))).withColumns(_generic_marks()), now)
+def parse_generic(raw: DataFrame, now: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """carry: columns of raw that stay beside the parsed ones."""
+    return _finish(_extract(raw, _from_text(F.col("raw_text")), carry).withColumns(_generic_marks()), now, carry)
 
 
 def parse_workable(raw: DataFrame, now: Column | None = None) -> DataFrame:
@@ -160,8 +161,9 @@ confidence (0 to 1), parse_warnings (list). Use null for what the posting does n
 PROMPT_CHARS = 8_000
 
 
-def build_prompt(raw: DataFrame, template: str = PROMPT) -> DataFrame:
-    head = F.left(F.col("raw_text"), F.lit(PROMPT_CHARS))
+def build_prompt(raw: DataFrame, template: str = PROMPT, chars: int | None = PROMPT_CHARS) -> DataFrame:
+    """Adds the prompt with the head of the text, or all of it where chars is None."""
+    head = F.col("raw_text") if chars is None else F.left(F.col("raw_text"), F.lit(chars))
     return raw.withColumn("prompt", F.replace(F.lit(template), F.lit("{raw_text}"), head))
 
 

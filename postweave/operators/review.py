@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from postweave.operators import deliver as D
 from postweave.operators.tables import pending, status_events
 
-# Statuses that may be approved, size of the filtered queue.
+# Statuses that may be approved, size of the queue that a request without ids may ask for.
 APPROVABLE = ("parsed", "failed")
 QUEUE = 1_000
 
-Send = Callable[[DataFrame], DataFrame]
+# Takes payloads and the id of the run they belong to; gives delivery outcomes.
+Send = Callable[[DataFrame, str], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -51,7 +52,7 @@ def decide_approval(ids: DataFrame, jobs: DataFrame) -> DataFrame:
 
 def approve(
     ids: DataFrame, jobs: DataFrame, reviewer: str, notes: str = "",
-    send: Send = D.delivered_to_file, now: Column | None = None, event_seq: int = 2,
+    *, send: Send, run_id: str = "review", now: Column | None = None, event_seq: int = 2,
 ) -> Action:
     """Sends the approvable jobs and marks them sent, or failed with the error as notes.
 
@@ -59,7 +60,7 @@ def approve(
     """
     asked = decide_approval(ids, jobs)
     allowed = asked.filter(F.col("refusal").isNull())
-    sent = send(D.to_payload(allowed, now))
+    sent = send(D.to_payload(allowed, now), run_id)
     ok = F.coalesce("ok", F.lit(False))
     results = asked.select("requested_id", "refusal").join(
         sent.withColumnRenamed("job_id", "_sent"), F.col("requested_id") == F.col("_sent"), "left"
@@ -90,9 +91,11 @@ def for_each_request(ids: DataFrame, results: DataFrame) -> DataFrame:
     return ids.select(F.col("job_id").alias("requested_id")).join(results, "requested_id")
 
 
-def queue_targets(jobs: DataFrame, confidence_min: float | None = None, exclude_flagged: bool = False) -> DataFrame:
-    """Ids among the first QUEUE pending rows that pass the filters; the limit comes first."""
-    rows = pending(jobs, QUEUE)
+def queue_targets(
+    jobs: DataFrame, confidence_min: float | None = None, exclude_flagged: bool = False, limit: int | None = None
+) -> DataFrame:
+    """Ids of pending rows that pass the filters; with a limit, of the oldest that many rows before filtering."""
+    rows = pending(jobs, limit)
     if confidence_min is not None:
         rows = rows.filter(F.col("confidence") >= confidence_min)
     if exclude_flagged:
@@ -102,14 +105,14 @@ def queue_targets(jobs: DataFrame, confidence_min: float | None = None, exclude_
 
 def bulk_action(
     action: str, jobs: DataFrame, reviewer: str, reason: str = "", ids: DataFrame | None = None,
-    confidence_min: float | None = None, exclude_flagged: bool = False, **options,
+    confidence_min: float | None = None, exclude_flagged: bool = False, limit: int | None = None, **options,
 ) -> Action:
-    """Approves or rejects the given ids, or else the filtered queue."""
-    targets = ids if ids is not None else queue_targets(jobs, confidence_min, exclude_flagged)
+    """Approves or rejects the given ids, or else the filtered queue: all of it, or of its first `limit` rows."""
+    targets = ids if ids is not None else queue_targets(jobs, confidence_min, exclude_flagged, limit)
     if action == "approve":
         return approve_batch(targets, jobs, reviewer, **options)
     if action == "reject":
-        return reject(targets, jobs, reviewer, reason, **{k: v for k, v in options.items() if k != "send"})
+        return reject(targets, jobs, reviewer, reason, **{k: v for k, v in options.items() if k not in ("send", "run_id")})
     raise ValueError(f"Invalid bulk action: {action}")
 
 

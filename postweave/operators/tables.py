@@ -1,7 +1,8 @@
 """Job tables: append-only Parquet folders plus a status log; queries over them.
 
 Every save writes its own run_id folder and replaces that folder when repeated, so a retried run
-or micro-batch leaves the same table. Status changes are appended events, never updates in place.
+or micro-batch leaves the same table. Rows carry the time of their save; readers see the last saved
+row of an id. Status changes are appended events, never updates in place.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postweave import schemas as S
+from postweave.session import pin
 
 
 @dataclass(frozen=True)
@@ -27,16 +29,24 @@ class JobTables:
         df.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path(name)}/run_id={run_id}")
 
     def save_raw(self, raw: DataFrame, run_id: str) -> None:
-        self._save(raw.select(*(f.name for f in S.RAW)), "raw_jobs", run_id, ("source",))
-
-    def land(self, rows: DataFrame, name: str, run_id: str) -> DataFrame:
-        """Writes the rows of one source as they came and reads them back from there."""
-        path = f"{self.path('landed')}/run_id={run_id}/{name}"
-        rows.write.mode("overwrite").parquet(path)
-        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+        self._save(raw.select(*(f.name for f in S.RAW), _saved_at()), "raw_jobs", run_id, ("source",))
 
     def save_parsed(self, parsed: DataFrame, run_id: str) -> None:
-        self._save(parsed.select(*(f.name for f in S.PARSED)), "parsed_jobs", run_id)
+        """Rows in the order of their ids, so that a look-up reads few row groups; with what the parser tells of its calls."""
+        told = [F.col(f.name) if f.name in parsed.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in _CALL_ONLY]
+        rows = parsed.select(*(f.name for f in S.PARSED), *told, _saved_at())
+        self._save(rows.sortWithinPartitions("id"), "parsed_jobs", run_id)
+
+    def save_fetches(self, fetches: DataFrame, run_id: str) -> None:
+        self._save(fetches.select(*(f.name for f in S.FETCH)), "fetches", run_id)
+
+    def fetches(self, spark: SparkSession) -> DataFrame:
+        """Outcomes of all tries to read a source: what error counts, streaks and breakers are made of."""
+        return self._read(spark, "fetches", S.FETCH)
+
+    def parse_calls(self, spark: SparkSession) -> DataFrame:
+        """Latency, failed attempts and fallbacks of all parsed rows."""
+        return self._read(spark, "parsed_jobs", S.PARSE_CALL)
 
     def log_status(self, events: DataFrame, run_id: str) -> None:
         self._save(events.select(*(f.name for f in S.STATUS_EVENT)), "status_log", run_id)
@@ -80,18 +90,43 @@ class JobTables:
             rows = spark.createDataFrame([], with_run)
         return rows.select(*fields, "run_id")
 
-    def raw(self, spark: SparkSession) -> DataFrame:
+    def raw_rows(self, spark: SparkSession) -> DataFrame:
+        """All saved rows, earlier versions included."""
         return self._read(spark, "raw_jobs", S.RAW)
 
-    def parsed(self, spark: SparkSession) -> DataFrame:
+    def parsed_rows(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "parsed_jobs", S.PARSED)
 
+    def raw(self, spark: SparkSession) -> DataFrame:
+        """The last saved row of every id."""
+        return latest_by_id(self._read(spark, "raw_jobs", _versioned(S.RAW))).drop("saved_at")
+
+    def parsed(self, spark: SparkSession) -> DataFrame:
+        return latest_by_id(self._read(spark, "parsed_jobs", _versioned(S.PARSED))).drop("saved_at")
+
+    def compact_log(self, spark: SparkSession, run_id: str) -> None:
+        """Writes the last event of every job to a new log beside the old one; the caller then reads that store's log instead."""
+        last = pin(latest_events(self.status_log(spark)))
+        self._save(last.select(*(f.name for f in S.STATUS_EVENT)), "status_log_compact", run_id)
+
     def status_log(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "status_log", S.STATUS_EVENT)
 
 
-def latest_by_id(rows: DataFrame, version: str = "run_id") -> DataFrame:
-    """The last saved row per id, where an id was saved by several runs.
+# What a parser tells of a call besides the parsed row.
+_CALL_ONLY = [f for f in S.PARSE_CALL if f.name not in S.PARSED.fieldNames()]
+
+
+def _saved_at() -> Column:
+    return F.current_timestamp().alias("saved_at")
+
+
+def _versioned(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema, T.StructField("saved_at", T.TimestampType())])
+
+
+def latest_by_id(rows: DataFrame, version: str = "saved_at") -> DataFrame:
+    """The last saved row per id, where an id was saved several times.
 
     Only (id, version) is aggregated; the wide rows meet the result in one join on unique keys.
     """
@@ -140,9 +175,10 @@ def current_jobs(parsed: DataFrame, log: DataFrame) -> DataFrame:
     )
 
 
-def pending(jobs: DataFrame, limit: int = 50) -> DataFrame:
-    """The oldest rows still in status parsed: a top-k."""
-    return jobs.filter(F.col("status") == "parsed").orderBy("parsed_at", "id").limit(limit)
+def pending(jobs: DataFrame, limit: int | None = 50) -> DataFrame:
+    """The oldest rows still in status parsed, a top-k; all of them, unordered, without limit."""
+    waiting = jobs.filter(F.col("status") == "parsed")
+    return waiting if limit is None else waiting.orderBy("parsed_at", "id").limit(limit)
 
 
 def get_by_id(jobs: DataFrame, job_id: str) -> DataFrame:

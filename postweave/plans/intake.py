@@ -5,18 +5,21 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from postweave import schemas as S
 from postweave.functions import rules as R
+from postweave.functions.text import stable_uuid
 from postweave.operators import dedup as U
 from postweave.operators import deliver as D
 from postweave.operators import metrics as M
 from postweave.operators import parse as P
 from postweave.operators import review as V
-from postweave.operators.tables import JobTables, current_jobs
+from postweave.operators.tables import JobTables, current_jobs, latest_events
 from postweave.operators.validate import validate, with_outcome
 from postweave.session import pin
 
@@ -39,13 +42,14 @@ def hybrid_parser(primary: Parser, fallback: Parser = P.parse_structured) -> Par
 class Intake:
     """What a run needs besides its rows. Every part can be replaced by another function.
 
-    With review_gate set, rows stay in status parsed until they are approved.
+    send has no default: what is marked sent has been written or accepted somewhere. With review_gate
+    set, rows stay in status parsed until they are approved.
     """
 
     tables: JobTables
+    send: V.Send
     parse: Parser = P.parse_structured
     rules: Sequence[R.Rule] = R.STANDARD
-    send: V.Send = D.delivered_to_file
     review_gate: bool = False
 
     def of_run(self, rows: DataFrame, run_id: str) -> DataFrame:
@@ -55,18 +59,27 @@ class Intake:
         """Saves, parses, validates, saves and delivers; the saved parsed rows and delivery outcomes.
 
         Each stage reads what the one before has written, so a lost executor costs a stage at most.
+        Ids name the run, source and arrival: other runs have other ids, a repeated run the same. Jobs
+        whose status is already sent are not sent again.
         """
         spark = raw.sparkSession
-        self.tables.save_raw(raw, run_id)
-        saved = self.of_run(self.tables.raw(spark), run_id).drop("run_id")
+        named = raw.withColumn("id", stable_uuid(F.lit(run_id), F.col("source"), F.col("seq").cast("string")))
+        self.tables.save_raw(named, run_id)
+        saved = self.of_run(self.tables.raw_rows(spark), run_id).drop("run_id")
         stamped = validate(self.parse(saved), self.rules).withColumns(
             {"reviewed_by": F.lit(REVIEWER), "reviewed_at": F.current_timestamp()}
         )
         self.tables.save_parsed(stamped, run_id)
-        parsed = self.of_run(self.tables.parsed(spark), run_id)
+        parsed = self.of_run(self.tables.parsed_rows(spark), run_id)
         if self.review_gate:
             return parsed, None
-        sent = self.send(D.to_payload(parsed))
+        log = self.tables.status_log(spark)
+        done = pin(
+            latest_events(log.filter(F.col("run_id") != run_id)).filter("status = 'sent'").select("job_id")
+            .join(parsed.select(F.col("id").alias("job_id")), "job_id", "left_semi")
+        )
+        left = parsed.join(done, F.col("id") == F.col("job_id"), "left_anti")
+        sent = self.send(D.to_payload(left), run_id)
         self.tables.log_status(D.delivery_status(sent, note), run_id)
         return parsed, sent
 
@@ -91,15 +104,25 @@ def ingest(intake: Intake, raw: DataFrame, run_id: str | None = None) -> DataFra
     return results(*intake.process(raw, run_id or str(uuid.uuid4()), SINGLE_NOTE))
 
 
-def _fetch(intake: Intake, sources: Mapping[str, Callable[[], DataFrame]], run_id: str) -> list[DataFrame]:
-    """Landed rows of each source, computed apart so that a failing source does not stop the others."""
-    frames = []
-    for name, read in sources.items():
+def _fetch(intake: Intake, spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], run_id: str) -> list[tuple]:
+    """(rows, pinned narrow keys) of each source; the outcome of every try is logged.
+
+    The keys of all sources are made side by side, so a source that cannot be read shows before the
+    run begins and does not stop the others. Texts are not copied: they are read again where they are saved.
+    """
+    def one(item: tuple[int, tuple[str, Callable[[], DataFrame]]]) -> tuple:
+        i, (name, read) = item
         try:
-            frames.append(intake.tables.land(read(), name, run_id))
+            rows = read()
+            return rows, pin(U.dedup_keys(rows)), (name, datetime.now(timezone.utc), i, True, None)
         except Exception as e:  # noqa: BLE001 - whatever stops one source
             log.error("source %s failed: %s", name, e)
-    return frames
+            return None, None, (name, datetime.now(timezone.utc), i, False, str(e)[:1000])
+
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(sources)))) as pool:
+        tried = list(pool.map(one, enumerate(sources.items())))
+    intake.tables.save_fetches(spark.createDataFrame([t[2] for t in tried], S.FETCH), run_id)
+    return [t[:2] for t in tried if t[0] is not None]
 
 
 def run_bulk(
@@ -109,30 +132,39 @@ def run_bulk(
     """Fetch, dedup, drop known, save, parse, validate, deliver. One row of run statistics.
 
     sources: a function per source that returns its raw rows; seq must be unique over all of them.
+    The run's row says running from the start. Whatever stops the run closes it as failed, with one
+    error more than was counted so far.
     """
     run_id = run_id or str(uuid.uuid4())
     started = datetime.now(timezone.utc)
-    frames = _fetch(intake, sources, run_id)
-    error = None if frames or not sources else "all sources failed"
+
+    def close(records: DataFrame | None, finished: datetime | None, error: str | None) -> DataFrame:
+        times = spark.createDataFrame(
+            [(run_id, started, finished, error)], "run_id string, started_at timestamp, finished_at timestamp, error string"
+        )
+        summary = pin(M.summarise_counts(records if records is not None else spark.createDataFrame([], _RECORD), times))
+        intake.tables.save_run(summary, run_id)
+        return summary
+
+    close(None, None, None)
     records = None
-    if frames:
-        raw = U.union_sources(*frames)
-        keys = pin(U.dedup_keys(raw))
-        kept = pin(U.take_target(U.survivors(keys, by_fingerprint), target))
-        # The run's own folder is left out, so that a repeated run finds its rows new again.
-        stored = intake.tables.raw(spark).filter(F.col("run_id") != run_id)
-        new = pin(U.drop_known(kept, stored))
-        dropped = U.dedup_stats(keys, by_fingerprint, target)
-        records = _records(run_id, dropped, kept, new, *intake.process(U.rows_at(raw, new), run_id, BULK_NOTE))
-    times = spark.createDataFrame(
-        [(run_id, started, datetime.now(timezone.utc), error)],
-        "run_id string, started_at timestamp, finished_at timestamp, error string",
-    )
-    if records is None:
-        records = spark.createDataFrame([], _RECORD)
-    summary = pin(M.summarise_counts(records, times))
-    intake.tables.save_run(summary, run_id)
-    return summary
+    try:
+        fetched = _fetch(intake, spark, sources, run_id)
+        if sources and not fetched:
+            raise RuntimeError("all sources failed")
+        if fetched:
+            raw, keys = U.union_sources(*(f for f, _ in fetched)), U.union_sources(*(k for _, k in fetched))
+            kept = pin(U.take_target(U.survivors(keys, by_fingerprint), target))
+            # The run's own folder is left out, so that a repeated run finds its rows new again.
+            stored = intake.tables.raw_rows(spark).filter(F.col("run_id") != run_id)
+            new = pin(U.drop_known(kept, stored))
+            records = pin(_fetched(run_id, U.dedup_stats(keys, by_fingerprint, target, kept), kept, new))
+            records = records.unionByName(_processed(run_id, *intake.process(U.rows_at(raw, new), run_id, BULK_NOTE)))
+        return close(records, datetime.now(timezone.utc), None)
+    except Exception as e:  # noqa: BLE001 - the run ends, its row tells why
+        log.error("run %s failed: %s", run_id, e)
+        one_more = spark.createDataFrame([(run_id, None, 0, 0, 0, 0, 1, 0)], _RECORD)
+        return close(one_more, datetime.now(timezone.utc), str(e)[:1000])
 
 
 _RECORD = (
@@ -141,30 +173,27 @@ _RECORD = (
 )
 
 
-def _records(
-    run_id: str, dropped: DataFrame, kept: DataFrame, new: DataFrame, parsed: DataFrame, sent: DataFrame | None
-) -> DataFrame:
-    """Counts of the run per source, as partial rows that add up."""
-    zero = {c.split()[0]: F.lit(0).cast("bigint") for c in _RECORD.split(", ")[2:]}
+def _part(run_id: str, df: DataFrame, source: str | None = None, **counts) -> DataFrame:
+    """Partial counts of the run; rows counted for the run only carry no source."""
+    both = {c.split()[0]: F.lit(0) for c in _RECORD.split(", ")[2:]} | counts
+    name = F.col(source) if source else F.lit(None).cast("string")
+    return df.select(F.lit(run_id).alias("run_id"), name.alias("source"), *(c.cast("bigint").alias(n) for n, c in both.items()))
 
-    def part(df: DataFrame, source, **counts) -> DataFrame:
-        both = zero | counts
-        return df.select(
-            F.lit(run_id).alias("run_id"), source.alias("source"), *(c.cast("bigint").alias(n) for n, c in both.items())
-        )
 
+def _fetched(run_id: str, dropped: DataFrame, kept: DataFrame, new: DataFrame) -> DataFrame:
     n = F.count(F.lit(1)).alias("n")
-    # Rows counted per run only carry no source.
-    anywhere = F.lit(None).cast("string")
-    outcome = with_outcome(parsed).groupBy("outcome").agg(n)
-    is_ = lambda o: F.when(F.col("outcome") == o, F.col("n")).otherwise(0)
-    out = U.union_sources(
-        part(dropped, F.col("source"), fetched=F.col("kept"), duplicates=F.col("dropped")),
-        part(kept.agg(n), anywhere, duplicates=F.col("n")),
-        part(new.agg(n), anywhere, duplicates=-F.col("n")),
-        part(outcome, anywhere, parsed=F.col("n"), validated=is_("validated"), flagged=is_("flagged"), errors=is_("error")),
+    return U.union_sources(
+        _part(run_id, dropped, "source", fetched=F.col("kept"), duplicates=F.col("dropped")),
+        _part(run_id, kept.agg(n), duplicates=F.col("n")),
+        _part(run_id, new.agg(n), duplicates=-F.col("n")),
     )
-    return out if sent is None else out.unionByName(part(D.delivery_counts(sent), anywhere, errors=F.col("errors")))
+
+
+def _processed(run_id: str, parsed: DataFrame, sent: DataFrame | None) -> DataFrame:
+    outcome = with_outcome(parsed).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    is_ = lambda o: F.when(F.col("outcome") == o, F.col("n")).otherwise(0)
+    out = _part(run_id, outcome, parsed=F.col("n"), validated=is_("validated"), flagged=is_("flagged"), errors=is_("error"))
+    return out if sent is None else out.unionByName(_part(run_id, D.delivery_counts(sent), errors=F.col("errors")))
 
 
 def review(intake: Intake, spark: SparkSession, action: str, reviewer: str, **options) -> DataFrame:
@@ -172,9 +201,11 @@ def review(intake: Intake, spark: SparkSession, action: str, reviewer: str, **op
 
     Results and events are fixed before the log changes, because both are read from it.
     """
+    run_id = f"review-{uuid.uuid4()}"
     jobs = current_jobs(intake.tables.parsed(spark), intake.tables.status_log(spark)).drop("run_id")
-    options = {"send": intake.send, **options} if action == "approve" else options
-    done = V.bulk_action(action, jobs, reviewer, **options)
+    options = {"send": intake.send, "run_id": run_id, **options} if action == "approve" else options
+    # The queue is fixed first: it is read again after sending, when the log may have grown.
+    done = V.bulk_action(action, pin(jobs), reviewer, **options)
     answer, events = pin(done.results), pin(done.events)
-    intake.tables.log_status(events, f"review-{uuid.uuid4()}")
+    intake.tables.log_status(events, run_id)
     return answer

@@ -77,6 +77,16 @@ SEEN_KEY = T.StructType([
 # State of one source's breaker: microseconds of the failure that opened it (-1: closed), failures in a row.
 BREAKER = T.StructType([T.StructField("opened", T.LongType()), T.StructField("failures", T.LongType())])
 
+# One try to read a source in a run, and one answer of a parser.
+FETCH = T.StructType([
+    T.StructField("source", T.StringType(), False), T.StructField("ts", T.TimestampType()), T.StructField("seq", T.LongType()),
+    T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType()),
+])
+PARSE_CALL = T.StructType([
+    T.StructField("raw_id", T.StringType()), T.StructField("job_title", T.StringType()), T.StructField("model_used", T.StringType()),
+    T.StructField("latency", T.DoubleType()), T.StructField("failed_attempts", T.IntegerType()), T.StructField("used_fallback", T.BooleanType()),
+])
+
 CYCLE = T.StructType([T.StructField(c, T.LongType()) for c in ("fetched", "parsed", "handoff_ok", "errors")])
 
 RUN = T.StructType([

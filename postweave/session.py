@@ -40,12 +40,3 @@ def pin(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """The rows of a scan over all cores, by a unique key, where its files give fewer tasks than cores.
-
-    Meant for costly work per row on few row groups; a large table has more splits and stays as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

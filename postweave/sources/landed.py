@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from postweave.functions import jsonval as J
 from postweave.functions.text import blank, stable_uuid, strip
 
-# Rows of one page are numbered below this; a page that holds more is refused.
-PAGE_ROWS = 1_000_000
+# Places on a page are 32-bit numbers, so this many bits hold every place of every page.
+PLACE_BITS = 31
 HIDDEN = ("unit",)
 
 
 def arrival(page_seq: Column, position: Column) -> Column:
-    too_long = F.raise_error(F.lit(f"a page holds {PAGE_ROWS} rows or more"))
-    return F.when(position < PAGE_ROWS, page_seq * PAGE_ROWS + position).otherwise(too_long.cast("bigint"))
+    """Page order, then place on the page."""
+    return F.shiftleft(page_seq.cast("bigint"), PLACE_BITS) + position
 
 
 def _raw(rows: DataFrame, source: str, external_id: Column, text: Column, url: Column, metadata: Column) -> DataFrame:

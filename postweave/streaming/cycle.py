@@ -31,7 +31,7 @@ def run_cycle(
         spark, run_id = batch.sparkSession, batch_run_id(epoch)
         tables = intake.tables
         seen = tables.seen_keys(spark).filter(F.col("run_id") != run_id)
-        stored = tables.raw(spark).filter(F.col("run_id") != run_id)
+        stored = tables.raw_rows(spark).filter(F.col("run_id") != run_id)
         known = seen.select("external_id").unionByName(stored.select("external_id"))
         fresh = pin(U.drop_known(U.first_by_external_id(U.dedup_keys(batch)), known))
         tables.save_seen_keys(fresh, run_id)

@@ -60,7 +60,9 @@ def test_target_bounds(spark):
     import pytest
 
     with pytest.raises(ValueError):
-        U.take_target(frame(spark, []), 2001)
+        U.take_target(frame(spark, []), 0)
+    rows = [(None, str(i), "x") for i in range(2500)]
+    assert U.take_target(frame(spark, rows), 2001).count() == 2001
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):

@@ -91,3 +91,18 @@ def test_whole_word_skills(spark):
 def test_plan_has_no_python(spark):
     plan = spark.createDataFrame([("x",)], "t string").select(*columns())._jdf.queryExecution().executedPlan().toString()
     assert not any(node in plan for node in ("EvalPython", "InPandas", "InArrow"))
+
+
+def test_salary_digits_of_other_scripts(spark):
+    arabic = "Salary: \u0665\u0660\u0660\u0660\u0660 - \u0666\u0660\u0660\u0660\u0660"
+    wide = "pay 5\uff10\uff10\uff10\uff10 to 60\u0966\u0966\u0966"
+    df = spark.createDataFrame([(arabic,), (wide,)], "t string")
+    assert [tuple(r.s)[:2] for r in df.select(X.salary(F.col("t")).alias("s")).collect()] == [(50000, 60000)] * 2
+
+
+def test_description_without_limits(spark):
+    text = "Requirements:\n" + "\n".join(f"line {i}" for i in range(300))
+    df = spark.createDataFrame([(text,), ("x" * 5000,)], "t string")
+    full = [r[0] for r in df.select(X.description(F.col("t"), None, None)).collect()]
+    assert full == [text, "x" * 5000]
+    assert [len(r[0].split("\n")) for r in df.select(X.description(F.col("t"))).collect()] == [100, 1]

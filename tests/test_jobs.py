@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from postweave import schemas as S
 from postweave.functions import rules as R
 from postweave.operators import deliver as D
+from postweave.operators import metrics as M
 from postweave.operators import model as N
 from postweave.operators import parse as P
+from postweave.operators import review as V
 from postweave.operators import tables as T
 from postweave.operators import validate as W
 from postweave.plans import intake as J
@@ -46,9 +48,14 @@ def store(tmp_path):
     return T.JobTables(f"{tmp_path}/store")
 
 
-def test_bulk_run(spark, store):
+@pytest.fixture
+def to_files(tmp_path):
+    return D.to_files(f"{tmp_path}/delivered")
+
+
+def test_bulk_run(spark, store, to_files):
     """8 + 6 rows, target 15: 14 taken in, the two dup rows flagged with two issues each."""
-    intake = J.Intake(store, parse=mock_parser)
+    intake = J.Intake(store, to_files, parse=mock_parser)
     sources = {"alpha": lambda: mock_source(spark, "alpha", 8, 2, 0), "beta": lambda: mock_source(spark, "beta", 6, 1, 100)}
     r = J.run_bulk(spark, intake, sources, target=15, run_id="one").first()
     assert (r.fetched, r.parsed, r.validated, r.flagged, r.errors, r.duplicates) == (14, 14, 12, 2, 0, 0)
@@ -63,18 +70,71 @@ def test_bulk_run(spark, store):
     assert (same.parsed, store.raw(spark).count(), store.runs(spark).count()) == (14, 14, 2)
 
 
-def test_failing_source_does_not_stop_the_others(spark, store):
+def test_failing_source_does_not_stop_the_others(spark, store, to_files):
     def broken():
         raise OSError("no such page")
 
     sources = {"ok": lambda: mock_source(spark, "alpha", 3, 9, 0), "bad": broken}
-    r = J.run_bulk(spark, J.Intake(store, parse=mock_parser), sources, target=10).first()
+    r = J.run_bulk(spark, J.Intake(store, to_files, parse=mock_parser), sources, target=10).first()
     assert (r.fetched, r.duplicates, r.error) == (3, 0, None)
-    r = J.run_bulk(spark, J.Intake(store), {"bad": broken}).first()
-    assert (r.fetched, r.error) == (0, "all sources failed")
+    r = J.run_bulk(spark, J.Intake(store, to_files), {"bad": broken}).first()
+    assert (r.fetched, r.errors, r.error) == (0, 1, "all sources failed")
+    tries = sorted((x.source, x.ok, x.error) for x in store.fetches(spark).collect())
+    assert tries == [("bad", False, "no such page")] * 2 + [("ok", True, None)]
+
+
+def test_failing_run_is_closed_as_failed(spark, store, to_files):
+    def broken(raw):
+        raise RuntimeError("no parser")
+
+    sources = {"ok": lambda: mock_source(spark, "alpha", 3, 9, 0)}
+    r = J.run_bulk(spark, J.Intake(store, to_files, parse=broken), sources, run_id="one").first()
+    assert (r.errors, r.error, r.finished_at is not None) == (1, "no parser", True)
+    assert [x.state for x in M.run_status(store.runs(spark)).collect()] == ["failed"]
+
+
+def test_run_is_running_until_it_ends(spark, store, to_files):
+    seen = []
+
+    def parse(raw):
+        seen.extend(x.state for x in M.run_status(store.runs(raw.sparkSession)).collect())
+        return mock_parser(raw)
+
+    J.run_bulk(spark, J.Intake(store, to_files, parse=parse), {"ok": lambda: mock_source(spark, "alpha", 3, 9, 0)})
+    assert seen == ["running"] and [x.state for x in M.run_status(store.runs(spark)).collect()] == ["completed"]
+
+
+def test_runs_numbered_alike(spark, store, to_files, tmp_path):
+    """Two runs that start at the same seq have ids of their own; a repeated run has the same ids and sends nothing twice."""
+    intake = J.Intake(store, to_files, parse=mock_parser)
+    for run, name in (("run-9", "Job A"), ("run-10", "Job B"), ("run-9", "Job A")):
+        J.ingest(intake, raw_rows(spark, [(0, "manual", "x", f"Title: {name}\nCompany: C", None)]), run)
+    jobs = store.parsed(spark).collect()
+    assert sorted(j.job_title for j in jobs) == ["Job A", "Job B"] and len({j.id for j in jobs}) == 2
+    assert spark.read.json(f"{tmp_path}/delivered").count() == 2
+
+
+def test_last_saved_row_wins_whatever_the_run_ids(spark, store):
+    for run, text in (("run-9", "first"), ("run-10", "second")):
+        store.save_raw(raw_rows(spark, [(0, "manual", "x", text, None)]), run)
+    assert [r.raw_text for r in store.raw(spark).collect()] == ["second"] and store.raw_rows(spark).count() == 2
+
+
+def test_queue_longer_than_a_request(spark):
+    rows = [(str(i), "parsed", 0.9, []) for i in range(1200)]
+    jobs = spark.createDataFrame(rows, "id string, status string, confidence double, validation_issues array<string>").withColumn("parsed_at", F.current_timestamp())
+    assert V.queue_targets(jobs, 0.5, True).count() == 1200 and V.queue_targets(jobs, 0.5, True, limit=1000).count() == 1000
+
+
+def test_compact_log(spark, store):
+    for i, status in enumerate(("sent", "rejected")):
+        store.log_status(T.status_events(spark.createDataFrame([("a",)], "job_id string"), status, event_seq=i), f"r{i}")
+    store.compact_log(spark, "c")
+    rows = spark.read.parquet(store.path("status_log_compact")).collect()
+    assert [(r.job_id, r.status) for r in rows] == [("a", "rejected")]
 
 
-def test_stream_equals_batch(spark, store, tmp_path):
+def test_stream_equals_batch(spark, store, to_files, tmp_path):
     """Ids seen on rows that a fingerprint dropped stay seen, over micro-batches as within one."""
     rows = [(0, "manual", "a", "Title: x", None), (1, "manual", "b", "Title: x", None), (2, "manual", "b", "Title: y", None),
             (3, "manual", None, "Title: z", None), (4, "manual", "", "Title: z", None), (5, "manual", "c", "Title: w", None),
@@ -83,14 +143,14 @@ def test_stream_equals_batch(spark, store, tmp_path):
     for part in range(3):
         df.filter(F.floor(F.col("seq") / 3) == part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    C.run_cycle(J.Intake(store), stream, f"{tmp_path}/ck").awaitTermination()
+    C.run_cycle(J.Intake(store, to_files), stream, f"{tmp_path}/ck").awaitTermination()
     assert sorted(r.seq for r in store.raw(spark).collect()) == [0, 3, 5, 8]
     total = store.cycles(spark).agg(F.sum("fetched"), F.sum("parsed"), F.sum("handoff_ok"), F.sum("errors")).first()
     assert tuple(total) == (4, 4, 4, 0)
 
 
-def test_gate_and_review(spark, store):
-    intake = J.Intake(store, review_gate=True)
+def test_gate_and_review(spark, store, to_files):
+    intake = J.Intake(store, to_files, review_gate=True)
     raw = raw_rows(spark, [(i, "manual", None, f"Title: Role {i}\nCompany: A\n{'Python' if i % 2 else ''}", None) for i in range(6)])
     assert {r.status for r in J.ingest(intake, raw).collect()} == {"parsed"}
     done = J.review(intake, spark, "approve", "ann", exclude_flagged=True, confidence_min=0.5).collect()
