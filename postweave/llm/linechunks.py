@@ -13,6 +13,8 @@ from postweave.llm.common import SPACED
 from postweave.session import pin
 
 LEAST_LINES, LEAST_WORDS = 2, 50
+# A line begins a chunk if the first hexadecimal digit is below this: every fourth does.
+CUT = "4"
 KEY = ["doc_id", "tkey"]
 
 
@@ -29,7 +31,7 @@ def _chunks() -> Column:
 
     def begins(i: Column) -> Column:
         both = F.concat(F.element_at("keys", F.greatest(i, F.lit(1))), F.element_at("keys", i + 1))
-        return (i == 0) | (F.substring(F.md5(both.cast("binary")), 1, 1) < "8")
+        return (i == 0) | (F.substring(F.md5(both.cast("binary")), 1, 1) < CUT)
 
     begin = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), begins)
     ends = F.concat(F.slice(begin, 2, F.greatest(F.size(begin) - 1, F.lit(0))), F.array(n))
