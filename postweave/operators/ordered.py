@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from postweave.session import pin
 
 CHUNK = "_chunk"
+# Rows of a chunk: what one task holds at a time where a chunk is worked on as a whole.
+CHUNK_ROWS = 65_536
 
 
 def in_chunks(df: DataFrame, group: Sequence[str], order: Sequence[str], chunks: int | None = None) -> DataFrame:
     """df with its chunk number. The result is pinned: range bounds are sampled, and a second
-    evaluation could draw them elsewhere. Chunks default to the shuffle partitions, so their size
-    follows the setting that sizes every other task."""
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    evaluation could draw them elsewhere. By default there are as many chunks as keep them at about
+    CHUNK_ROWS rows, so a chunk stays as small when the table grows."""
+    n = chunks or -(-df.count() // CHUNK_ROWS) or 1
     return pin(df.repartitionByRange(n, *group, *order).withColumn(CHUNK, F.spark_partition_id()))
 
 

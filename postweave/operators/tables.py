@@ -7,6 +7,7 @@ row of an id. Status changes are appended events, never updates in place.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -58,10 +59,25 @@ class JobTables:
         return self._read(spark, "runs", S.RUN)
 
     def save_seen_keys(self, keys: DataFrame, run_id: str) -> None:
-        self._save(keys.select("external_id", "fp"), "seen_keys", run_id)
-
-    def seen_keys(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "seen_keys", S.SEEN_KEY)
+        """A row per id and per fingerprint, laid out by a part of its hash."""
+        rows = keys.select(F.explode(F.array(
+            F.struct(F.lit("id").alias("kind"), F.col("external_id").alias("value")), F.struct(F.lit("fp").alias("kind"), F.col("fp").alias("value")),
+        )).alias("k")).select("k.*").filter("value IS NOT NULL").distinct()
+        self._save(rows.withColumn("part", seen_part(F.col("value"))).repartition("part"), "seen_keys", run_id, ("part",))
+
+    def seen_keys(self, spark: SparkSession, parts: Sequence[int] | None = None) -> DataFrame:
+        """kind, value, run_id; only the given parts of the hash are read. Compacted keys count as the last run they hold."""
+        schema = T.StructType([*S.SEEN_KEY, T.StructField("part", T.IntegerType())])
+        old = self._read(spark, "seen_compact", schema)
+        upto = old.agg(F.max("run_id")).first()[0]
+        new = self._read(spark, "seen_keys", schema)
+        both = new if upto is None else new.filter(F.col("run_id") > upto).unionByName(old.filter(F.col("run_id") == upto))
+        return (both if parts is None else both.filter(F.col("part").isin(*parts))).drop("part")
+
+    def compact_seen_keys(self, spark: SparkSession, upto: str) -> None:
+        """Writes the distinct keys of all runs up to one as one table; readers take it in place of those runs' folders."""
+        rows = self.seen_keys(spark).filter(F.col("run_id") <= upto).select("kind", "value").distinct()
+        self._save(pin(rows.withColumn("part", seen_part(F.col("value")))).repartition("part"), "seen_compact", upto, ("part",))
 
     def save_breakers(self, states: DataFrame, run_id: str) -> None:
         self._save(states, "breakers", run_id)
@@ -125,6 +141,13 @@ def _versioned(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema, T.StructField("saved_at", T.TimestampType())])
 
 
+SEEN_PARTS = 64
+
+
+def seen_part(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(SEEN_PARTS)).cast("int")
+
+
 def latest_by_id(rows: DataFrame, version: str = "saved_at") -> DataFrame:
     """The last saved row per id, where an id was saved several times.
 

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postweave import schemas as S
 from postweave.functions import rules as R
-from postweave.functions.text import stable_uuid
+from postweave.functions.extract import is_remote
+from postweave.functions.jsonval import text_or_null
+from postweave.functions.text import or_null, stable_uuid
 from postweave.operators import dedup as U
 from postweave.operators import deliver as D
 from postweave.operators import metrics as M
@@ -22,6 +24,7 @@ from postweave.operators import review as V
 from postweave.operators.tables import JobTables, current_jobs, latest_events
 from postweave.operators.validate import validate, with_outcome
 from postweave.session import pin
+from postweave.sources import grid as G
 
 log = logging.getLogger(__name__)
 
@@ -84,6 +87,46 @@ class Intake:
         return parsed, sent
 
 
+@dataclass(frozen=True)
+class Request:
+    """What a bulk run is asked for. Boards are asked by grid(); rows of boards that do not filter are filtered here."""
+
+    queries: Sequence[str]
+    locations: Sequence[str] = ("",)
+    sources: Sequence[str] = tuple(r[0] for r in G.GRID_RULES)
+    target: int | None = U.REQUEST_MAX
+    date_posted: str | None = None
+    remote_only: bool = False
+    employment_types: str = ""
+    category: str | None = None
+    by_fingerprint: bool = True
+
+    def grid(self, spark: SparkSession, run_id: str) -> DataFrame:
+        """The page requests of the run."""
+        row = [(run_id, list(self.queries), list(self.locations), list(self.sources))]
+        return G.fetch_grid(spark.createDataFrame(row, "run_id string, queries array<string>, locations array<string>, sources array<string>"))
+
+    def wanted(self, raw: DataFrame, asof: datetime | None = None) -> DataFrame:
+        """Raw rows that the request asks for. A row that does not say when, what kind or what category it is passes that test."""
+        meta = F.try_parse_json(F.col("metadata"))
+        said = lambda *names: F.coalesce(*(or_null(text_or_null(meta, f"$.{n}")) for n in names), F.lit(None).cast("string"))
+        row = F.struct(*[F.col(c) for c in raw.columns]).alias("row")
+        rows = raw.select(
+            row, said("posted_at", "published_at", "pub_date").try_cast("timestamp").alias("posted_at"),
+            said("employment_type", "contract_type").alias("employment_type"), said("category").alias("category"),
+            is_remote(F.col("raw_text")).alias("is_remote"),
+        )
+        pick = lambda keep, column: keep(rows.filter(F.col(column).isNotNull())).unionByName(rows.filter(F.col(column).isNull()))
+        if self.date_posted and self.date_posted != "any":
+            now = F.lit(asof) if asof else F.current_timestamp()
+            rows = pick(lambda r: G.recency_filter(r, self.date_posted, now), "posted_at")
+        if self.employment_types:
+            rows = pick(lambda r: G.employment_type_filter(r, self.employment_types), "employment_type")
+        if self.category:
+            rows = pick(lambda r: G.category_filter(r, self.category), "category")
+        return G.remote_only_filter(rows, self.remote_only).select("row.*")
+
+
 def results(parsed: DataFrame, sent: DataFrame | None) -> DataFrame:
     """One row per record: success, job_id, status, message, errors (its validation issues)."""
     if sent is None:
@@ -127,16 +170,22 @@ def _fetch(intake: Intake, spark: SparkSession, sources: Mapping[str, Callable[[
 
 def run_bulk(
     spark: SparkSession, intake: Intake, sources: Mapping[str, Callable[[], DataFrame]],
-    target: int | None = None, by_fingerprint: bool = True, run_id: str | None = None,
+    target: int | None = None, by_fingerprint: bool = True, run_id: str | None = None, request: Request | None = None,
 ) -> DataFrame:
     """Fetch, dedup, drop known, save, parse, validate, deliver. One row of run statistics.
 
-    sources: a function per source that returns its raw rows; seq must be unique over all of them.
+    sources: a function per source that returns its raw rows; seq must be unique over all of them. With
+    a request only its sources are read, its filters apply to their rows, and its target and dedup
+    settings replace the arguments.
+
     The run's row says running from the start. Whatever stops the run closes it as failed, with one
     error more than was counted so far.
     """
     run_id = run_id or str(uuid.uuid4())
     started = datetime.now(timezone.utc)
+    if request is not None:
+        target, by_fingerprint = request.target, request.by_fingerprint
+        sources = {n: (lambda read=read: request.wanted(read())) for n, read in sources.items() if n in request.sources}
 
     def close(records: DataFrame | None, finished: datetime | None, error: str | None) -> DataFrame:
         times = spark.createDataFrame(

@@ -69,9 +69,10 @@ STATUS_EVENT = T.StructType([
     T.StructField("event_seq", T.LongType(), False),
 ])
 
+# An id or a fingerprint (kind id or fp) that a stream has taken in.
 SEEN_KEY = T.StructType([
-    T.StructField("external_id", T.StringType()),
-    T.StructField("fp", T.StringType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("value", T.StringType()),
 ])
 
 # State of one source's breaker: microseconds of the failure that opened it (-1: closed), failures in a row.

@@ -8,37 +8,50 @@ from pyspark.sql.streaming import StreamingQuery
 from postweave.operators import breaker as B
 from postweave.operators import dedup as U
 from postweave.operators import metrics as M
-from postweave.operators.tables import JobTables
+from postweave.operators.tables import JobTables, seen_part
 from postweave.plans.intake import SINGLE_NOTE, Intake, results
 from postweave.session import pin
 
 
+BATCH = "batch-"
+
+
 def batch_run_id(epoch: int) -> str:
-    return f"batch-{epoch:012d}"
+    return f"{BATCH}{epoch:012d}"
 
 
 def run_cycle(
     intake: Intake, raw: DataFrame, checkpoint: str, by_fingerprint: bool = True, available_now: bool = True,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Takes in a stream of raw rows. First of a kind wins, within a micro-batch and over all of them.
 
-    Every id and fingerprint that passed the id step is kept in the narrow table seen_keys, so a
-    batch is compared with a few short columns and never with stored texts. Each micro-batch writes
-    folders named after its number: a repeated batch replaces its own rows, and its own earlier
-    attempt is left out of the comparison. Statistics of each batch go to the table cycles.
+    Every id and fingerprint that passed the id step is kept in the narrow table seen_keys, laid out
+    by hash: a batch reads the parts of the hash in which its own keys lie, and never stored texts. Of
+    raw_jobs it reads the ids of other runs only, not those of the stream. Every `compact_every`
+    batches the key folders become one. Each micro-batch writes folders named after its number: a
+    repeated batch replaces its own rows, and its own earlier attempt is left out of the comparison.
+    Statistics of each batch go to the table cycles.
     """
     def one_batch(batch: DataFrame, epoch: int) -> None:
         spark, run_id = batch.sparkSession, batch_run_id(epoch)
         tables = intake.tables
-        seen = tables.seen_keys(spark).filter(F.col("run_id") != run_id)
-        stored = tables.raw_rows(spark).filter(F.col("run_id") != run_id)
-        known = seen.select("external_id").unionByName(stored.select("external_id"))
-        fresh = pin(U.drop_known(U.first_by_external_id(U.dedup_keys(batch)), known))
-        tables.save_seen_keys(fresh, run_id)
+        first = pin(U.first_by_external_id(U.dedup_keys(batch)))
+        # At most SEEN_PARTS numbers.
+        parts = [r[0] for r in first.select(F.explode(F.array(seen_part(F.col("external_id")), seen_part(F.col("fp"))))).distinct().collect()]
+        seen = tables.seen_keys(spark, parts).filter(F.col("run_id") != run_id)
+        others = tables.raw_rows(spark).filter(~F.col("run_id").startswith(BATCH))
+        ids = seen.filter("kind = 'id'").select(F.col("value").alias("external_id"))
+        fresh = pin(U.drop_known(first, ids.unionByName(others.select("external_id"))))
         left = fresh
         if by_fingerprint:
-            left = U.first_by_fingerprint(fresh).join(seen.select("fp").distinct(), "fp", "left_anti")
-        parsed, sent = intake.process(U.rows_at(batch, pin(left)), run_id, SINGLE_NOTE)
+            fps = seen.filter("kind = 'fp'").select(F.col("value").alias("fp")).distinct()
+            left = U.first_by_fingerprint(fresh).join(fps, "fp", "left_anti")
+        left = pin(left)
+        tables.save_seen_keys(fresh, run_id)
+        if compact_every and epoch and epoch % compact_every == 0:
+            tables.compact_seen_keys(spark, batch_run_id(epoch - 1))
+        parsed, sent = intake.process(U.rows_at(batch, left), run_id, SINGLE_NOTE)
         tables.save_cycle(M.cycle_stats(results(parsed, sent)), run_id)
 
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one_batch)

@@ -149,6 +149,19 @@ def test_stream_equals_batch(spark, store, to_files, tmp_path):
     assert tuple(total) == (4, 4, 4, 0)
 
 
+def test_compacted_keys_are_still_seen(spark, store, to_files, tmp_path):
+    rows = [(i, "manual", f"id{i % 4}", f"Title: t{i % 6}", None) for i in range(12)]
+    df = raw_rows(spark, rows)
+    for part in range(4):
+        df.filter(F.floor(F.col("seq") / 3) == part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    C.run_cycle(J.Intake(store, to_files), stream, f"{tmp_path}/ck", compact_every=2).awaitTermination()
+    assert sorted(r.seq for r in store.raw(spark).collect()) == [0, 1, 2, 3]
+    assert spark.read.parquet(store.path("seen_compact")).select("run_id").distinct().count() == 1
+    values = sorted((r.kind, r.value) for r in store.seen_keys(spark).filter("kind = 'id'").collect())
+    assert values == [("id", f"id{i}") for i in range(4)]
+
+
 def test_gate_and_review(spark, store, to_files):
     intake = J.Intake(store, to_files, review_gate=True)
     raw = raw_rows(spark, [(i, "manual", None, f"Title: Role {i}\nCompany: A\n{'Python' if i % 2 else ''}", None) for i in range(6)])
