@@ -334,6 +334,9 @@ def none(x: str) -> str:
     return f"coalesce(CAST({x} AS VARCHAR), 'None')"
 
 
+ORACLES["unreadable_feeds"] = ctes(postings=POSTINGS) + (
+    f"SELECT seq // {L.PAGE_SIZE} AS page_seq, 'unit' AS unit, count(*) AS postings FROM postings WHERE (seq // {L.PAGE_SIZE}) % 7 = 0 GROUP BY 1"
+)
 ORACLES["raw_from_jsearch"] = ctes(postings=POSTINGS) + (
     f"SELECT {_SEQ}, 'jsearch_api' AS source, CASE WHEN seq % 11 <> 0 THEN concat('j', seq) END AS external_id, "
     + lines(

@@ -337,6 +337,14 @@ _source("raw_from_workable", S.raw_from_workable, L.workable_pages)
 _source("raw_from_rss", S.raw_from_rss, L.rss_feeds)
 
 
+@query
+def unreadable_feeds(spark, sf_dir):
+    """Feeds that could not be read, with the number of postings that are lost with each."""
+    lost = S.unreadable_pages(L.rss_feeds(spark, sf_dir), feed=True)
+    rows = I.view(spark, sf_dir, I.POSTINGS).groupBy(F.floor(F.col("seq") / L.PAGE_SIZE).alias("page_seq")).agg(F.count(F.lit(1)).alias("postings"))
+    return lost.join(rows, "page_seq").select("page_seq", "unit", "postings")
+
+
 def _links(name: str) -> None:
     QUERIES[f"html_job_links_{name}"] = lambda spark, sf_dir: H.html_job_links(
         L.search_pages(spark, sf_dir), H.BOARDS[name]

@@ -155,6 +155,11 @@ Keys: job_title (text, never null), company, location, remote (true/false),
 salary {min, max, currency, period} or null, required_skills (list), preferred_skills (list),
 years_experience (integer), education_level, employment_type, description_clean (short summary),
 confidence (0 to 1), parse_warnings (list). Use null for what the posting does not say.
+Turn pay by the hour, day or month into pay by the year, as whole numbers, with period "yearly".
+required_skills are those that the posting demands, preferred_skills those it would merely welcome.
+employment_type is one of full-time, part-time, contract, internship, freelance.
+confidence says how sure you are of the whole answer: near 1 where the posting states every field,
+below 0.6 where title or company are guessed. Put every doubt into parse_warnings, in a few words.
 
 {raw_text}
 """

@@ -197,10 +197,11 @@ def raw_from_html(links: DataFrame, details: DataFrame, board: Board) -> DataFra
     """Links with their detail text; a url found again in the same fetch unit keeps its first link.
 
     Links shrink to one per (unit, url) before they meet the page texts, so that a url linked from
-    everywhere does not multiply its text.
+    everywhere does not multiply its text. Of a page crawled several times one text counts, the least.
     """
+    details = details.groupBy("url").agg(F.min("raw_text").alias("raw_text"))
     first = links.groupBy("unit", "url").agg(F.min(F.struct("seq", "query", "fetched_at", "title")).alias("_l"))
-    rows = first.select("unit", "url", "_l.*").join(details.select("url", "raw_text"), "url")
+    rows = first.select("unit", "url", "_l.*").join(details, "url")
     meta = F.to_json(F.struct("title", "query"), {"ignoreNullFields": "false"})
     return rows.select(
         "seq", stable_uuid(F.lit(board.source), F.col("seq").cast("string")).alias("id"),

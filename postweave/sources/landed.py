@@ -144,6 +144,15 @@ _FEED = (
 )
 
 
+def unreadable_pages(pages: DataFrame, feed: bool = False) -> DataFrame:
+    """page_seq, unit, query of the payloads that are no JSON, or no feed: they give no rows, and here they show."""
+    if feed:
+        bad = F.from_xml("payload", F.lit(_FEED), {"mode": "PERMISSIVE"})["channel"].isNull()
+    else:
+        bad = F.try_parse_json("payload").isNull()
+    return pages.filter(bad).select("page_seq", "unit", "query")
+
+
 def raw_from_rss(feeds: DataFrame) -> DataFrame:
     """Feed documents; one that is not well formed gives no rows."""
     item = F.from_xml("payload", F.lit(_FEED), {"mode": "PERMISSIVE"})["channel"]["item"]
