@@ -9,6 +9,7 @@ state known each chunk is replayed on its own.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -127,16 +128,18 @@ def walk(
     begin = before.select("source", F.col("opened").alias("opened0"), F.col("failures").alias("failures0"))
     rows = O.in_chunks(attempts, ["source"], ["us", "seq"], chunks)
 
-    def summarise(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["source", "us", "seq"])
-        parts = []
+    def summarise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Maps of the partition's first and last source; a partition is a chunk of bounded size."""
+        held = [f for f in frames if len(f)]
+        if not held:
+            return
+        f = pd.concat(held, ignore_index=True)
         for name in dict.fromkeys((f["source"].iloc[0], f["source"].iloc[-1])):
             edge = f[f["source"] == name]
             closed, table = exits(edge["us"].to_numpy(), edge["ok"].to_numpy(), threshold, wait)
             out = [(True, c, *e) for c, e in enumerate(closed)] + [(False, t, *e) for t, e in table]
             out = pd.DataFrame(out, columns=["closed", "at", "opened", "failures", "relative"])
-            parts.append(out.assign(source=name, chunk=key[0]))
-        return pd.concat(parts)
+            yield out.assign(source=name, chunk=f[O.CHUNK].iloc[0])[["source", "chunk", "closed", "at", "opened", "failures", "relative"]]
 
     def enter(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         state, out = State(int(f["opened0"].iat[0]), int(f["failures0"].iat[0])), []
@@ -147,29 +150,37 @@ def walk(
             state = step(state, [e for _, e in table[n_open:]], table[:n_open], wait)
         return pd.DataFrame(out, columns=["source", O.CHUNK, "opened", "failures"])
 
-    def annotate(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["source", "us", "seq"], ignore_index=True)
-        us, ok = f["us"].to_numpy(), f["ok"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, (f["source"] != f["source"].shift()).to_numpy()[1:]])
-        columns = [[], [], [], []]
-        for i, j in zip(starts, np.r_[starts[1:], len(f)]):
-            entry = State(int(f["opened"].iat[i]), int(f["failures"].iat[i]))
-            for all_rows, part in zip(columns, replay(us[i:j], ok[i:j], entry, threshold, wait)):
-                all_rows += part
-        f["state"], f["skipped"], f["opened"], f["failures"] = columns
-        return f[["source", "us", "seq", "ok", "state", "skipped", "opened", "failures"]]
+    def annotate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Streams through the partition; the breaker after a batch is all that the next one needs."""
+        name, now = object(), State()
+        for f in frames:
+            us, ok = f["us"].to_numpy(), f["ok"].to_numpy()
+            starts = np.flatnonzero(np.r_[True, (f["source"] != f["source"].shift()).to_numpy()[1:]]) if len(f) else []
+            columns = [[], [], [], []]
+            for i, j in zip(starts, [*starts[1:], len(f)]):
+                goes_on = not i and f["source"].iat[0] == name
+                entry = now if goes_on else State(int(f["opened"].iat[i]), int(f["failures"].iat[i]))
+                for all_rows, part in zip(columns, replay(us[i:j], ok[i:j], entry, threshold, wait)):
+                    all_rows += part
+            if len(f):
+                name, now = f["source"].iat[-1], State(columns[2][-1], columns[3][-1])
+            f = f.assign(state=columns[0], skipped=columns[1], opened=columns[2], failures=columns[3])
+            yield f[["source", "us", "seq", "ok", "state", "skipped", "opened", "failures"]]
 
     closed = {"opened0": -1, "failures0": 0}
-    maps = rows.groupBy(O.CHUNK).applyInPandas(summarise, f"source {kind}, {_MAP}")
+    maps = rows.mapInPandas(summarise, f"source {kind}, {_MAP}")
     entries = maps.join(begin, "source", "left").fillna(closed).groupBy("source").applyInPandas(
         enter, f"source {kind}, {O.CHUNK} int, opened long, failures long"
     )
-    # At most two entries per chunk, whatever the size of the log.
-    ready = rows.join(F.broadcast(entries), ["source", O.CHUNK], "left").join(begin, "source", "left").fillna(closed)
+    # At most two entries per chunk; sources that lie within a chunk begin as `before` says, one row per source.
+    (entries, sent), (begin, also_sent) = O.small(entries), O.small(begin)
+    ready = rows.join(entries, ["source", O.CHUNK], "left").join(begin, "source", "left").fillna(closed)
     start = [F.coalesce(n, f"{n}0").alias(n) for n in ("opened", "failures")]
-    return ready.select("source", "us", "seq", "ok", O.CHUNK, *start).groupBy(O.CHUNK).applyInPandas(
-        annotate, f"{kinds}, state string, skipped boolean, opened long, failures long"
-    )
+    # Joins with a table too large to send lose the order; it is then made again within a chunk.
+    ready = ready.select("source", "us", "seq", "ok", O.CHUNK, *start)
+    if not (sent and also_sent):
+        ready = ready.repartition(O.CHUNK).sortWithinPartitions("source", "us", "seq")
+    return ready.mapInPandas(annotate, f"{kinds}, state string, skipped boolean, opened long, failures long")
 
 
 def breakers_after(walked: DataFrame, before: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from postweave.operators import ordered as O
@@ -138,15 +141,48 @@ def progress(df: DataFrame, step: str, total: int | None = None) -> tuple[DataFr
     ), seen
 
 
+def _count_failures(rows: DataFrame, source: str) -> DataFrame:
+    """Adds, per source of a chunk, the failures so far (_fails) and those at its last success (_mark).
+
+    Streams through the sorted partitions; only the last row of a batch is kept for the next.
+    """
+    at, ok_at = rows.columns.index(source), rows.columns.index("ok")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, fails0, mark0 = (), 0, -1
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            names, ok = batch.column(at), np.asarray(batch.column(ok_at).fill_null(False))
+            fresh = np.ones(n, bool)
+            fresh[0] = last != (names[0].as_py(),)
+            if n > 1:
+                same = pc.equal(names[1:], names[:-1])
+                fresh[1:] = ~np.asarray(same.fill_null(False)) & ~np.asarray(pc.and_(pc.is_null(names[1:]), pc.is_null(names[:-1])))
+            starts = np.flatnonzero(fresh)
+            group = np.cumsum(fresh) - 1  # -1: goes on from the batch before
+            total = np.cumsum(~ok)
+            base = np.concatenate((total[starts] - ~ok[starts], [-fails0]))[group]
+            fails = total - base
+            # Marks rise within a source, so the last one is the largest so far.
+            mark = np.where(ok, fails, -1)
+            mark[0] = max(mark[0], mark0) if group[0] < 0 else mark[0]
+            shift = (group + 1) * (np.int64(1) << 40)
+            mark = np.maximum.accumulate(mark + shift) - shift
+            last, fails0, mark0 = (names[n - 1].as_py(),), int(fails[-1]), int(mark[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(fails, pa.int64()), pa.array(mark, pa.int64(), mask=mark < 0)], names=[*batch.schema.names, "_fails", "_mark"]
+            )
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, f"{kinds}, _fails bigint, _mark bigint")
+
+
 def _streak_parts(outcomes: DataFrame, source: str, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with their failures since the chunk's last success, and one summary per (source, chunk)."""
     fail = F.when(F.col("ok"), 0).otherwise(1)
-    w = O.within([source], order)
-    rows = (
-        O.in_chunks(outcomes, [source], order)
-        .withColumn("_fails", F.sum(fail).over(w))
-        .withColumn("_mark", F.max(F.when(F.col("ok"), F.col("_fails"))).over(w))
-    )
+    rows = _count_failures(O.in_chunks(outcomes, [source], order), source)
     parts = rows.groupBy(source, O.CHUNK).agg(
         F.sum(fail).alias("_part"), F.max("_mark").alias("_mark"), F.count_if("ok").alias("_good"),
     ).withColumn("_before", O.total_before("_part", [source]))
@@ -158,8 +194,10 @@ def failure_streaks(outcomes: DataFrame, source: str = "source", order: Sequence
     rows, parts = _streak_parts(outcomes, source, order)
     mark = F.max(F.col("_before") + F.col("_mark")).over(O.earlier_chunks([source]))
     carry = parts.select(source, O.CHUNK, (F.col("_before") - F.coalesce(mark, F.lit(0))).alias("_carry"))
-    streak = F.col("_fails") - F.coalesce("_mark", -F.col("_carry"))
-    return rows.join(carry, [source, O.CHUNK]).select(*outcomes.columns, streak.alias("streak"))
+    # Only a chunk's first source can carry anything over: at most one row per chunk.
+    carry, _ = O.small(carry.filter("_carry <> 0"))
+    streak = F.col("_fails") - F.coalesce("_mark", -F.coalesce("_carry", F.lit(0)))
+    return rows.join(carry, [source, O.CHUNK], "left").select(*outcomes.columns, streak.alias("streak"))
 
 
 def breaker_stats(

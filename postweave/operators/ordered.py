@@ -1,8 +1,9 @@
 """Running values in a per-group order when one group may hold a large share of all rows.
 
-Rows are range-partitioned on (group, order), so a hot group spreads over many chunks. Each chunk is
-worked on alone, chunk summaries are combined per group (at most one row per chunk), and the carry
-is joined back on (group, chunk).
+Rows are range-partitioned and sorted on (group, order), so a hot group spreads over many chunks and a
+chunk is one partition. Python steps stream through a partition in Arrow batches and need no further
+shuffle; chunk summaries are combined per group (at most one row per chunk), and what a chunk takes
+over from earlier ones, for its first group only, is joined back as a small table.
 """
 
 from __future__ import annotations
@@ -23,7 +24,15 @@ def in_chunks(df: DataFrame, group: Sequence[str], order: Sequence[str], chunks:
     evaluation could draw them elsewhere. By default there are as many chunks as keep them at about
     CHUNK_ROWS rows, so a chunk stays as small when the table grows."""
     n = chunks or -(-df.count() // CHUNK_ROWS) or 1
-    return pin(df.repartitionByRange(n, *group, *order).withColumn(CHUNK, F.spark_partition_id()))
+    ranged = df.repartitionByRange(n, *group, *order).sortWithinPartitions(*group, *order)
+    return pin(ranged.withColumn(CHUNK, F.spark_partition_id()))
+
+
+def small(per_chunk: DataFrame, most: int = 200_000) -> tuple[DataFrame, bool]:
+    """A table of a few rows per chunk, marked to be sent to all tasks if it has up to `most` rows; and whether it is."""
+    kept = pin(per_chunk)
+    sent = kept.count() <= most
+    return (F.broadcast(kept) if sent else kept), sent
 
 
 def within(group: Sequence[str], order: Sequence[str]):

@@ -133,3 +133,26 @@ def test_progress(spark):
     df, seen = M.progress(spark.range(7), "saving", 9)
     df.write.format("noop").mode("overwrite").save()
     assert seen.get == {"step": "saving", "current": 7, "total": 9}
+
+
+def test_one_busy_source_within_one_cooldown(spark):
+    """One source with nine tenths of the rows, all within one cooldown, in chunks of a few rows."""
+    import random
+
+    rnd = random.Random(3)
+    rows = [("busy" if i % 10 else f"s{i}", i, rnd.random() < 0.6) for i in range(900)]
+    df = spark.createDataFrame([(s, i, ok) for s, i, ok in rows], "source string, seq long, ok boolean").withColumn("ts", F.timestamp_seconds("seq"))
+    one = K.breaker_timeline(df, 3, 10_000.0, chunks=1).collect()
+    many = K.breaker_timeline(df, 3, 10_000.0, chunks=40).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and any(r.skipped for r in one)
+    assert sorted(map(tuple, M.failure_streaks(df).collect())) == sorted(
+        (s, i, ok, t, n) for (s, i, ok, t), n in zip(df.collect(), _streaks(rows))
+    )
+
+
+def _streaks(rows):
+    now, out = {}, []
+    for s, _, ok in rows:
+        now[s] = 0 if ok else now.get(s, 0) + 1
+        out.append(now[s])
+    return out
