@@ -104,7 +104,7 @@ def _verified(docs: DataFrame, starts: DataFrame, most: int) -> DataFrame:
     return rows.select("doc_id", "tkey", found.alias("found")).dropDuplicates(["doc_id", "tkey"])
 
 
-def license_scan(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
+def license_scan(docs: DataFrame, most: int = 200_000) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, found.
 
     n_base counts the places of the base phrases, first_word and last_word are the first and last of them (words from 0).

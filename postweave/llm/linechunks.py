@@ -52,7 +52,7 @@ def _occurrences(docs: DataFrame, most: int) -> DataFrame:
     return rows.select(*KEY, F.posexplode(each).alias("nth", "c")).select(*KEY, "nth", "c.*").join(sent, "hash")
 
 
-def repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES, least_words: int = LEAST_WORDS, most: int = 1_000_000) -> DataFrame:
+def repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES, least_words: int = LEAST_WORDS, most: int = 200_000) -> DataFrame:
     """(doc_id, tkey, nth, n_lines): chunks to remove. Rows that repeat id and text count as one document."""
     found = _occurrences(docs, most).withColumn("n_words", F.regexp_count("text", F.lit(SPACED)))
     found = found.where((F.col("n_words") > 0) & ((F.col("n_lines") >= least_lines) | (F.col("n_words") >= least_words)))
@@ -66,7 +66,7 @@ def repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES, least_words
     return narrow.join(sent, ["hash", "digest"]).where(~same).select(*KEY, "nth", "n_lines").dropDuplicates([*KEY, "nth"])
 
 
-def line_dedup(docs: DataFrame, least_lines: int = LEAST_LINES, least_words: int = LEAST_WORDS, most: int = 1_000_000) -> DataFrame:
+def line_dedup(docs: DataFrame, least_lines: int = LEAST_LINES, least_words: int = LEAST_WORDS, most: int = 200_000) -> DataFrame:
     """One row per row of docs: doc_id, n_lines, n_chunks, n_removed (chunks), n_removed_lines, text (what stays).
 
     The first occurrence, by doc_id (null last), text hash and place, stays. Null texts stay null and have no lines; an empty text

@@ -125,7 +125,7 @@ def _bootstrap(docs: DataFrame, base: DataFrame, tokens: DataFrame, support: int
 
 def pii_spans(
     docs: DataFrame, support: int = SUPPORT, pattern_confidence: float = PATTERN_CONFIDENCE, instance_confidence: float = INSTANCE_CONFIDENCE,
-    rounds: int = ROUNDS, most: int = 1_000_000,
+    rounds: int = ROUNDS, most: int = 200_000,
 ) -> DataFrame:
     """One row per row of docs: doc_id, n_<kind> for the four kinds, base (array of kind, start, end), found (the same with those found).
 

@@ -72,7 +72,23 @@ _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 _SPACED = r"'[^\x20\x09-\x0D]+'"
 
+_TEMPLATES = ", ".join(
+    f"({t}, '{label}', string_split('{must}', ' '), string_split('{(must + ' ' + rest).strip()}', ' '))" for t, (label, must, rest) in enumerate(licenses.TEMPLATES)
+)
+
 ORACLES: dict[str, str] = {
+    "op3_license_scan": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_ALNUM}) AS w FROM documents),
+tpl(t, label, must, whole) AS (VALUES {_TEMPLATES}),
+occ AS (SELECT r, t, label, k, list_sum(list_transform(range(1, len(whole) + 1), lambda i: CASE WHEN w[k + i - 1] = whole[i] THEN 1 ELSE 0 END)) / len(whole) AS share
+  FROM d, tpl, unnest(range(1, len(w) - len(must) + 2)) AS u(k) WHERE list_contains(w, must[1]) AND w[k:k + len(must) - 1] = must),
+per AS (SELECT r, count(*) FILTER (t < {len(licenses.BASE)}) AS n_base, min(k - 1) FILTER (t < {len(licenses.BASE)}) AS first_word,
+  max(k - 1) FILTER (t < {len(licenses.BASE)}) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (t < {len(licenses.BASE)}) AS base_labels,
+  string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM occ GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN per USING (r)
+""",
     "op5_line_chunks": """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
 li AS (SELECT doc_id, k, l[k] AS line, md5(l[k]) AS h, md5(l[greatest(k - 1, 1)]) AS p FROM d, unnest(range(1, len(l) + 1)) AS u(k)),
