@@ -26,8 +26,10 @@ N = 3
 # Similarity as a fraction, so that every bound is exact.
 NUM, DEN = 90, 100
 SKETCH_BITS, SLICES = 21, 64
-# Counts per hash range: a coarse vector of bytes, packed into two numbers, and a fine one of 16 bits each.
-COARSE, FINE = 16, 128
+# Two short images of a set: whether the elements of each of 512 hash classes are odd in number, as eight 64-bit numbers, and
+# the number of elements in each of 128 hash ranges.
+ODD, FINE = 8, 128
+_ODD = [f"odd{i}" for i in range(ODD)]
 
 
 def shingles(text: str | None, n: int = N) -> np.ndarray:
@@ -52,21 +54,21 @@ def second_of(own: np.ndarray) -> int | None:
     return node_of(own, 1 << 32) if len(own) else None
 
 
-def ranges_of(own: np.ndarray) -> tuple[int, int, bytes]:
-    """Elements per hash range: the coarse counts in two numbers, the fine ones as bytes. Full counts stay at their largest value."""
+def images_of(own: np.ndarray) -> tuple:
+    """The eight numbers of odd classes, and the counts per range as bytes (full counts stay at their largest value)."""
+    odd = np.bincount(((own >> np.uint64(32)) & np.uint64(64 * ODD - 1)).astype(np.int64), minlength=64 * ODD) & 1
     fine = np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=FINE)
-    low, high = np.minimum(fine.reshape(COARSE, -1).sum(1), 255).astype(np.uint8).view("<i8").tolist()
-    return low, high, np.minimum(fine, 65535).astype("<u2").tobytes()
+    return *np.packbits(odd.astype(np.uint8)).view("<i8").tolist(), np.minimum(fine, 65535).astype("<u2").tobytes()
 
 
 def _measured(docs: DataFrame, n: int, salt: int) -> DataFrame:
-    """Per document (doc_id, tkey, n_shingles, node, second, counts per range), and per task the slices of its shingle counts.
+    """Per document (doc_id, tkey, n_shingles, node, second, images), and per task the slices of its shingle counts.
 
     tkey is a hash of the text. A shingle counts in one of 2^21 cells, once per document.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("tkey", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("second", pa.int64()),
-        ("low", pa.int64()), ("high", pa.int64()), ("fine", pa.binary()), ("slice", pa.int32()), ("cells", pa.binary()),
+        *((o, pa.int64()) for o in _ODD), ("fine", pa.binary()), ("slice", pa.int32()), ("cells", pa.binary()),
     ])
     names = [f.name for f in schema]
 
@@ -79,14 +81,14 @@ def _measured(docs: DataFrame, n: int, salt: int) -> DataFrame:
             for doc_id, tkey, text in zip(*batch.columns):
                 own = shingles(text.as_py(), n)
                 np.add.at(cells, (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-                rows.append((doc_id.as_py(), tkey.as_py(), len(own), node_of(own, salt), second_of(own), *ranges_of(own), None, None))
+                rows.append((doc_id.as_py(), tkey.as_py(), len(own), node_of(own, salt), second_of(own), *images_of(own), None, None))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(schema), schema)], names=names)
         for i, part in enumerate(np.split(cells, SLICES)):
             if part.any():
                 packed = zstandard.compress(part.astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((None,) * 8 + (i, packed), schema)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((None,) * (6 + ODD) + (i, packed), schema)], names=names)
 
-    ddl = "doc_id bigint, tkey bigint, n_shingles bigint, node bigint, second bigint, low bigint, high bigint, fine binary, slice int, cells binary"
+    ddl = ", ".join(f"{c} bigint" for c in ("doc_id", "tkey", "n_shingles", "node", "second", *_ODD)) + ", fine binary, slice int, cells binary"
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tkey"), "text").mapInArrow(run, ddl)
 
 
@@ -141,7 +143,7 @@ def _entries(docs: DataFrame, sketch, n: int, salt: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token bigint, node bigint, size int, place int")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, n: int, salt: int, most: int = 1_000_000) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, n: int, salt: int, most: int = 500_000) -> DataFrame:
     """(node, size, own) of the wanted (node, w_doc_id, w_tkey): the sorted hashes.
 
     Up to `most` wanted rows are sent to all tasks; beyond, texts are shuffled by key.
@@ -171,14 +173,15 @@ def _need(a: Column, b: Column) -> Column:
 
 
 def _may_be_similar(a: str, b: str) -> Column:
-    """Length and suffix filter of two sides with prefixes a and b: sets whose counts per hash range differ by more than the sizes allow are apart."""
+    """Length and suffix filter of two sides with prefixes a and b.
+
+    An element of only one set turns one class from even to odd or back, so classes that differ are at most as many as such elements.
+    """
     size, other = F.col(f"{a}size"), F.col(f"{b}size")
     lengths = DEN * F.least(size, other) >= NUM * F.greatest(size, other)
     apart = F.lit(0)
-    for half in ("low", "high"):
-        for i in range(0, 64, 8):
-            byte = lambda x: F.shiftrightunsigned(f"{x}{half}", i).bitwiseAND(F.lit(255))  # noqa: B023, E731
-            apart = apart + F.abs(byte(a) - byte(b))
+    for o in _ODD:
+        apart = apart + F.bit_count(F.col(f"{a}{o}").bitwiseXOR(F.col(f"{b}{o}")))
     return lengths & (apart <= size + other - 2 * _need(size, other))
 
 
@@ -237,10 +240,10 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
     # Copies within a task are already one; those of several tasks are dealt with where the rows are few.
     shared = stored(entries.join(met, "token"), "jaccard-shared")
     member = per.join(shared.select("node").distinct(), "node")
-    first_row = F.min(F.struct("doc_id", "tkey", F.col("n_shingles").cast("int").alias("size"), "low", "high", "fine")).alias("r")
-    nodes = member.groupBy("node").agg(first_row).select("node", F.col("r.doc_id").alias("w_doc_id"), F.col("r.tkey").alias("w_tkey"), "r.size", "r.low", "r.high", "r.fine")
+    first_row = F.min(F.struct("doc_id", "tkey", F.col("n_shingles").cast("int").alias("size"), *_ODD, "fine")).alias("r")
+    nodes = member.groupBy("node").agg(first_row).select("node", F.col("r.doc_id").alias("w_doc_id"), F.col("r.tkey").alias("w_tkey"), "r.size", *(f"r.{o}" for o in _ODD), "r.fine")
     nodes = stored(nodes, "jaccard-nodes")
-    coarse = nodes.select("node", "size", "low", "high")
+    coarse = nodes.select("node", "size", *_ODD)
 
     first = shared.where("node <> pivot").select(*_pair("node", "pivot")).distinct()
     first = first.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_")).select("a", "b")
@@ -251,7 +254,7 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
     known = shared.select("token", "node", "place").distinct().join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_tokens = known.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
     rest = stored(known.join(open_tokens, "token").join(coarse, "node"), "jaccard-open")
-    fields = ("node", "size", "place", "component", "low", "high")
+    fields = ("node", "size", "place", "component", *_ODD)
     x, y = (rest.select("token", *[F.col(c).alias(f"{s}_{c}") for c in fields]) for s in "xy")
     size, other = F.col("x_size"), F.col("y_size")
     # The smaller set, or of equal ones the one of smaller number, is looked up by a shorter prefix.
@@ -274,7 +277,7 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, n: int = N, most: int = 1_000_000) -> DataFrame:
+def keep_one(docs: DataFrame, n: int = N, most: int = 500_000) -> DataFrame:
     """One document of each group, the one of smallest doc_id; all columns as they are. Wordless documents all stay.
 
     The dropped rows are told by doc_id and text; up to `most` of them are sent to all tasks, more are joined by shuffles.
