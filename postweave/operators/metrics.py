@@ -6,7 +6,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from postweave.operators import ordered as O
@@ -67,8 +66,7 @@ def latency_percentiles(latencies: DataFrame, run: str = "run_id", value: str =
     chunks, so that a run of any size is never sorted by one task.
     """
     counted = latencies.filter(F.col(value).isNotNull()).groupBy(run, value).agg(F.count(F.lit(1)).alias("_n"))
-    rows = O.in_chunks(counted, [run], [value])
-    upto = F.sum("_n").over(O.within([run], [value]))
+    rows = O.running_sum(O.in_chunks(counted, [run], [value]), run, "_n", "_upto")
     part = rows.groupBy(run, O.CHUNK).agg(F.sum("_n").alias("_part"))
     whole = part.groupBy(run).agg(F.sum("_part").alias("_all"))
     base = part.withColumn("_base", O.total_before("_part", [run])).join(whole, run).drop("_part")
@@ -79,7 +77,7 @@ def latency_percentiles(latencies: DataFrame, run: str = "run_id", value: str =
         hit = (at >= last - F.col("_n")) & (at < last)
         return F.round(F.max(F.when(hit, F.col(value))), 4).alias(f"p{p}")
 
-    found = rows.withColumn("_upto", upto).join(base, [run, O.CHUNK]).groupBy(run).agg(*(pick(p) for p in PERCENTILES))
+    found = rows.join(O.small(base)[0], [run, O.CHUNK]).groupBy(run).agg(*(pick(p) for p in PERCENTILES))
     runs = latencies.select(run).distinct()
     return runs.join(found, run, "left").select(
         run, *(F.coalesce(f"p{p}", F.lit(0.0)).alias(f"p{p}") for p in PERCENTILES)
@@ -155,16 +153,8 @@ def _count_failures(rows: DataFrame, source: str) -> DataFrame:
             if not n:
                 continue
             names, ok = batch.column(at), np.asarray(batch.column(ok_at).fill_null(False))
-            fresh = np.ones(n, bool)
-            fresh[0] = last != (names[0].as_py(),)
-            if n > 1:
-                same = pc.equal(names[1:], names[:-1])
-                fresh[1:] = ~np.asarray(same.fill_null(False)) & ~np.asarray(pc.and_(pc.is_null(names[1:]), pc.is_null(names[:-1])))
-            starts = np.flatnonzero(fresh)
-            group = np.cumsum(fresh) - 1  # -1: goes on from the batch before
-            total = np.cumsum(~ok)
-            base = np.concatenate((total[starts] - ~ok[starts], [-fails0]))[group]
-            fails = total - base
+            group = O.groups_of(names, last)
+            fails = O.sums_in(group, (~ok).astype(np.int64), fails0)
             # Marks rise within a source, so the last one is the largest so far.
             mark = np.where(ok, fails, -1)
             mark[0] = max(mark[0], mark0) if group[0] < 0 else mark[0]

@@ -8,8 +8,11 @@ over from earlier ones, for its first group only, is joined back as a small tabl
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postweave.session import pin
@@ -35,8 +38,39 @@ def small(per_chunk: DataFrame, most: int = 200_000) -> tuple[DataFrame, bool]:
     return (F.broadcast(kept) if sent else kept), sent
 
 
-def within(group: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*group, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def groups_of(names: pa.Array, last: tuple) -> np.ndarray:
+    """Number of each row's group within a sorted batch, from 0; -1 while the group of the batch before, `last`, goes on."""
+    fresh = np.ones(len(names), bool)
+    fresh[0] = last != (names[0].as_py(),)
+    if len(names) > 1:
+        same = pc.equal(names[1:], names[:-1]).fill_null(False)
+        fresh[1:] = ~np.asarray(pc.or_(same, pc.and_(pc.is_null(names[1:]), pc.is_null(names[:-1]))))
+    return np.cumsum(fresh) - 1
+
+
+def sums_in(group: np.ndarray, values: np.ndarray, carried: int) -> np.ndarray:
+    """Running sums per group of a batch; group -1 goes on from the sum carried over."""
+    total = np.cumsum(values)
+    starts = np.flatnonzero(np.diff(group, prepend=-1) > 0)
+    return total - np.concatenate((total[starts] - values[starts], [-carried]))[group]
+
+
+def running_sum(rows: DataFrame, group: str, value: str, name: str) -> DataFrame:
+    """Adds the running sum of a whole-number column within (group, chunk); streams through the sorted partitions."""
+    at, value_at = rows.columns.index(group), rows.columns.index(value)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carried = (), 0
+        for batch in batches:
+            n = batch.num_rows
+            if n:
+                names = batch.column(at)
+                sums = sums_in(groups_of(names, last), np.asarray(batch.column(value_at)).astype(np.int64), carried)
+                last, carried = (names[n - 1].as_py(),), int(sums[-1])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], names=[*batch.schema.names, name])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, f"{kinds}, {name} bigint")
 
 
 def earlier_chunks(group: Sequence[str]):
