@@ -334,6 +334,24 @@ def none(x: str) -> str:
     return f"coalesce(CAST({x} AS VARCHAR), 'None')"
 
 
+# Ids are hashes of source and arrival in the shape of a UUID; metadata is compact JSON, nulls written out.
+_ID = (
+    "array_to_string([substr(h, 1, 8), substr(h, 9, 4), substr(h, 13, 4), substr(h, 17, 4), substr(h, 21, 12)], '-') AS id"
+)
+
+
+def identified(sql: str) -> str:
+    """The raw rows of a source with their ids."""
+    at = sql.index(f"SELECT {_SEQ}")
+    head, select = sql[:at], sql[at + len("SELECT ") :]
+    return f"{head}SELECT * EXCLUDE (h), {_ID} FROM (SELECT *, md5(concat(source, chr(1), CAST(seq AS VARCHAR))) AS h FROM (SELECT {select}))"
+
+
+def as_json(**fields: str) -> str:
+    return "CAST(to_json({" + ", ".join(f"'{k}': {v}" for k, v in fields.items()) + "}) AS VARCHAR) AS metadata"
+
+
+_NULL = "CAST(NULL AS VARCHAR)"
 ORACLES["unreadable_feeds"] = ctes(postings=POSTINGS) + (
     f"SELECT seq // {L.PAGE_SIZE} AS page_seq, 'unit' AS unit, count(*) AS postings FROM postings WHERE (seq // {L.PAGE_SIZE}) % 7 = 0 GROUP BY 1"
 )
@@ -346,7 +364,7 @@ ORACLES["raw_from_jsearch"] = ctes(postings=POSTINGS) + (
         f"concat('Description:', {_NL}, raw_text)",
         "CASE WHEN seq % 4 = 1 AND floor(price) > 0 THEN concat('Salary: ', CAST(floor(price) AS BIGINT), ' - ', CAST(floor(price * 2) AS BIGINT), ' USD YEAR') END",
         f"concat('Qualifications:', {_NL}, '- Degree', {_NL}, '- ', segment)",
-    ) + " AS raw_text, concat('http://jobs.test/', seq) AS source_url FROM postings"
+    ) + f" AS raw_text, concat('http://jobs.test/', seq) AS source_url, {as_json(employer='employer', posted_at=_NULL, query=q('engineer'))} FROM postings"
 )
 ORACLES["raw_from_adzuna"] = ctes(postings=POSTINGS) + (
     f"SELECT {_SEQ}, 'adzuna_api' AS source, concat('adzuna_', seq) AS external_id, "
@@ -356,7 +374,9 @@ ORACLES["raw_from_adzuna"] = ctes(postings=POSTINGS) + (
         "concat('Contract Type: ', CASE WHEN seq % 3 = 0 THEN 'permanent' ELSE 'None' END)", f"concat('Description:', {_NL}, raw_text)",
         "CASE WHEN seq % 4 < 2 THEN concat('Salary: ', CAST(floor(price) AS BIGINT), ' - ', "
         "CASE WHEN seq % 4 = 1 THEN CAST(CAST(floor(price * 2) AS BIGINT) AS VARCHAR) ELSE '?' END, ' GBP yearly') END",
-    ) + " AS raw_text, concat('http://ads.test/', seq) AS source_url FROM postings"
+    ) + " AS raw_text, concat('http://ads.test/', seq) AS source_url, " + as_json(
+        employer="CASE WHEN seq % 5 <> 0 THEN employer END", posted_at=_NULL, category="segment", contract_type="CASE WHEN seq % 3 = 0 THEN 'permanent' END",
+    ) + " FROM postings"
 )
 ORACLES["raw_from_workable"] = ctes(postings=POSTINGS) + (
     f"SELECT {_SEQ}, 'workable' AS source, concat('w', seq) AS external_id, "
@@ -365,12 +385,18 @@ ORACLES["raw_from_workable"] = ctes(postings=POSTINGS) + (
         f"concat('Location: ', {none('m_city')}, ', , ', {none('m_country')})",
         f"concat('Workplace: ', {none('m_workplace')})", f"concat('Employment Type: ', {none('m_employment')})",
         f"concat('Description:', {_NL}, raw_text)",
-    ) + " AS raw_text, concat('http://board.test/', seq) AS source_url FROM postings"
+    ) + " AS raw_text, concat('http://board.test/', seq) AS source_url, " + as_json(
+        title="m_title", company="employer", location=f"{{'city': m_city, 'subregion': {_NULL}, 'countryName': m_country}}",
+        employment_type="m_employment", workplace="m_workplace", published_at=_NULL, company_info="{'title': employer}",
+    ) + " FROM postings"
 )
 ORACLES["raw_from_rss"] = ctes(postings=POSTINGS) + (
     f"SELECT {_SEQ}, 'indeed_rss' AS source, concat('g', seq) AS external_id, {strip(T)} AS raw_text, "
-    f"CASE WHEN seq % 3 = 0 THEN '' ELSE concat('http://feed.test/', seq) END AS source_url FROM postings WHERE (seq // {L.PAGE_SIZE}) % 7 <> 0"
+    f"CASE WHEN seq % 3 = 0 THEN '' ELSE concat('http://feed.test/', seq) END AS source_url, "
+    + as_json(title="concat(segment, ' Engineer')", pub_date="''", query=q("engineer")) + f" FROM postings WHERE (seq // {L.PAGE_SIZE}) % 7 <> 0"
 )
+for _name in ("raw_from_jsearch", "raw_from_adzuna", "raw_from_workable", "raw_from_rss"):
+    ORACLES[_name] = identified(ORACLES[_name])
 
 _ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),

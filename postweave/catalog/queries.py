@@ -328,7 +328,9 @@ def exists_by_external_id(spark, sf_dir):
 # ── sources ─────────────────────────────────────────────────────────────────────────────────────
 
 def _source(name: str, read: Callable[[DataFrame], DataFrame], pages: Query) -> None:
-    QUERIES[name] = lambda spark, sf_dir: _flat_raw(read(pages(spark, sf_dir)))
+    QUERIES[name] = lambda spark, sf_dir: read(pages(spark, sf_dir)).select(
+        "seq", "id", "source", "external_id", "raw_text", "source_url", "metadata"
+    )
 
 
 _source("raw_from_jsearch", S.raw_from_jsearch, L.jsearch_pages)
