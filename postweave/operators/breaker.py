@@ -141,14 +141,21 @@ def walk(
             out = pd.DataFrame(out, columns=["closed", "at", "opened", "failures", "relative"])
             yield out.assign(source=name, chunk=f[O.CHUNK].iloc[0])[["source", "chunk", "closed", "at", "opened", "failures", "relative"]]
 
-    def enter(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        state, out = State(int(f["opened0"].iat[0]), int(f["failures0"].iat[0])), []
-        for chunk, part in f.sort_values(["chunk", "closed", "at"]).groupby("chunk"):
-            out.append((key[0], chunk, *state))
-            table = [(r.at, Exit(r.opened, r.failures, r.relative)) for r in part.itertuples(index=False)]
-            n_open = int((~part["closed"]).sum())
-            state = step(state, [e for _, e in table[n_open:]], table[:n_open], wait)
-        return pd.DataFrame(out, columns=["source", O.CHUNK, "opened", "failures"])
+    def enter(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Entry states of the chunks of each source: the maps stream by in order, and one state is kept."""
+        source, chunk, state, after = object(), None, State(), None
+        for f in frames:
+            out = []
+            for r in f.itertuples(index=False):
+                if r.source != source:
+                    source, chunk, after = r.source, None, State(int(r.opened0), int(r.failures0))
+                if r.chunk != chunk:
+                    # What the chunk before has left, or the state that it could not change.
+                    chunk, state, after = r.chunk, state if after is None else after, None
+                    out.append((source, chunk, *state))
+                if after is None and (r.at == state.failures if r.closed else r.at >= state.opened + wait) and r.closed == (state.opened < 0):
+                    after = State(int(r.opened), int(r.failures) + (state.failures if r.relative else 0))
+            yield pd.DataFrame(out, columns=["source", O.CHUNK, "opened", "failures"])
 
     def annotate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Streams through the partition; the breaker after a batch is all that the next one needs."""
@@ -169,9 +176,8 @@ def walk(
 
     closed = {"opened0": -1, "failures0": 0}
     maps = rows.mapInPandas(summarise, f"source {kind}, {_MAP}")
-    entries = maps.join(begin, "source", "left").fillna(closed).groupBy("source").applyInPandas(
-        enter, f"source {kind}, {O.CHUNK} int, opened long, failures long"
-    )
+    lined = maps.join(begin, "source", "left").fillna(closed).repartition("source").sortWithinPartitions("source", "chunk", "closed", "at")
+    entries = lined.mapInPandas(enter, f"source {kind}, {O.CHUNK} int, opened long, failures long")
     # At most two entries per chunk; sources that lie within a chunk begin as `before` says, one row per source.
     (entries, sent), (begin, also_sent) = O.small(entries), O.small(begin)
     ready = rows.join(entries, ["source", O.CHUNK], "left").join(begin, "source", "left").fillna(closed)
