@@ -15,6 +15,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .getOrCreate()
     )
