@@ -35,10 +35,6 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def sha256_of(joined: Column) -> Column:
-    return F.sha2(joined, 256)
-
-
 # Which bytes of UTF-8 stand in words of either kind.
 ALNUM_BYTES = np.zeros(256, bool)
 ALNUM_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True

@@ -4,7 +4,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from postweave.llm import jaccard as J
 from postweave.llm import lm as M
