@@ -1,8 +1,8 @@
 """Repeated passages of lines, found as content-defined chunks; DataFrame functions only.
 
 A line begins a chunk if the hash over its own and the previous line's hash says so, so the cuts inside a passage do not depend on
-what stands before it. Chunks whose hash occurs more than once are compared byte by byte by grouping on their text; all but the
-first occurrence go, if the chunk has several lines or many words.
+what stands before it. A long line, a paragraph, is a chunk of its own. Chunks whose hash occurs more than once are compared byte by
+byte by grouping on their text; all but the first occurrence go, if the chunk has several lines or is a long line.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from postweave.llm.common import SPACED
 from postweave.session import pin
 
-LEAST_LINES, LEAST_WORDS = 2, 50
+# Characters from which a line is long: fifty words of three letters.
+LEAST_LINES, LONG = 2, 200
 # A line begins a chunk if the first hexadecimal digit is below this: every fourth does.
 CUT = "4"
 KEY = ["doc_id", "tkey"]
@@ -25,13 +26,15 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return rows.withColumn("keys", F.transform("lines", lambda x: F.md5(x.cast("binary"))))
 
 
-def _chunks() -> Column:
-    """Array of (begin, end) line numbers of the chunks, ends exclusive, from the column keys."""
+def _chunks(long: int) -> Column:
+    """Array of (begin, end) line numbers of the chunks, ends exclusive, from the columns lines and keys."""
     n = F.size("keys")
 
     def begins(i: Column) -> Column:
-        both = F.concat(F.element_at("keys", F.greatest(i, F.lit(1))), F.element_at("keys", i + 1))
-        return (i == 0) | (F.substring(F.md5(both.cast("binary")), 1, 1) < CUT)
+        own, before = i + 1, F.greatest(i, F.lit(1))
+        both = F.concat(F.element_at("keys", before), F.element_at("keys", own))
+        paragraph = F.greatest(F.length(F.element_at("lines", own)), F.length(F.element_at("lines", before))) >= long
+        return (i == 0) | paragraph | (F.substring(F.md5(both.cast("binary")), 1, 1) < CUT)
 
     begin = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), begins)
     ends = F.concat(F.slice(begin, 2, F.greatest(F.size(begin) - 1, F.lit(0))), F.array(n))
@@ -42,9 +45,9 @@ def _hashed(chunk: Column) -> Column:
     return F.xxhash64(F.slice("keys", chunk["begin"] + 1, chunk["end"] - chunk["begin"]))
 
 
-def _occurrences(docs: DataFrame, most: int) -> DataFrame:
+def _occurrences(docs: DataFrame, long: int, most: int) -> DataFrame:
     """(doc_id, tkey, nth, n_lines, hash, text) of every chunk whose hash occurs more than once."""
-    rows = _keyed(docs).withColumn("chunks", _chunks())
+    rows = _keyed(docs).withColumn("chunks", _chunks(long))
     every = rows.select(F.explode(F.transform("chunks", _hashed)).alias("hash")).groupBy("hash").count()
     again = pin(every.where("count > 1").select("hash"))
     sent = F.broadcast(again) if again.count() <= most else again
@@ -52,10 +55,10 @@ def _occurrences(docs: DataFrame, most: int) -> DataFrame:
     return rows.select(*KEY, F.posexplode(each).alias("nth", "c")).select(*KEY, "nth", "c.*").join(sent, "hash")
 
 
-def repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES, least_words: int = LEAST_WORDS, most: int = 200_000) -> DataFrame:
+def repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES, long: int = LONG, most: int = 200_000) -> DataFrame:
     """(doc_id, tkey, nth, n_lines): chunks to remove. Rows that repeat id and text count as one document."""
-    found = _occurrences(docs, most).withColumn("n_words", F.regexp_count("text", F.lit(SPACED)))
-    found = found.where((F.col("n_words") > 0) & ((F.col("n_lines") >= least_lines) | (F.col("n_words") >= least_words)))
+    found = _occurrences(docs, long, most)
+    found = found.where(((F.col("n_lines") >= least_lines) | (F.length("text") >= long)) & F.col("text").rlike(SPACED))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tkey", "nth")
     # Grouping on the text itself is the comparison; its digest only names the group. Copies in a task meet before the shuffle.
     groups = found.groupBy("hash", "text").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
@@ -66,17 +69,17 @@ def repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES, least_words
     return narrow.join(sent, ["hash", "digest"]).where(~same).select(*KEY, "nth", "n_lines").dropDuplicates([*KEY, "nth"])
 
 
-def line_dedup(docs: DataFrame, least_lines: int = LEAST_LINES, least_words: int = LEAST_WORDS, most: int = 200_000) -> DataFrame:
+def line_dedup(docs: DataFrame, least_lines: int = LEAST_LINES, long: int = LONG, most: int = 200_000) -> DataFrame:
     """One row per row of docs: doc_id, n_lines, n_chunks, n_removed (chunks), n_removed_lines, text (what stays).
 
     The first occurrence, by doc_id (null last), text hash and place, stays. Null texts stay null and have no lines; an empty text
     is one empty line. Chunks without words stay. Repeated rows get equal results. An empty table gives no rows. Other columns are
     not read. Up to `most` hashes, groups or removed chunks are sent to all tasks, more are joined by shuffles.
     """
-    gone = pin(repeated_chunks(docs, least_lines, least_words, most))
+    gone = pin(repeated_chunks(docs, least_lines, long, most))
     per = gone.groupBy(*KEY).agg(F.collect_set("nth").alias("gone")).select(F.col("doc_id").alias("g_doc_id"), F.col("tkey").alias("g_tkey"), "gone")
     per = F.broadcast(per) if gone.count() <= most else per
-    rows = _keyed(docs).withColumn("chunks", _chunks()).join(per, F.col("doc_id").eqNullSafe(F.col("g_doc_id")) & (F.col("tkey") == F.col("g_tkey")), "left")
+    rows = _keyed(docs).withColumn("chunks", _chunks(long)).join(per, F.col("doc_id").eqNullSafe(F.col("g_doc_id")) & (F.col("tkey") == F.col("g_tkey")), "left")
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     kept = F.filter(F.transform("chunks", lambda c, i: F.struct(c["begin"].alias("begin"), c["end"].alias("end"), i.alias("nth"))), lambda c: ~F.array_contains("gone", c["nth"]))
     rows = rows.withColumn("gone", gone).withColumn("kept", kept)

@@ -91,11 +91,12 @@ FROM d LEFT JOIN per USING (r)
 """,
     "op5_line_chunks": """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
-li AS (SELECT doc_id, k, l[k] AS line, md5(l[k]) AS h, md5(l[greatest(k - 1, 1)]) AS p FROM d, unnest(range(1, len(l) + 1)) AS u(k)),
-c AS (SELECT *, sum(CASE WHEN k = 1 OR substr(md5(p || h), 1, 1) < '4' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS nth FROM li),
+li AS (SELECT doc_id, k, l[k] AS line, md5(l[k]) AS h, md5(l[greatest(k - 1, 1)]) AS p,
+  greatest(length(l[k]), length(l[greatest(k - 1, 1)])) >= 200 AS long FROM d, unnest(range(1, len(l) + 1)) AS u(k)),
+c AS (SELECT *, sum(CASE WHEN k = 1 OR long OR substr(md5(p || h), 1, 1) < '4' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS nth FROM li),
 ch AS (SELECT doc_id, nth, count(*) AS n, string_agg(line, chr(10) ORDER BY k) AS body FROM c GROUP BY doc_id, nth),
-cand AS (SELECT *, len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) AS w, row_number() OVER (PARTITION BY body ORDER BY doc_id, nth) AS seen FROM ch),
-gone AS (SELECT doc_id, nth, n FROM cand WHERE seen > 1 AND w > 0 AND (n >= 2 OR w >= 50)),
+cand AS (SELECT *, regexp_matches(body, '[^\x20\x09-\x0D]') AS w, row_number() OVER (PARTITION BY body ORDER BY doc_id, nth) AS seen FROM ch),
+gone AS (SELECT doc_id, nth, n FROM cand WHERE seen > 1 AND w AND (n >= 2 OR length(body) >= 200)),
 per AS (SELECT doc_id, count(*) AS r, sum(n) AS rl FROM gone GROUP BY doc_id),
 kept AS (SELECT c.doc_id, string_agg(line, chr(10) ORDER BY k) AS body FROM c ANTI JOIN gone g ON c.doc_id = g.doc_id AND c.nth = g.nth GROUP BY c.doc_id),
 tot AS (SELECT doc_id, count(*) AS n_lines, max(nth) AS n_chunks FROM c GROUP BY doc_id)
