@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
@@ -19,6 +20,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows and bytes that go to a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, after lowering the session's Arrow batch limits to the above where they are larger.
+
+    Texts are long: at the usual 10,000 rows and 64 MB a batch, the copies of one batch in Spark's and Python's memory are what a
+    task needs most memory for. The limits are read when a plan is made, so they stay lowered.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    size = re.fullmatch(r"(-?\d+)([kmg]?)b?", conf.get("spark.sql.execution.arrow.maxBytesPerBatch").strip().lower())
+    if not size or not 0 < int(size[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[size[2]] <= BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

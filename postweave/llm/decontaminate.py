@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from postweave.llm.common import Words
+from postweave.llm.common import Words, small_batches
 
 N = 13
 BLOCK_WORDS = 2_000_000
@@ -109,6 +109,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, block_words: in
     Null texts have no words. Items without words, without id or without text match nothing. Items that share an id count once.
     """
     found = None
+    small_batches(docs)
     for block in blocks(benchmark, n, block_words):
         sent = docs.sparkSession.sparkContext.broadcast((block, n))
         one = _finder(sent)(F.col("text"))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from postweave.llm.common import SPACED_BYTES, Words, stored
+from postweave.llm.common import SPACED_BYTES, Words, small_batches, stored
 from postweave.llm.components import components
 from postweave.session import pin
 
@@ -75,7 +75,7 @@ def _measured(docs: DataFrame, n: int, salt: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        cells = np.zeros(1 << SKETCH_BITS, np.int64)
+        cells = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             rows = []
             for doc_id, tkey, text in zip(*batch.columns):
@@ -225,6 +225,7 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
     and rows with equal sets share a component. A null doc_id takes part in links; a component of nothing else has a null id, as
     has a lone document without id. An empty table gives no rows. Other columns are not read.
     """
+    small_batches(docs)
     salt = 0
     while True:
         measured = stored(_measured(docs, n, salt), "jaccard-measured")

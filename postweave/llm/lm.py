@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from postweave.llm.common import SPACED_BYTES, Words, stored
+from postweave.llm.common import SPACED_BYTES, Words, small_batches, stored
 from postweave.session import pin
 
 FREQUENT = 65_536
@@ -236,7 +236,7 @@ def lm_scores(docs: DataFrame, size: int = FREQUENT) -> DataFrame:
     Null texts are empty and have one token, the end. Documents without id are training text. Repeated rows count as often as they
     are there and score alike. Without training text all counts are 0 and every token has probability 1. Other columns are not read.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     words = frequent_words(docs, size)
     sent = spark.sparkContext.broadcast(words)
     model, others = _counted(docs, sent)

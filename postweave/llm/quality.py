@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from postweave.llm.common import small_batches
 from postweave.session import pin
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -217,7 +218,7 @@ def judge(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 def measured_docs(docs: DataFrame, blocked: Sequence[str] = ()) -> DataFrame:
     """doc_id, stratum and the measured columns of every document."""
-    return docs.select("doc_id", stratum(F.col("lang")).alias("stratum"), features(F.col("text"), blocked).alias("q")).select(
+    return small_batches(docs).select("doc_id", stratum(F.col("lang")).alias("stratum"), features(F.col("text"), blocked).alias("q")).select(
         "doc_id", "stratum", "q.*"
     )
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from postweave.llm.common import small_batches
 from postweave.session import pin
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -100,7 +101,7 @@ def tokenised(docs: DataFrame, tokenizer: str = TOKENIZER, pattern: str = PATTER
     end_id = sum(1 for line in ranks_file.splitlines() if line.strip())
     if end_id >= 1 << 16:
         raise ValueError(f"{tokenizer}: ids of {end_id} tokens do not fit 16 bits")
-    sent = docs.sparkSession.sparkContext.broadcast(ranks_file)
+    sent = small_batches(docs).sparkSession.sparkContext.broadcast(ranks_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(sent.value, pattern).encode_to_numpy
