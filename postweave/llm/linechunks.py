@@ -20,9 +20,13 @@ KEY = ["doc_id", "tkey"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, lines, and line keys; no lines for a null text."""
+    return docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text")
+
+
+def _lined(rows: DataFrame) -> DataFrame:
+    """Lines, and line keys, in place of the text; no lines for a null text."""
     lines = F.when(F.col("text").isNotNull(), F.split("text", "\n", -1)).otherwise(F.array().cast("array<string>"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("tkey"), lines.alias("lines"))
+    rows = rows.withColumn("lines", lines).drop("text")
     return rows.withColumn("keys", F.transform("lines", lambda x: F.md5(x.cast("binary"))))
 
 
@@ -45,41 +49,45 @@ def _hashed(chunk: Column) -> Column:
     return F.xxhash64(F.slice("keys", chunk["begin"] + 1, chunk["end"] - chunk["begin"]))
 
 
-def _occurrences(docs: DataFrame, long: int, most: int) -> DataFrame:
-    """(doc_id, tkey, nth, n_lines, hash, text) of every chunk whose hash occurs more than once."""
-    rows = _keyed(docs).withColumn("chunks", _chunks(long))
-    every = rows.select(F.explode(F.transform("chunks", _hashed)).alias("hash")).groupBy("hash").count()
-    again = pin(every.where("count > 1").select("hash"))
-    sent = F.broadcast(again) if again.count() <= most else again
-    each = F.transform("chunks", lambda c: F.struct(_hashed(c).alias("hash"), (c["end"] - c["begin"]).alias("n_lines"), F.array_join(F.slice("lines", c["begin"] + 1, c["end"] - c["begin"]), "\n").alias("text")))
-    return rows.select(*KEY, F.posexplode(each).alias("nth", "c")).select(*KEY, "nth", "c.*").join(sent, "hash")
+def _candidates(docs: DataFrame, least_lines: int, long: int) -> DataFrame:
+    """(doc_id, tkey, nth, n_lines, hash, text) of every chunk that may go."""
+    rows = _lined(_keyed(docs)).withColumn("chunks", F.transform(_chunks(long), lambda c, i: F.struct(c["begin"].alias("begin"), c["end"].alias("end"), i.alias("nth"))))
+    n_lines = lambda c: c["end"] - c["begin"]
+    # A chunk of one line is a long line or too short to go.
+    rows = rows.withColumn("chunks", F.filter("chunks", lambda c: (n_lines(c) >= least_lines) | (F.length(F.element_at("lines", c["begin"] + 1)) >= long)))
+    each = F.transform("chunks", lambda c: F.struct(
+        c["nth"].alias("nth"), _hashed(c).alias("hash"), n_lines(c).alias("n_lines"), F.array_join(F.slice("lines", c["begin"] + 1, n_lines(c)), "\n").alias("text")
+    ))
+    return rows.select(*KEY, F.explode(each).alias("c")).select(*KEY, "c.*")
 
 
-def repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES, long: int = LONG, most: int = 200_000) -> DataFrame:
+def repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES, long: int = LONG) -> DataFrame:
     """(doc_id, tkey, nth, n_lines): chunks to remove. Rows that repeat id and text count as one document."""
-    found = _occurrences(docs, long, most)
-    found = found.where(((F.col("n_lines") >= least_lines) | (F.length("text") >= long)) & F.col("text").rlike(SPACED))
+    every = _candidates(docs, least_lines, long)
+    # Only hashes travel to be counted, and only texts whose hash repeats are compared.
+    again = pin(every.groupBy("hash").count().where("count > 1").select("hash"))
+    found = every.join(again, "hash").where(F.col("text").rlike(SPACED))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tkey", "nth")
     # Grouping on the text itself is the comparison; its digest only names the group. Copies in a task meet before the shuffle.
     groups = found.groupBy("hash", "text").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
     groups = pin(groups.select("hash", F.sha2("text", 256).alias("digest"), "first"))
-    narrow = found.select(*KEY, "nth", "n_lines", "hash", F.sha2("text", 256).alias("digest"))
+    narrow = every.select(*KEY, "nth", "n_lines", "hash", F.sha2("text", 256).alias("digest"))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tkey") == F.col("first.tkey")) & (F.col("nth") == F.col("first.nth"))
-    sent = F.broadcast(groups) if groups.count() <= most else groups
-    return narrow.join(sent, ["hash", "digest"]).where(~same).select(*KEY, "nth", "n_lines").dropDuplicates([*KEY, "nth"])
+    return narrow.join(groups, ["hash", "digest"]).where(~same).select(*KEY, "nth", "n_lines").dropDuplicates([*KEY, "nth"])
 
 
-def line_dedup(docs: DataFrame, least_lines: int = LEAST_LINES, long: int = LONG, most: int = 200_000) -> DataFrame:
+def line_dedup(docs: DataFrame, least_lines: int = LEAST_LINES, long: int = LONG) -> DataFrame:
     """One row per row of docs: doc_id, n_lines, n_chunks, n_removed (chunks), n_removed_lines, text (what stays).
 
     The first occurrence, by doc_id (null last), text hash and place, stays. Null texts stay null and have no lines; an empty text
     is one empty line. Chunks without words stay. Repeated rows get equal results. An empty table gives no rows. Other columns are
-    not read. Up to `most` hashes, groups or removed chunks are sent to all tasks, more are joined by shuffles.
+    not read. What is removed may be much, so it meets the texts in an ordinary join at every size.
     """
-    gone = pin(repeated_chunks(docs, least_lines, long, most))
-    per = gone.groupBy(*KEY).agg(F.collect_set("nth").alias("gone")).select(F.col("doc_id").alias("g_doc_id"), F.col("tkey").alias("g_tkey"), "gone")
-    per = F.broadcast(per) if gone.count() <= most else per
-    rows = _keyed(docs).withColumn("chunks", _chunks(long)).join(per, F.col("doc_id").eqNullSafe(F.col("g_doc_id")) & (F.col("tkey") == F.col("g_tkey")), "left")
+    per = repeated_chunks(docs, least_lines, long)
+    per = per.groupBy(*KEY).agg(F.collect_set("nth").alias("gone")).select(F.col("doc_id").alias("g_doc_id"), F.col("tkey").alias("g_tkey"), "gone")
+    # The text itself travels, and is cut into lines after the join.
+    rows = _keyed(docs).join(per, F.col("doc_id").eqNullSafe(F.col("g_doc_id")) & (F.col("tkey") == F.col("g_tkey")), "left")
+    rows = _lined(rows).withColumn("chunks", _chunks(long))
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     kept = F.filter(F.transform("chunks", lambda c, i: F.struct(c["begin"].alias("begin"), c["end"].alias("end"), i.alias("nth"))), lambda c: ~F.array_contains("gone", c["nth"]))
     rows = rows.withColumn("gone", gone).withColumn("kept", kept)

@@ -142,9 +142,8 @@ def test_line_chunks_against_plain_rule(spark, rows):
     df = clashing(spark.createDataFrame(every, "doc_id long, text string"))
     C_HASH.update({r[0]: r[1] for r in df.select("text", F.xxhash64("text")).collect()})
     want = plain_dedup(every)
-    for most in (1_000_000, 0):
-        got = C.line_dedup(df, most=most)
-        assert by_id(got, "doc_id", "text") == sorted(((i, None if t is None else want[i, t]) for i, t in every), key=repr)
+    got = C.line_dedup(df)
+    assert by_id(got, "doc_id", "text") == sorted(((i, None if t is None else want[i, t]) for i, t in every), key=repr)
     removed = {r.doc_id: r.n_removed_lines for r in got.collect()}
     # Whatever stands before the passage, most of it is found.
     assert removed[300] == 0 and all(removed[300 + k] >= 25 for k in range(1, 6)) and removed[401] == 1
