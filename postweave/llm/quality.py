@@ -106,7 +106,8 @@ def features(text: Column, blocked: Sequence[str] = ()) -> Column:
         columns = list(zip(*rows)) if rows else [()] * len(FEATURES)
         return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, FEATURES)], fields=list(FEATURES))
 
-    return run(text)
+    # Marked so, a filter on what it gives is not pushed below it, where it would run a second time.
+    return run.asNondeterministic()(text)
 
 
 def _ddl() -> str:
