@@ -1,18 +1,15 @@
-"""N-gram scores of texts by a weighted automaton with failure arcs.
-
-Tokens are words and one end per text. Counting covers every training token: a bounded set of the most frequent words is counted
-in tasks, all other words by their hash in one shuffle, in which no key is hot because the frequent words are not among them.
-
-The automaton's alphabet is a fixed number of the most frequent words, the end, and one class for all other words. Its states
-are the contexts (nothing, one symbol, two symbols) seen in training; a state has an arc for every symbol seen after it, weighted
-by Witten-Bell smoothing, and a failure arc with a back-off weight to the state of the shorter context. A class arc is followed
-by the word's share of its class. A text is scored in one pass from left to right that carries the state.
+"""N-gram scores of texts by a whole-word trigram model with back-off.
+
+Tokens are words and one end per text; two ends stand before a text. Every training trigram of words is counted: tasks count what
+they hold, a shuffle by context adds up, and bigrams and words are sums of trigrams. A state is a context of one or two words seen in
+training; it has Witten-Bell weights for the words seen after it and a back-off weight to the shorter context. Tables of trigrams,
+bigrams and words are joined to one table of log weights, and the trigrams of the texts are joined with it. Nothing is capped:
+what a task holds at once is fixed, the tables grow with the corpus and lie in the shared folder. Words in no training text are
+one unknown word.
 """
 
 from __future__ import annotations
 
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +19,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from postweave.llm.common import SPACED_BYTES, Words, small_batches, stored
 from postweave.session import pin
 
-FREQUENT = 65_536
-ALPHABET = 128
-_CLASS, _END = ALPHABET - 2, ALPHABET - 1
+# Symbols whose counts are sent to every task: the most frequent words, the end and the unknown word. Others are joined by shuffles.
+ALPHABET = 65_538
+FREQUENT = ALPHABET - 2
+END = -0x61C8864680B583EB
+# Tokens that a task counts at once.
+HELD = 1_000_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -42,192 +42,81 @@ def hashes(text: str | None) -> np.ndarray:
     return Words((text or "").encode(), SPACED_BYTES).hash.view(np.int64)
 
 
-def frequent_words(docs: DataFrame, size: int = FREQUENT) -> list[int]:
-    """Hashes of frequent training words, the most frequent first.
+def _grams(docs: DataFrame, per_text: bool) -> DataFrame:
+    """Trigrams (key, u, v, w, n) that end with each token, a row for each that a task holds at once.
 
-    Every task offers its own `size` most frequent words with their counts there, and the best by summed counts are taken, so a
-    word that makes up more than 1/size of all words is always among them. Which words are taken only decides how others are counted.
+    Per text, key is that of the row and n counts all its tokens; otherwise key is 0 and n counts training tokens, none included.
     """
-    schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([(c, pa.int64()) for c in ("key", "u", "v", "w", "n")])
+
+    def counted(parts: list[tuple[int, bool, np.ndarray]]) -> pa.RecordBatch:
+        sizes = [len(s) - 2 for _, _, s in parts]
+        key = np.repeat(np.array([k if per_text else 0 for k, _, _ in parts], np.int64), sizes)
+        weight = np.repeat(np.array([per_text or train for _, train, _ in parts], np.int64), sizes)
+        u, v, w = (np.concatenate([s[i : len(s) - 2 + i] for _, _, s in parts]) for i in range(3))
+        mixed = np.zeros(len(u), np.uint64)
+        for x in (key, u, v, w):
+            mixed = (mixed ^ x.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        order = np.argsort(mixed, kind="stable")
+        new = np.ones(len(order), bool)
+        # Rows that only share the mixed number stay apart.
+        new[1:] = np.any([x[order[1:]] != x[order[:-1]] for x in (key, u, v, w)], axis=0)
+        at = np.flatnonzero(new)
+        first = order[at]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key[first], u[first], v[first], w[first], np.add.reduceat(weight[order], at))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def merged(parts: list[np.ndarray], words, counts):
-            own, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            every, at = np.unique(np.concatenate((words, own)), return_inverse=True)
-            total = np.bincount(at, np.concatenate((counts, n)), minlength=len(every)).astype(np.int64)
-            # Eight times as many as are offered stay in memory.
-            if len(every) > 8 * size:
-                most = np.argpartition(-total, 8 * size)[: 8 * size]
-                every, total = every[most], total[most]
-            return every, total
-
         parts, held = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                parts.append(hashes(text.as_py()))
-                held += len(parts[-1])
-                if held > 2_000_000:
-                    words, counts = merged(parts, words, counts)
+            for key, train, text in zip(*batch.columns):
+                parts.append((key.as_py(), train.as_py(), np.concatenate(([END, END], hashes(text.as_py()), [END])).astype(np.int64)))
+                held += len(parts[-1][2])
+                if held > HELD:
+                    yield counted(parts)
                     parts, held = [], 0
-        words, counts = merged(parts, words, counts)
-        # Words seen once are told by no task: they are frequent nowhere.
-        often = np.flatnonzero(counts > 1)
-        best = often[np.lexsort((words[often], -counts[often]))][:size]
-        yield pa.RecordBatch.from_arrays([pa.array(words[best], pa.int64()), pa.array(counts[best], pa.int64())], schema=schema)
-
-    offered = _keyed(docs).where("train").select("text").mapInArrow(run, "word bigint, n bigint")
-    best = offered.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [r["word"] for r in best.collect()]
+        if parts:
+            yield counted(parts)
 
+    return _keyed(docs).select("key", "train", "text").mapInArrow(run, "key bigint, u bigint, v bigint, w bigint, n bigint")
 
-class Ranks:
-    """Rank of a word's hash among the frequent words, -1 for others."""
 
-    def __init__(self, words: list[int]):
-        own = np.array(words, np.int64)
-        self.order = np.argsort(own, kind="stable")
-        self.sorted = own[self.order]
-        self.n = len(own)
+def _tables(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Training counts of everything that stands in a text, training or not.
 
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        if not self.n:
-            return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.sorted, h), self.n - 1)
-        return np.where(self.sorted[at] == h, self.order[at], -1)
-
-
-def symbols(ranks: np.ndarray) -> np.ndarray:
-    """Symbols of a text's words and its end."""
-    out = np.full(len(ranks) + 1, _CLASS)
-    out[:-1][(ranks >= 0) & (ranks < _CLASS)] = ranks[(ranks >= 0) & (ranks < _CLASS)]
-    out[-1] = _END
-    return out
+    Trigrams (u, v, w, n, total, kinds), where total and kinds are the tokens and distinct words seen after u, v; bigrams (v, w, n);
+    words (word, n, kinds), kinds being the distinct words seen after it. A word is followed as often as it is there, the end too.
+    """
+    context = Window.partitionBy("u", "v")
+    sums = _grams(docs, False).repartition("u", "v").groupBy("u", "v", "w").agg(F.sum("n").alias("n"))
+    trigrams = stored(sums.withColumns({"total": F.sum("n").over(context), "kinds": F.sum((F.col("n") > 0).cast("long")).over(context)}), "lm-trigrams")
+    bigrams = stored(trigrams.groupBy("v", "w").agg(F.sum("n").alias("n")), "lm-bigrams")
+    after = bigrams.where("n > 0").groupBy(F.col("v").alias("word")).agg(F.count("*").alias("kinds"))
+    words = bigrams.groupBy(F.col("w").alias("word")).agg(F.sum("n").alias("n")).join(after, "word", "left")
+    return trigrams, bigrams, stored(words.select("word", "n", F.coalesce("kinds", F.lit(0)).alias("kinds")), "lm-words")
 
 
-def _counted(docs: DataFrame, words) -> tuple[DataFrame, DataFrame]:
-    """(kind, code, n): counts of frequent words (kind 1) and of symbol triples (kind 3); and (word, key, n, train) of other words.
+def _most(words: DataFrame, size: int) -> DataFrame:
+    return words.where("n > 0").orderBy(F.desc("n"), "word").limit(size)
 
-    Both come from one pinned pass. Of other words there is a row per word and text; word is null in a row for the text itself.
-    """
-    schema = pa.schema([("kind", pa.int32()), ("word", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("train", pa.bool_())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = Ranks(words.value)
-        singles = np.zeros(max(rank.n, 1), np.int64)
-        triples = np.zeros(ALPHABET**3, np.int64)
-        for batch in batches:
-            out: list[tuple[np.ndarray, ...]] = []
-            for key, train, text in zip(*(batch.column(i) for i in range(3))):
-                key, train = key.as_py(), train.as_py()
-                h = hashes(text.as_py())
-                r = rank(h)
-                other, n = np.unique(h[r < 0], return_counts=True)
-                out.append((np.full(len(other), 2, np.int32), other, np.full(len(other), key), n, np.full(len(other), train)))
-                if train:
-                    singles += np.bincount(r[r >= 0], minlength=len(singles))
-                    s = np.concatenate(([_END, _END], symbols(r)))
-                    np.add.at(triples, (s[:-2] * ALPHABET + s[1:-1]) * ALPHABET + s[2:], 1)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-            texts = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(texts), pa.int32()), pa.nulls(texts, pa.int64()), batch.column(0), pa.array(np.ones(texts), pa.int64()), batch.column(1)], schema=schema
-            )
-        for kind, counts in ((1, singles), (3, triples)):
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), kind), pa.int32()), pa.array(at, pa.int64()), pa.nulls(len(at), pa.int64()), pa.array(counts[at], pa.int64()), pa.nulls(len(at), pa.bool_())],
-                schema=schema,
-            )
-
-    rows = stored(_keyed(docs).select("key", "train", "text").mapInArrow(run, "kind int, word bigint, key bigint, n bigint, train boolean"), "lm-words")
-    model = rows.where("kind IN (1, 3)").groupBy("kind", F.col("word").alias("code")).agg(F.sum("n").alias("n"))
-    return model, rows.where("kind IN (0, 2)").select("kind", "word", "key", "n", "train")
-
-
-def _per_text(others: DataFrame) -> DataFrame:
-    """Per text key: copies, and over its other words: log_sum (n log10(c + 1/2)), known, and firsts.
-
-    c is the word's count in training texts, known the tokens with c > 0; firsts sums up to the distinct words with c > 0. The
-    window holds the rows of one word; none of these words is frequent.
-    """
-    words = others.where("kind = 2")
-    own = Window.partitionBy("word")
-    rows = words.withColumn("c", F.sum(F.when(F.col("train"), F.col("n")).otherwise(0)).over(own)).withColumn("nth", F.row_number().over(own.orderBy("key")))
-    sums = rows.select(
-        "key", (F.col("n") * F.log10(F.col("c") + 0.5)).alias("log_sum"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"),
-        ((F.col("c") > 0) & (F.col("nth") == 1)).cast("long").alias("firsts"), F.lit(0).cast("long").alias("copies"),
-    )
-    none = F.lit(0).cast("long")
-    texts = others.where("kind = 0").select("key", F.lit(0.0).alias("log_sum"), none.alias("known"), none.alias("firsts"), F.lit(1).cast("long").alias("copies"))
-    return sums.union(texts).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("log_sum", "known", "firsts", "copies")])
+def frequent_words(docs: DataFrame, size: int = FREQUENT) -> list[int]:
+    """Hashes of the most frequent training words, the most frequent first."""
+    return [r["word"] for r in _most(_tables(docs)[2].where(F.col("word") != END), size).collect()]
 
 
-class Automaton:
-    """States as lists of arcs and failure arcs, and the tables that a traversal follows.
+def _with_word(df: DataFrame, column: str, words: DataFrame, frequent: DataFrame) -> DataFrame:
+    """df with columns <column>_n and <column>_kinds of that word. A frequent word's rows stay where they are."""
+    named = [F.col("word").alias(column), F.col("n").alias(f"{column}_n"), F.col("kinds").alias(f"{column}_kinds")]
+    sent = F.broadcast(frequent.select(*named))
+    rest = df.join(F.broadcast(frequent.select(named[0])), column, "left_anti").join(words.select(*named), column)
+    return df.join(sent, column).unionByName(rest)
 
-    arcs[state][symbol] = (log10 weight, next state); fails[state] = (log10 weight, state of the shorter context).
-    """
 
-    def __init__(self, triples: dict[int, int], unigram: np.ndarray):
-        A = ALPHABET
-        self.ids: dict[tuple, int] = {(): 0}
-        pairs: dict[tuple, Counter] = {}
-        for code, n in sorted(triples.items()):
-            u, v, w = code // (A * A), code // A % A, code % A
-            pairs.setdefault((u, v), Counter())[w] += n
-            pairs.setdefault((v,), Counter())[w] += n
-        for context in sorted(pairs, key=lambda c: (len(c), c)):
-            self.ids[context] = len(self.ids)
-        self.arcs: list[dict[int, tuple[float, int]]] = [{} for _ in self.ids]
-        self.fails: list[tuple[float, int]] = [(0.0, 0)] * len(self.ids)
-        self.probability: list[np.ndarray] = [unigram] * len(self.ids)
-        with np.errstate(divide="ignore"):
-            logs = np.log10(unigram)
-        for w in range(A):
-            self.arcs[0][w] = (float(logs[w]), self.ids.get((w,), 0))
-        for context, seen in sorted(pairs.items(), key=lambda x: (len(x[0]), x[0])):
-            state, lower = self.ids[context], self.ids.get(context[1:], 0)
-            total, kinds = sum(seen.values()), len(seen)
-            back = kinds / (total + kinds)
-            self.fails[state] = (float(np.log10(back)), lower)
-            own = back * self.probability[lower]
-            for w, n in seen.items():
-                own[w] += n / (total + kinds)
-                self.arcs[state][w] = (float(np.log10(own[w])), self._longest((*context, w)[-2:]))
-            self.probability[state] = own
-
-    def _longest(self, context: tuple) -> int:
-        while context not in self.ids:
-            context = context[1:]
-        return self.ids[context]
-
-    @property
-    def start(self) -> int:
-        return self._longest((_END, _END))
-
-    def tables(self) -> tuple[array, array]:
-        """Weight and next state for every state and symbol, with failure arcs followed to the first state that has the symbol."""
-        weights, following = np.zeros((len(self.arcs), ALPHABET)), np.zeros((len(self.arcs), ALPHABET), np.int64)
-        for state, arcs in enumerate(self.arcs):
-            if state:  # shorter contexts have smaller numbers
-                back, lower = self.fails[state]
-                weights[state], following[state] = back + weights[lower], following[lower]
-            for w, (weight, after) in arcs.items():
-                weights[state, w], following[state, w] = weight, after * ALPHABET
-        return array("d", weights.tobytes()), array("q", following.tobytes())
-
-
-def traverse(text: list[int], tables: tuple[array, array], start: int) -> float:
-    """Sum of the weights along the text's symbols."""
-    weights, following = tables
-    at, total = start * ALPHABET, 0.0
-    for s in text:
-        total += weights[at + s]
-        at = following[at + s]
-    return total
+def _backed(n: str, total: str, kinds: str, lower: Column) -> Column:
+    """Witten-Bell probability of a word seen n times in a context, that of the shorter context where the context is not known."""
+    n, total, kinds = F.col(n), F.col(total), F.col(kinds)
+    return F.when(total > 0, (n + kinds * lower) / (total + kinds)).otherwise(lower)
 
 
 def lm_scores(docs: DataFrame, size: int = FREQUENT) -> DataFrame:
@@ -235,67 +124,26 @@ def lm_scores(docs: DataFrame, size: int = FREQUENT) -> DataFrame:
 
     Null texts are empty and have one token, the end. Documents without id are training text. Repeated rows count as often as they
     are there and score alike. Without training text all counts are 0 and every token has probability 1. Other columns are not read.
+    The counts of `size` words are sent to all tasks; the number decides the work, not the result.
     """
-    spark = small_batches(docs).sparkSession
-    words = frequent_words(docs, size)
-    sent = spark.sparkContext.broadcast(words)
-    model, others = _counted(docs, sent)
-    # At most `size` single counts and 128^3 triples.
-    singles, triples = np.zeros(max(len(words), 1)), {}
-    for r in model.toLocalIterator():
-        if r["kind"] == 1:
-            singles[r["code"]] = r["n"]
-        else:
-            triples[r["code"]] = r["n"]
-    ends = sum(n for code, n in triples.items() if code % ALPHABET == _END)
-    per = pin(_per_text(others))
-    trained = others.where("kind = 2 AND train").agg(F.sum("n")).first()[0] or 0
-    distinct_others = per.agg(F.sum("firsts")).first()[0] or 0
-    total = int(singles.sum()) + trained + ends
-    kinds = int((singles > 0).sum()) + distinct_others + (1 if ends else 0)
+    small_batches(docs)
+    trigrams, bigrams, words = _tables(docs)
+    frequent = pin(_most(words, size))
+    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     norm = total + 0.5 * (kinds + 1)
 
-    # Unigrams of the symbols; the class has what its words and unknown words share.
-    unigram = np.zeros(ALPHABET)
-    head = min(_CLASS, len(words))
-    unigram[:head] = (singles[:head] + 0.5) / norm
-    unigram[_END] = (ends + 0.5) / norm
-    unigram[_CLASS] = max(1 - unigram.sum(), 0.5 / norm)
-    automaton = Automaton(triples, unigram)
-    class_log = float(np.log10(unigram[_CLASS]))
-    scorer = spark.sparkContext.broadcast((words, singles, ends, automaton.tables(), automaton.start))
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("key", pa.int64()), ("held_out", pa.bool_()),
-        ("n_tokens", pa.int64()), ("n_frequent", pa.int64()), ("frequent_log", pa.float64()), ("class_words", pa.int64()), ("class_log", pa.float64()), ("path", pa.float64()),
-    ])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, singles, ends, tables, start = scorer.value
-        rank = Ranks(words)
-        logs = np.log10(singles + 0.5)
-        for batch in batches:
-            rows = []
-            for doc_id, key, train, text in zip(*batch.columns):
-                r = rank(hashes(text.as_py()))
-                s = symbols(r)
-                hot = r[r >= 0]
-                known = hot[singles[hot] > 0]
-                rows.append((
-                    doc_id.as_py(), key.as_py(), not train.as_py(), len(s), len(known) + (ends > 0),
-                    float(logs[hot].sum()) + float(np.log10(ends + 0.5)), int((s == _CLASS).sum()), float(logs[hot[hot >= _CLASS]].sum()),
-                    traverse(s.tolist(), tables, start),
-                ))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(schema), schema)], schema=schema)
-
-    own = _keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "key", "train", "text").mapInArrow(
-        run, "doc_id bigint, key bigint, held_out boolean, n_tokens bigint, n_frequent bigint, frequent_log double, class_words bigint, class_log double, path double"
+    single = (F.col("w_n") + F.lit(0.5)) / F.lit(norm)
+    lower = _with_word(_with_word(bigrams, "w", words, frequent), "v", words, frequent)
+    lower = lower.select("v", "w", single.alias("single"), _backed("n", "v_n", "v_kinds", single).alias("lower"), (F.col("w_n") > 0).cast("long").alias("known"))
+    token = F.xxhash64("u", "v", "w").alias("token")
+    weights = trigrams.join(lower, ["v", "w"]).select(
+        token, F.log10(_backed("n", "total", "kinds", F.col("lower"))).alias("score"), F.log10("single").alias("base"), "known", (F.col("w") == END).cast("long").alias("end")
     )
-    log_norm = float(np.log10(norm))
-    other_log = F.col("log_sum") / F.col("copies")
-    base = F.col("frequent_log") + other_log - F.col("n_tokens") * F.lit(log_norm)
-    # A class arc leads to the class; the word's share of it is its own probability over that of the class.
-    in_class = F.col("class_log") + other_log - F.col("class_words") * F.lit(log_norm + class_log)
-    return own.join(per, "key").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_frequent") + F.expr("known div copies")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        base.alias("base_score"), (F.col("path") + in_class).alias("score"),
+    own = _grams(docs, True).select("key", token, "n").join(weights, "token")
+    # A text has one end, so the ends of a key are its repeated rows.
+    per = own.groupBy("key").agg(*[F.sum(F.col("n") * F.col(c)).alias(c) for c in ("score", "base", "known", "end")], F.sum("n").alias("tokens"))
+    ids = _keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "key", (~F.col("train")).alias("held_out"))
+    return ids.join(per, "key").select(
+        "doc_id", "held_out", F.expr("tokens div end").alias("n_tokens"), F.expr("known div end").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") / F.col("end")).alias("base_score"), (F.col("score") / F.col("end")).alias("score"),
     )

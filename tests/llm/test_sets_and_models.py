@@ -295,3 +295,21 @@ def test_lm_learns_order(spark):
     got = {r.doc_id: r for r in M.lm_scores(spark.createDataFrame(texts + ordered + mixed, "doc_id long, text string")).collect()}
     good, bad = sum(got[i].score for i, _ in ordered), sum(got[i].score for i, _ in mixed)
     assert good > sum(got[i].base_score for i, _ in ordered) + 200 and good > bad + 200
+
+
+def test_lm_learns_every_word(spark):
+    """Pairs of rare words beyond the most frequent ones have trigrams of their own, at every size of what is sent to tasks."""
+    rng = np.random.default_rng(6)
+    texts = [(i, " ".join(f"a{x} b{x} c{x}" for x in rng.permutation(300)[:40])) for i in range(200)]
+    probe = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5 == 1][:10]
+    ordered = [(i, " ".join(f"a{x} b{x} c{x}" for x in rng.permutation(300)[:20])) for i in probe[:5]]
+    mixed = [(i, " ".join(rng.permutation(t.split()).tolist()) + " unseen") for i, (_, t) in zip(probe[5:], ordered)]
+    texts += ordered + mixed
+    train = [spaced(t) + ["</s>"] for i, t in texts if zlib.crc32(str(i).encode()) % 5 != 1]
+    score = plain_model(train, {w for t in train for w in t[:-1]})
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    for size in (3, 65_536):
+        got = {r.doc_id: r for r in M.lm_scores(df, size).collect()}
+        assert len(got) == len(texts) and all(abs(got[i].score - score(spaced(t) + ["</s>"])) < 1e-6 for i, t in texts)
+    good, bad = sum(got[i].score for i, _ in ordered), sum(got[i].score for i, _ in mixed)
+    assert good > sum(got[i].base_score for i, _ in ordered) + 400 and good > bad + 400
