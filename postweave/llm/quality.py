@@ -1,10 +1,12 @@
 """Quality rules whose cutoffs are chosen under a bound on falsely rejected documents.
 
-A rule rejects a document whose feature lies above a cutoff. Labelled good documents are the holdout: for every stratum and
-rule the cutoffs of a fixed grid are tried from the mildest on, and the last one is taken whose exact (Clopper-Pearson) upper
-bound on the share of good documents rejected stays within the rule's share of the allowed risk. Testing in that fixed order
-needs no correction over the grid; rules and strata share the error level (Bonferroni). A stratum without enough labels gets
-no cutoff, and its documents are rejected by the base rules only.
+A rule rejects a document whose feature lies above a cutoff. Labelled documents are split by a hash of their id: one half fits,
+the other is the holdout. Words that mark toxic documents are learned from the fitting half. In every stratum the cutoffs of the
+other six rules form one sequence, those that reject the fewest good documents of the fitting half first, and the holdout tests
+it in that order: a step is taken as long as the exact (Clopper-Pearson) upper bound on the share of good documents that all steps
+so far reject together stays within the allowed risk. A fixed order needs no correction over its steps. The toxic-word rule has a
+sequence and half of risk and error level of its own; strata share the error level (Bonferroni). Strata whose labels could not
+pass a single step are tested together as one; a stratum without good labels is judged by the base rules only.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ GRIDS = {
     "word_length": [60.0, 40.0, 30.0, 25.0, 20.0, 17.5, 15.0, 12.5, 11.0, 10.0],
     "blocked_share": [0.1, 0.05, 0.02, 0.01, 0.005, 0.002, 0.0],
 }
+TOXIC = "blocked_share"
 WINDOW = 5
 FEATURES = pa.struct([(c, pa.int64()) for c in COUNTS] + [(s, pa.float64()) for s in SHARES])
 _MARKS = re.compile(r"[!?|*~^_=+<>]")
@@ -151,13 +154,18 @@ def _one_label(labels: DataFrame) -> DataFrame:
     )
 
 
+def _fitting(doc_id: Column) -> Column:
+    """Is the labelled document of the half that rules are fitted on, and not of the holdout?"""
+    return F.pmod(F.xxhash64(doc_id.cast("string")), F.lit(2)) == 0
+
+
 def blocked_words(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least: float = 0.5, error: float = 0.05, size: int = 1000) -> list[str]:
-    """Words that mark toxic documents, learned from at most `sample` labelled documents (those of least hash).
+    """Words that mark toxic documents, learned from at most `sample` labelled documents of the fitting half (those of least hash).
 
     A word is taken if the exact lower bound on the share of toxic documents among those holding it is over `least`, with the
     error level shared by all words tried; of these the `size` that most toxic documents hold.
     """
-    chosen = _one_label(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = _one_label(labels).where(_fitting(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     words = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         .select("toxic", F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " "), " "))).alias("word"))
@@ -172,32 +180,65 @@ def blocked_words(docs: DataFrame, labels: DataFrame, sample: int = 20_000, leas
     return sorted(r["word"] for r in rows if 1 - upper_bound(r["n"] - r["k"], r["n"], level) > least)
 
 
+def _passed(steps: int, rejected: dict[int, int], n: int, level: float, allowed: float) -> int:
+    """How many steps pass in order; rejected: documents by the step that rejects them first."""
+    k, known = 0, None
+    for step in range(steps):
+        more = rejected.get(step, 0)
+        if more or known is None:
+            k, known = k + more, upper_bound(k + more, n, level)
+        if known > allowed:
+            return step
+    return steps
+
+
 def calibrate(measured: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.05) -> DataFrame:
     """One row per stratum with a cutoff for each rule (infinite where none is safe).
 
     Of good documents of a stratum, all rules together reject at most a share of `risk`; the chance that this fails anywhere is
-    at most `error`. measured: doc_id, stratum and the shares. Labels of unknown documents and null labels count for nothing.
+    at most `error`. Strata of few labels are one stratum here. measured: doc_id, stratum and the shares. Labels of unknown
+    documents and null labels count for nothing.
     """
-    good = _one_label(labels).where("good").select("doc_id")
+    good = _one_label(labels).where("good").select("doc_id", _fitting(F.col("doc_id")).alias("fitting"))
+    labelled = pin(measured.select("doc_id", "stratum", *SHARES).join(good, "doc_id"))
     tried = [
-        F.sum((F.col(s) > c).cast("long")).alias(f"{s}_{i}") for s in SHARES for i, c in enumerate(GRIDS[s])
+        F.sum((F.col("fitting") & (F.col(s) > c)).cast("long")).alias(f"{s}_{i}") for s in SHARES for i, c in enumerate(GRIDS[s])
     ]
-    counted = measured.select("doc_id", "stratum", *SHARES).join(good, "doc_id").groupBy("stratum").agg(F.count("*").alias("n"), *tried)
     # At most 677 rows.
-    rows = counted.collect()
-    level = error / max(len(rows) * len(SHARES), 1)
-    allowed = risk / len(SHARES)
-    out = []
+    rows = labelled.groupBy("stratum").agg(F.sum((~F.col("fitting")).cast("long")).alias("n"), *tried).collect()
+    level, allowed = error / 2 / max(len(rows), 1), risk / 2
+    enough = math.log(level) / math.log1p(-allowed)
+    # Which strata are pooled depends on their numbers of labels alone.
+    pools: dict[str | None, list] = {}
     for r in rows:
-        cuts = []
-        for s in SHARES:
-            cut = math.inf
-            for i, c in enumerate(GRIDS[s]):
-                if upper_bound(r[f"{s}_{i}"], r["n"], level) > allowed:
-                    break
-                cut = c
-            cuts.append(cut)
-        out.append((r["stratum"], *cuts))
+        pools.setdefault(r["stratum"] if r["n"] >= enough else None, []).append(r)
+    paths, places = {}, []
+    for pool, members in pools.items():
+        cost = {(s, i): sum(r[f"{s}_{i}"] for r in members) for s in SHARES for i in range(len(GRIDS[s]))}
+        paths[pool] = sorted((x for x in cost if x[0] != TOXIC), key=lambda x: (cost[x], x[1], SHARES.index(x[0])))
+        place = {x: k for k, x in enumerate(paths[pool])} | {(TOXIC, i): i for i in range(len(GRIDS[TOXIC]))}
+        # Place of the first step of a rule that rejects a document by how many cutoffs of the rule it stays under.
+        of = [[place.get((s, i), len(cost)) for i in range(len(GRIDS[s]) + 1)] for s in SHARES]
+        places += [(r["stratum"], *of) for r in members]
+    out = []
+    if places:
+        ddl = "stratum string, " + ", ".join(f"at_{s} array<int>" for s in SHARES)
+        sent = F.broadcast(measured.sparkSession.createDataFrame(places, ddl))
+        first = {s: F.element_at(f"at_{s}", sum((F.col(s) <= c).cast("int") for c in GRIDS[s]) + F.lit(1)) for s in SHARES}
+        held = labelled.where(~F.col("fitting")).join(sent, "stratum").select("stratum", F.least(*[first[s] for s in SHARES if s != TOXIC]).alias("others"), first[TOXIC].alias("toxic"))
+        # At most 64 x 8 rows per stratum.
+        counts = held.groupBy("stratum", "others", "toxic").count().collect()
+        for pool, members in pools.items():
+            names, n = {r["stratum"] for r in members}, sum(r["n"] for r in members)
+            cuts = dict.fromkeys(SHARES, math.inf)
+            for rule, path in (("others", paths[pool]), ("toxic", [(TOXIC, i) for i in range(len(GRIDS[TOXIC]))])):
+                rejected: dict[int, int] = {}
+                for r in counts:
+                    if r["stratum"] in names:
+                        rejected[r[rule]] = rejected.get(r[rule], 0) + r["count"]
+                for s, i in path[: _passed(len(path), rejected, n, level, allowed)]:
+                    cuts[s] = GRIDS[s][i]
+            out += [(name, *cuts.values()) for name in sorted(names)]
     schema = "stratum string, " + ", ".join(f"max_{s} double" for s in SHARES)
     return measured.sparkSession.createDataFrame(pd.DataFrame(out, columns=["stratum", *(f"max_{s}" for s in SHARES)]) if out else [], schema)
 

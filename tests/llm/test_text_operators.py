@@ -249,3 +249,18 @@ def test_cutoffs_respect_the_risk_and_reject_bad_documents(spark):
     # With a handful of labels nothing can be promised, so nothing is rejected beyond the base rules.
     few = {r.doc_id: r.kept for r in Q.quality_rules(docs, labels.limit(50)).collect()}
     assert all(few.values())
+
+
+def test_few_labels_suffice_and_small_strata_are_pooled(spark):
+    """1,600 good labels of one language and 1,400 over seven small ones: bad and toxic documents go in all of them."""
+    good = [(i, " ".join(f"word{i}x{j}" for j in range(30)), "en" if i < 1600 else "l" + "abcdefg"[i % 7]) for i in range(3000)]
+    bad = [(10_000 + i, " ".join(f"b{i}x{j}###" for j in range(30)), t[2]) for i, t in enumerate(good[1500:1700])]
+    toxic = [(20_000 + i, " ".join(f"word{i}y{j}" for j in range(29)) + " nasty", t[2]) for i, t in enumerate(good[1400:1800])]
+    docs = spark.createDataFrame(good + bad + toxic, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(t[0], 1, 0) for t in good] + [(t[0], 0, 1) for t in toxic[::2]], "doc_id long, quality int, toxic int")
+    assert Q.blocked_words(docs, labels) == ["nasty"]
+    got = {r.doc_id: r.kept for r in Q.quality_rules(docs, labels).collect()}
+    assert not any(got[t[0]] for t in bad + toxic) and sum(not got[t[0]] for t in good) <= 0.02 * 3000
+    # Labels that words are learned from are no holdout: without them no cutoff is found.
+    fitting = labels.where(Q._fitting(F.col("doc_id")))
+    assert Q.blocked_words(docs, fitting) == ["nasty"] and all(r.kept for r in Q.quality_rules(docs, fitting).collect())
