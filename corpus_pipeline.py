@@ -14,8 +14,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones."""
-    return jaccard.keep_one(docs)
+    """One document of each group of similar ones: four fifths of the five-word shingles in common."""
+    return jaccard.keep_one(docs, n=5, num=80, den=100)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

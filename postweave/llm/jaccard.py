@@ -117,7 +117,7 @@ def _prefix(size, num: int = NUM, den: int = DEN):
     return size - -(-num * size // den) + 1
 
 
-def _entries(docs: DataFrame, sketch, n: int, salt: int) -> DataFrame:
+def _entries(docs: DataFrame, sketch, n: int, salt: int, num: int, den: int) -> DataFrame:
     """(token, node, size, place) for every prefix shingle of every document that has one."""
     schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("place", pa.int32())])
 
@@ -132,7 +132,7 @@ def _entries(docs: DataFrame, sketch, n: int, salt: int) -> DataFrame:
                 if node is None or node in done:
                     continue
                 done.add(node)
-                k = _prefix(len(own))
+                k = _prefix(len(own), num, den)
                 seen = counts[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 # Rarest first; own is sorted, so equal counts are in the order of their hashes.
                 first = np.argsort(seen, kind="stable")[:k]
@@ -167,22 +167,22 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int, salt: int, most: int = 500
     return texts.mapInArrow(run, "node bigint, size int, own binary").dropDuplicates(["node"])
 
 
-def _need(a: Column, b: Column) -> Column:
+def _need(a: Column, b: Column, num: int = NUM, den: int = DEN) -> Column:
     """Least intersection of two similar sets of these sizes."""
-    return F.ceil(F.lit(NUM) * (a + b) / F.lit(NUM + DEN)).cast("int")
+    return F.ceil(F.lit(num) * (a + b) / F.lit(num + den)).cast("int")
 
 
-def _may_be_similar(a: str, b: str) -> Column:
+def _may_be_similar(a: str, b: str, num: int = NUM, den: int = DEN) -> Column:
     """Length and suffix filter of two sides with prefixes a and b.
 
     An element of only one set turns one class from even to odd or back, so classes that differ are at most as many as such elements.
     """
     size, other = F.col(f"{a}size"), F.col(f"{b}size")
-    lengths = DEN * F.least(size, other) >= NUM * F.greatest(size, other)
+    lengths = den * F.least(size, other) >= num * F.greatest(size, other)
     apart = F.lit(0)
     for o in _ODD:
         apart = apart + F.bit_count(F.col(f"{a}{o}").bitwiseXOR(F.col(f"{b}{o}")))
-    return lengths & (apart <= size + other - 2 * _need(size, other))
+    return lengths & (apart <= size + other - 2 * _need(size, other, num, den))
 
 
 def _fine_apart(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -199,11 +199,11 @@ def _side(df: DataFrame, x: str) -> DataFrame:
     return df.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in df.columns])
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, salt: int) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, salt: int, num: int, den: int) -> DataFrame:
     """Those of the distinct pairs (a, b) that are similar: filtered by fine ranges, then by the whole sets, once each."""
     fine = nodes.select("node", "size", "fine")
     apart = F.arrow_udf(_fine_apart, T.IntegerType())
-    allowed = F.col("a_size") + F.col("b_size") - 2 * _need(F.col("a_size"), F.col("b_size"))
+    allowed = F.col("a_size") + F.col("b_size") - 2 * _need(F.col("a_size"), F.col("b_size"), num, den)
     likely = pairs.join(_side(fine, "a"), "a").join(_side(fine, "b"), "b").where(apart("a_fine", "b_fine") <= allowed).select("a", "b")
     likely = pin(likely)
     if likely.isEmpty():
@@ -211,16 +211,17 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, salt:
     ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     sets = stored(_sets(docs, nodes.join(ends, "node").select("node", "w_doc_id", "w_tkey"), n, salt), "jaccard-sets")
     both = likely.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").withColumn("common", F.arrow_udf(_common, T.IntegerType())("a_own", "b_own"))
-    return both.where(DEN * F.col("common") >= NUM * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b")
+    return both.where(den * F.col("common") >= num * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b")
 
 
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
+def jaccard_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> DataFrame:
     """One row per row of docs: doc_id, tkey, n_shingles, node, component_id.
 
+    Links are similarities of num/den and more over the sets of n-word shingles.
     component_id is the smallest doc_id that links reach. Null or wordless texts have no shingles and stand alone. Repeated rows
     and rows with equal sets share a component. A null doc_id takes part in links; a component of nothing else has a null id, as
     has a lone document without id. An empty table gives no rows. Other columns are not read.
@@ -236,7 +237,7 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
             break
         salt += 1
     sketch = docs.sparkSession.sparkContext.broadcast(_sketch(measured))
-    entries = _entries(docs, sketch, n, salt)
+    entries = _entries(docs, sketch, n, salt, num, den)
     met = entries.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last").select("token", "pivot")
     # Copies within a task are already one; those of several tasks are dealt with where the rows are few.
     shared = stored(entries.join(met, "token"), "jaccard-shared")
@@ -247,8 +248,8 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
     coarse = nodes.select("node", "size", *_ODD)
 
     first = shared.where("node <> pivot").select(*_pair("node", "pivot")).distinct()
-    first = first.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_")).select("a", "b")
-    near = pin(_verified(first, nodes, docs, n, salt))
+    first = first.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_", num, den)).select("a", "b")
+    near = pin(_verified(first, nodes, docs, n, salt, num, den))
     group = pin(components(near))
 
     # What shares a shingle with another component than its own.
@@ -259,14 +260,14 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
     x, y = (rest.select("token", *[F.col(c).alias(f"{s}_{c}") for c in fields]) for s in "xy")
     size, other = F.col("x_size"), F.col("y_size")
     # The smaller set, or of equal ones the one of smaller number, is looked up by a shorter prefix.
-    index = other - F.ceil(F.lit(2 * NUM) * other / F.lit(NUM + DEN)).cast("int") + 1
-    can_reach = 1 + F.least(size - F.col("x_place") - 1, other - F.col("y_place") - 1) >= _need(size, other)
+    index = other - F.ceil(F.lit(2 * num) * other / F.lit(num + den)).cast("int") + 1
+    can_reach = 1 + F.least(size - F.col("x_place") - 1, other - F.col("y_place") - 1) >= _need(size, other, num, den)
     ordered = (other < size) | ((other == size) & (F.col("y_node") < F.col("x_node")))
     second = x.join(
         y.where(F.col("y_place") < index),
-        (x["token"] == y["token"]) & ordered & (F.col("x_component") != F.col("y_component")) & can_reach & _may_be_similar("x_", "y_"),
+        (x["token"] == y["token"]) & ordered & (F.col("x_component") != F.col("y_component")) & can_reach & _may_be_similar("x_", "y_", num, den),
     ).select(*_pair("x_node", "y_node")).distinct()
-    links = near.union(_verified(second, nodes, docs, n, salt))
+    links = near.union(_verified(second, nodes, docs, n, salt, num, den))
     of = components(pin(links))
 
     named = per.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -278,12 +279,12 @@ def jaccard_groups(docs: DataFrame, n: int = N) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, n: int = N, most: int = 500_000) -> DataFrame:
+def keep_one(docs: DataFrame, n: int = N, most: int = 500_000, num: int = NUM, den: int = DEN) -> DataFrame:
     """One document of each group, the one of smallest doc_id; all columns as they are. Wordless documents all stay.
 
     The dropped rows are told by doc_id and text; up to `most` of them are sent to all tasks, more are joined by shuffles.
     """
-    rows = pin(jaccard_groups(docs, n))
+    rows = pin(jaccard_groups(docs, n, num, den))
     member = rows.where("component IS NOT NULL")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("tkey").alias("t"))
     best = member.groupBy("component").agg(F.min(place).alias("best"))

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline as P
-from postweave.llm import mixing, tokens
+from postweave.llm import jaccard, mixing, tokens
 from tests.llm.fixtures import DOCS, awkward, clashing, spaced
 from tests.llm.test_sets_and_models import near_copies, plain_groups
 from tests.llm.test_text_operators import plain_counts, plain_hits
@@ -49,6 +49,16 @@ def test_stages_against_plain_versions(spark, folder):
     assert Counter((r.doc_id, r.n_tokens) for r in shards.collect()) == Counter((r.doc_id, len(encode(r.text)) + 1) for r in mix.collect())
 
 
+def test_near_copies_share_four_fifths_of_five_word_shingles(spark):
+    """Two separate words changed: 86 of 106 five-word shingles in common (a copy), 92 of 104 of three words. Three changed and two more: 81 of 113."""
+    words = [f"w{k}" for k in range(100)]
+    changed = lambda *at: " ".join("x" if k in at else w for k, w in enumerate(words))
+    texts = [(1, changed()), (2, changed(30, 60)), (3, changed(20, 50, 80) + " y z")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts], DOCS)
+    assert {r.doc_id for r in P.near_copies(spark, docs, "").collect()} == {1, 3}
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_groups(docs).collect()} == {1: 1, 2: 2, 3: 3}
+
+
 def test_run_is_the_stages_in_order(spark, folder):
     root, _ = folder
     docs = spark.read.parquet(f"{root}/documents.parquet")
