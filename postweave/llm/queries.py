@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postweave.llm import decontaminate, jaccard, licenses, linechunks, lm, mixing, pii, quality, tokens, webtext
+from postweave.llm import decontaminate, jaccard, lexical, licenses, linechunks, lm, mixing, negatives, pii, quality, tokens, webtext
 from postweave.llm.common import new_folder, table
 
 
@@ -54,6 +54,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_source_mixing": op2_source_mixing,
@@ -65,6 +73,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_shards": op8_token_shards,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ranked_search": op11_ranked_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -132,5 +142,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(joined, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
+""",
+    "op11_ranked_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("text")}, {_ALNUM}) AS w FROM documents),
+dn AS (SELECT *, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS length FROM dn),
+it AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, {_ALNUM})) AS t FROM benchmark WHERE item_id IS NOT NULL),
+tf AS (SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS t FROM dn) WHERE t IN (SELECT t FROM it) GROUP BY 1, 2),
+wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, s GROUP BY t, docs),
+sc AS (SELECT item_id, doc_id, r, CAST(sum(wt.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length)))) AS BIGINT) AS score
+  FROM tf JOIN wt USING (t) JOIN it USING (t) JOIN dn USING (r), s GROUP BY 1, 2, 3)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM sc WHERE score > 0 QUALIFY rank <= 50
+""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT row_number() OVER () AS k, * FROM (SELECT DISTINCT vec_id, label, q FROM v WHERE vec_id % 100 = 0)),
+s AS (SELECT k, a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id, CAST(list_dot_product(a.q, v.q) AS BIGINT) AS score FROM a, v),
+p AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) AS place FROM s WHERE same AND vec_id IS DISTINCT FROM anchor_id QUALIFY place <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY k, place ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s USING (k) WHERE NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score QUALIFY rank <= 5
 """,
 }
