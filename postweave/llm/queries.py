@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postweave.llm import decontaminate, jaccard, lexical, licenses, linechunks, lm, mixing, negatives, pii, quality, tokens, webtext
+from postweave.llm import decontaminate, jaccard, lexical, licenses, linechunks, lm, mixing, negatives, pii, quality, tokens, toxicity, webtext
 from postweave.llm.common import new_folder, table
 
 
@@ -58,6 +58,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
     "op11_ranked_search": op11_ranked_search,
+    "op12_toxicity": op12_toxicity,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
