@@ -518,6 +518,10 @@ ORACLES["update_status"] = ctes(jobs=JOBS) + (
 ORACLES["current_jobs"] = ctes(**_CURRENT) + f"SELECT {_JOB_ROW} FROM now"
 ORACLES["pending_jobs"] = ctes(**_CURRENT) + f"SELECT {_JOB_ROW} FROM now WHERE status = 'parsed' ORDER BY parsed_at, id LIMIT 50"
 ORACLES["get_by_id"] = ctes(**_CURRENT) + f"SELECT {_JOB_ROW} FROM now WHERE id = '7'"
+ORACLES["status_from_index"] = ORACLES["current_jobs"]
+ORACLES["pending_from_index"] = ORACLES["pending_jobs"]
+ORACLES["job_from_index"] = ORACLES["get_by_id"]
+ORACLES["jobs_from_index"] = ctes(**_CURRENT) + f"SELECT {_JOB_ROW} FROM now WHERE id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)"
 ORACLES["store_stats"] = ctes(**_CURRENT, postings=POSTINGS) + (
     "SELECT 'total' AS section, 'raw' AS name, CAST(count(*) AS DOUBLE) AS value FROM postings UNION ALL "
     "SELECT 'total', 'parsed', count(*) FROM now UNION ALL "

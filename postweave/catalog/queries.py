@@ -490,6 +490,41 @@ def store_stats(spark, sf_dir):
     return T.stats(I.postings(spark, sf_dir), _current(spark, sf_dir))
 
 
+def _indexed(spark, sf_dir) -> T.JobTables:
+    """The jobs as twelve runs and their events as three; most of them are in levels of the index, the last ones are its tail."""
+    store = T.JobTables(_new_dir(spark))
+    jobs, log = _stored(I.jobs(spark, sf_dir)), _stored(I.status_log(spark, sf_dir))
+    for i in range(12):
+        store.save_parsed(jobs.filter(F.pmod(F.xxhash64("id"), F.lit(12)) == i), f"run-{i}")
+        if i in (3, 6, 9):
+            store.log_status(log.filter(F.pmod("event_seq", F.lit(3)) == i // 3 - 1), f"events-{i}")
+        if i in (4, 5, 8):
+            store.index.compact(spark, ratio=2, file_rows=1_000)
+    return store
+
+
+@query
+def job_from_index(spark, sf_dir):
+    return _job_row(_indexed(spark, sf_dir).job(spark, "7"))
+
+
+@query
+def jobs_from_index(spark, sf_dir):
+    ids = I.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("job_id"))
+    return _job_row(_indexed(spark, sf_dir).jobs_of(spark, ids))
+
+
+@query
+def pending_from_index(spark, sf_dir):
+    return _job_row(_indexed(spark, sf_dir).pending(spark))
+
+
+@query
+def status_from_index(spark, sf_dir):
+    store = _indexed(spark, sf_dir)
+    return _job_row(T.current_jobs(store.parsed(spark), store.last_events(spark)))
+
+
 @query
 def with_source(spark, sf_dir):
     raw = I.postings(spark, sf_dir).withColumn("id", F.concat(F.lit("r"), "id"))

@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postweave import schemas as S
+from postweave.operators.jobindex import JobIndex, folders
 from postweave.session import pin
 
 
@@ -26,17 +27,18 @@ class JobTables:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def _save(self, df: DataFrame, name: str, run_id: str, by: tuple[str, ...] = ()) -> None:
-        df.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path(name)}/run_id={run_id}")
+    def _save(self, df: DataFrame, name: str, run_id: str, by: tuple[str, ...] = (), bloom: tuple[str, ...] = ()) -> None:
+        writer = df.write.mode("overwrite").partitionBy(*by).options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom})
+        writer.parquet(f"{self.path(name)}/run_id={run_id}")
 
     def save_raw(self, raw: DataFrame, run_id: str) -> None:
         self._save(raw.select(*(f.name for f in S.RAW), _saved_at()), "raw_jobs", run_id, ("source",))
 
     def save_parsed(self, parsed: DataFrame, run_id: str) -> None:
-        """Rows in the order of their ids, so that a look-up reads few row groups; with what the parser tells of its calls."""
+        """Rows in the order of their ids, with Bloom filters, so that a look-up reads one row group; with what the parser tells of its calls."""
         told = [F.col(f.name) if f.name in parsed.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in _CALL_ONLY]
         rows = parsed.select(*(f.name for f in S.PARSED), *told, _saved_at())
-        self._save(rows.sortWithinPartitions("id"), "parsed_jobs", run_id)
+        self._save(rows.sortWithinPartitions("id"), "parsed_jobs", run_id, bloom=("id",))
 
     def save_fetches(self, fetches: DataFrame, run_id: str) -> None:
         self._save(fetches.select(*(f.name for f in S.FETCH)), "fetches", run_id)
@@ -120,10 +122,36 @@ class JobTables:
     def parsed(self, spark: SparkSession) -> DataFrame:
         return latest_by_id(self._read(spark, "parsed_jobs", _versioned(S.PARSED))).drop("saved_at")
 
-    def compact_log(self, spark: SparkSession, run_id: str) -> None:
-        """Writes the last event of every job to a new log beside the old one; the caller then reads that store's log instead."""
-        last = pin(latest_events(self.status_log(spark)))
-        self._save(last.select(*(f.name for f in S.STATUS_EVENT)), "status_log_compact", run_id)
+    @property
+    def index(self) -> JobIndex:
+        """Statuses and places of the stored rows, in levels; what is not yet in a level is read from its runs."""
+        return JobIndex(self.root, _versioned(S.PARSED), S.STATUS_EVENT)
+
+    def compact_log(self, spark: SparkSession) -> int:
+        """Takes the runs saved since the last time into the levels of the index; the version that readers see from now on."""
+        return self.index.compact(spark)
+
+    def last_events(self, spark: SparkSession) -> DataFrame:
+        """The last event of every job, without reading runs that a level of the index holds."""
+        return self.index.last_events(spark)
+
+    def job(self, spark: SparkSession, job_id: str) -> DataFrame:
+        """The current row of one job, or none: the index tells the file, statistics and Bloom filters the row group."""
+        return self.index.rows_of(self.index.find(spark, [job_id]))
+
+    def jobs_of(self, spark: SparkSession, ids: DataFrame) -> DataFrame:
+        """Current rows of the jobs in ids (job_id)."""
+        return self.index.rows_of(self.index.find_all(spark, ids))
+
+    def pending(self, spark: SparkSession, limit: int | None = 50) -> DataFrame:
+        """Current rows of the oldest jobs in status parsed, or of all: found in the index, then read where they lie."""
+        waiting = self.index.with_status(spark, "parsed")
+        if limit is not None:
+            waiting = waiting.orderBy("parsed_at", "job_id").limit(limit)
+        return self.jobs_of(spark, waiting.select("job_id"))
+
+    def has_run(self, spark: SparkSession, name: str, run_id: str) -> bool:
+        return f"run_id={run_id}" in folders(spark, self.path(name))
 
     def status_log(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "status_log", S.STATUS_EVENT)

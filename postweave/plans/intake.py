@@ -21,7 +21,7 @@ from postweave.operators import deliver as D
 from postweave.operators import metrics as M
 from postweave.operators import parse as P
 from postweave.operators import review as V
-from postweave.operators.tables import JobTables, current_jobs, latest_events
+from postweave.operators.tables import JobTables, latest_events
 from postweave.operators.validate import validate, with_outcome
 from postweave.session import pin
 from postweave.sources import grid as G
@@ -66,6 +66,8 @@ class Intake:
         whose status is already sent are not sent again.
         """
         spark = raw.sparkSession
+        # Events can only name ids of this run if the run was here before.
+        again = self.tables.has_run(spark, "parsed_jobs", run_id)
         named = raw.withColumn("id", stable_uuid(F.lit(run_id), F.col("source"), F.col("seq").cast("string")))
         self.tables.save_raw(named, run_id)
         saved = self.of_run(self.tables.raw_rows(spark), run_id).drop("run_id")
@@ -76,12 +78,12 @@ class Intake:
         parsed = self.of_run(self.tables.parsed_rows(spark), run_id)
         if self.review_gate:
             return parsed, None
-        log = self.tables.status_log(spark)
-        done = pin(
-            latest_events(log.filter(F.col("run_id") != run_id)).filter("status = 'sent'").select("job_id")
-            .join(parsed.select(F.col("id").alias("job_id")), "job_id", "left_semi")
-        )
-        left = parsed.join(done, F.col("id") == F.col("job_id"), "left_anti")
+        left = parsed
+        if again:
+            ids = parsed.select(F.col("id").alias("job_id"))
+            told = self.tables.status_log(spark).filter(F.col("run_id") != run_id).join(ids, "job_id", "left_semi")
+            done = pin(latest_events(told).filter("status = 'sent'").select("job_id"))
+            left = parsed.join(done, F.col("id") == F.col("job_id"), "left_anti")
         sent = self.send(D.to_payload(left), run_id)
         self.tables.log_status(D.delivery_status(sent, note), run_id)
         return parsed, sent
@@ -116,14 +118,10 @@ class Request:
             said("employment_type", "contract_type").alias("employment_type"), said("category").alias("category"),
             is_remote(F.col("raw_text")).alias("is_remote"),
         )
-        pick = lambda keep, column: keep(rows.filter(F.col(column).isNotNull())).unionByName(rows.filter(F.col(column).isNull()))
         if self.date_posted and self.date_posted != "any":
-            now = F.lit(asof) if asof else F.current_timestamp()
-            rows = pick(lambda r: G.recency_filter(r, self.date_posted, now), "posted_at")
-        if self.employment_types:
-            rows = pick(lambda r: G.employment_type_filter(r, self.employment_types), "employment_type")
-        if self.category:
-            rows = pick(lambda r: G.category_filter(r, self.category), "category")
+            rows = G.recency_filter(rows, self.date_posted, F.lit(asof) if asof else F.current_timestamp(), unsaid=True)
+        rows = G.employment_type_filter(rows, self.employment_types, unsaid=True)
+        rows = G.category_filter(rows, self.category, unsaid=True)
         return G.remote_only_filter(rows, self.remote_only).select("row.*")
 
 
@@ -251,9 +249,11 @@ def review(intake: Intake, spark: SparkSession, action: str, reviewer: str, **op
     Results and events are fixed before the log changes, because both are read from it.
     """
     run_id = f"review-{uuid.uuid4()}"
-    jobs = current_jobs(intake.tables.parsed(spark), intake.tables.status_log(spark)).drop("run_id")
+    ids = options.get("ids")
+    # The index tells which rows are read: those of the ids, or of the queue.
+    jobs = intake.tables.jobs_of(spark, ids) if ids is not None else intake.tables.pending(spark, options.get("limit"))
     options = {"send": intake.send, "run_id": run_id, **options} if action == "approve" else options
-    # The queue is fixed first: it is read again after sending, when the log may have grown.
+    # The rows are fixed first: they are used again after sending, when the log may have grown.
     done = V.bulk_action(action, pin(jobs), reviewer, **options)
     answer, events = pin(done.results), pin(done.events)
     intake.tables.log_status(events, run_id)

@@ -60,20 +60,25 @@ def fetch_grid(requests: DataFrame) -> DataFrame:
     )
 
 
-def recency_filter(rows: DataFrame, date_posted: str, asof: Column, posted: str = "posted_at") -> DataFrame:
+def _keep(rows: DataFrame, test: Column, column: str, unsaid: bool) -> DataFrame:
+    """Rows that pass the test; with unsaid also those that do not say what it is about. One filter, so one scan."""
+    return rows.filter(F.col(column).isNull() | test if unsaid else test)
+
+
+def recency_filter(rows: DataFrame, date_posted: str, asof: Column, posted: str = "posted_at", unsaid: bool = False) -> DataFrame:
     days = RECENCY_DAYS.get(date_posted, DEFAULT_DAYS)
-    return rows.filter(F.col(posted) >= asof - F.make_dt_interval(F.lit(days)))
+    return _keep(rows, F.col(posted) >= asof - F.make_dt_interval(F.lit(days)), posted, unsaid)
 
 
 def remote_only_filter(rows: DataFrame, wanted: bool = True, flag: str = "is_remote") -> DataFrame:
     return rows.filter(F.col(flag)) if wanted else rows
 
 
-def employment_type_filter(rows: DataFrame, wanted: str, column: str = "employment_type") -> DataFrame:
+def employment_type_filter(rows: DataFrame, wanted: str, column: str = "employment_type", unsaid: bool = False) -> DataFrame:
     """wanted: comma-separated list such as FULLTIME,CONTRACTOR; empty for all."""
     kinds = [w.strip() for w in wanted.split(",") if w.strip()]
-    return rows.filter(F.col(column).isin(*kinds)) if kinds else rows
+    return _keep(rows, F.col(column).isin(*kinds), column, unsaid) if kinds else rows
 
 
-def category_filter(rows: DataFrame, slug: str | None, column: str = "category") -> DataFrame:
-    return rows.filter(F.col(column) == slug) if slug else rows
+def category_filter(rows: DataFrame, slug: str | None, column: str = "category", unsaid: bool = False) -> DataFrame:
+    return _keep(rows, F.col(column) == slug, column, unsaid) if slug else rows
