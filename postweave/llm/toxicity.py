@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postweave.llm.common import small_batches, stored
+from postweave.session import pin
 
 # What digits and signs can stand for.
 LOOKALIKES = {
@@ -39,6 +40,8 @@ CANDIDATES = 100_000
 # Labelled texts of either kind that the regression is fitted on.
 SAMPLE = 3_000
 THRESHOLD = 0.7
+# A missed toxic text weighs as much as so many false alarms.
+COST = 3
 _EDGE = ".,;:!?\"'()[]{}»«„“”…"
 _APART = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
 _ODD = re.compile(r"[^a-zª-￿\U00010000-\U0010ffff]|([a-z])\1\1")
@@ -295,21 +298,21 @@ def fitted(places: list[list[int]], toxic: np.ndarray, weights: np.ndarray, feat
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """toxic and text of the training rows that have a label; several labels of an id are one, toxic if any of them is."""
+    """doc_id, toxic of the training ids that docs holds; several labels of an id are one, toxic if any of them is."""
     one = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     one = one.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(one, "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    return one.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> dict:
     """Character model (of all texts), the n-grams that tell toxic texts, sorted, their weights, and the intercept.
 
-    Features and weights come from `sample` labelled training texts of either kind at most, those of least hash; the intercept from the
-    numbers of all of them. Without texts of both kinds the intercept alone is the model.
+    Features and weights come from `sample` labelled training texts of either kind at most, those whose ids have the least hash; they
+    stand for the numbers of all labelled ones. Without texts of both kinds the intercept alone is the model.
     """
     spark = docs.sparkSession
     model = letter_model(letter_counts(docs))
-    rows = _labelled(docs, labels)
+    rows = pin(_labelled(docs, labels))
     found = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     most = [found.get(k, 0) for k in (0, 1)]
     prior = float(np.log((most[1] + 0.5) / (most[0] + 0.5)))
@@ -317,9 +320,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     if not all(most):
         return bare
     sent = spark.sparkContext.broadcast(model)
-    of_kind = [rows.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample) for k in (0, 1)]
-    # As many parts as have some work each; a limit leaves one.
-    chosen = of_kind[0].unionByName(of_kind[1]).repartition(1 + (sum(min(m, sample) for m in most)) // 250)
+    of_kind = [rows.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
+    # Only ids and labels are sent, 2 x sample at most, and only the texts of these ids are shuffled; of several texts of an id one counts.
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    chosen = own.join(F.broadcast(of_kind[0].unionByName(of_kind[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    # As many parts as have some work each.
+    chosen = chosen.repartition(1 + sum(min(m, sample) for m in most) // 250)
     texts = stored(chosen.select("toxic", _restored(sent)(F.col("text")).alias("restored")), "toxic-sample")
     n0, n1 = (min(m, sample) for m in most)
     # Two texts at least hold what is a sign of anything.
@@ -342,7 +348,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     # At most 2 x sample rows of at most `features` places.
     hits = _places(texts, kept).collect()
     toxic = np.array([r["toxic"] for r in hits], np.float32)
-    scale = np.where(toxic == 1, most[1] / n1, most[0] / n0)
+    scale = np.where(toxic == 1, COST * most[1] / n1, most[0] / n0)
     w = fitted([r["places"] for r in hits], toxic, scale, len(kept))
     sent.destroy()
     return {"model": model, "kept": kept, "weights": w[:-1].astype(float), "intercept": float(w[-1])}
