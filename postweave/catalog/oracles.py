@@ -621,6 +621,16 @@ ORACLES["latency_percentiles"] = ctes(
     ranks="SELECT run_id, latency, row_number() OVER (PARTITION BY run_id ORDER BY latency) - 1 AS i, count(*) OVER (PARTITION BY run_id) AS n "
           "FROM records WHERE latency IS NOT NULL",
 ) + "SELECT run_id, " + ", ".join(f"round({ranked(p)}, 4) AS p{p}" for p in M.PERCENTILES) + " FROM ranks GROUP BY 1"
+ORACLES["run_latency"] = ORACLES["latency_percentiles"]
+ORACLES["lifetime_latency"] = ctes(records=RECORDS) + (
+    "SELECT count(latency) AS seen, count(latency) AS latencies, true AS p50_close, true AS p95_close, true AS p99_close FROM records"
+)
+ORACLES["latency_by_window"] = ctes(
+    **_SUMMARY, many="SELECT run_id, count(latency) AS latencies FROM records GROUP BY 1",
+) + (
+    "SELECT strftime(date_trunc('day', finished_at), '%Y-%m-%d') AS day, count(*) AS runs, CAST(sum(latencies) AS BIGINT) AS latencies, true AS rising "
+    "FROM runs JOIN many USING (run_id) WHERE finished_at IS NOT NULL GROUP BY 1"
+)
 ORACLES["lifetime_totals"] = ctes(**_SUMMARY) + (
     "SELECT count(*) AS total_runs, " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS total_{c}" for c in ("fetched", "parsed", "errors")) + " FROM timed"
 )

@@ -18,6 +18,7 @@ from postweave.functions.jsonval import text_or_null
 from postweave.functions.text import or_null, stable_uuid
 from postweave.operators import dedup as U
 from postweave.operators import deliver as D
+from postweave.operators import latency as L
 from postweave.operators import metrics as M
 from postweave.operators import parse as P
 from postweave.operators import review as V
@@ -185,16 +186,17 @@ def run_bulk(
         target, by_fingerprint = request.target, request.by_fingerprint
         sources = {n: (lambda read=read: request.wanted(read())) for n, read in sources.items() if n in request.sources}
 
-    def close(records: DataFrame | None, finished: datetime | None, error: str | None) -> DataFrame:
+    def close(records: DataFrame | None, finished: datetime | None, error: str | None, latency: DataFrame | None = None) -> DataFrame:
         times = spark.createDataFrame(
             [(run_id, started, finished, error)], "run_id string, started_at timestamp, finished_at timestamp, error string"
         )
-        summary = pin(M.summarise_counts(records if records is not None else spark.createDataFrame([], _RECORD), times))
+        counts = M.summarise_counts(records if records is not None else spark.createDataFrame([], _RECORD), times)
+        summary = pin(L.with_latency(counts, latency))
         intake.tables.save_run(summary, run_id)
         return summary
 
     close(None, None, None)
-    records = None
+    records = latency = None
     try:
         fetched = _fetch(intake, spark, sources, run_id)
         if sources and not fetched:
@@ -207,13 +209,23 @@ def run_bulk(
             new = pin(U.drop_known(kept, stored))
             records = pin(_fetched(run_id, U.dedup_stats(keys, by_fingerprint, target, kept), kept, new))
             records = records.unionByName(_processed(run_id, *intake.process(U.rows_at(raw, new), run_id, BULK_NOTE)))
-        return close(records, datetime.now(timezone.utc), None)
+            latency = _latency(intake, spark, run_id)
+        return close(records, datetime.now(timezone.utc), None, latency)
     except Exception as e:  # noqa: BLE001 - the run ends, its row tells why
         log.error("run %s failed: %s", run_id, e)
         one_more = spark.createDataFrame([(run_id, None, 0, 0, 0, 0, 1, 0)], _RECORD)
         return close(one_more, datetime.now(timezone.utc), str(e)[:1000])
 
 
+def _latency(intake: Intake, spark: SparkSession, run_id: str) -> DataFrame | None:
+    """A sketch per source of what the parser's calls took; None if the parser tells of no calls."""
+    calls = intake.of_run(intake.tables.parse_calls(spark), run_id).filter(F.col("latency").isNotNull()).select("run_id", "raw_id", "latency")
+    if calls.isEmpty():
+        return None
+    of = intake.of_run(intake.tables.raw_rows(spark), run_id).select(F.col("id").alias("raw_id"), "source")
+    return L.sketches(calls.join(of, "raw_id"), "run_id", "source")
+
+
 _RECORD = (
     "run_id string, source string, fetched bigint, parsed bigint, validated bigint, "
     "flagged bigint, errors bigint, duplicates bigint"

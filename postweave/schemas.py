@@ -99,6 +99,10 @@ RUN = T.StructType([
     T.StructField("per_source", T.MapType(T.StringType(), T.LongType())),
     T.StructField("duration_seconds", T.DoubleType()),
     T.StructField("jobs_per_second", T.DoubleType()),
+    T.StructField("latencies", T.LongType()),
+    *(T.StructField(p, T.DoubleType()) for p in ("p50", "p95", "p99")),
+    # A quantile sketch of the latencies of each source.
+    T.StructField("latency_sketches", T.MapType(T.StringType(), T.BinaryType())),
 ])
 
 # One landed payload: a page of an API answer, a feed document or an HTML page.
