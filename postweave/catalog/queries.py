@@ -15,11 +15,11 @@ from postweave.functions import rules as R
 from postweave.operators import breaker as B
 from postweave.operators import dedup as U
 from postweave.operators import deliver as D
+from postweave.operators import latency as Q
 from postweave.operators import metrics as M
 from postweave.operators import model as N
 from postweave.operators import parse as P
 from postweave.operators import review as V
-from postweave.operators import latency as L
 from postweave.operators import tables as T
 from postweave.operators import validate as W
 from postweave.plans import intake as J
@@ -644,7 +644,7 @@ def latency_percentiles(spark, sf_dir):
 
 def _run_rows(spark, sf_dir) -> DataFrame:
     """Run rows with their latency sketches, as they are stored."""
-    return _stored(L.with_latency(_summaries(spark, sf_dir), L.sketches(I.records(spark, sf_dir), "run_id", "source")))
+    return _stored(Q.with_latency(_summaries(spark, sf_dir), Q.sketches(I.records(spark, sf_dir), "run_id", "source")))
 
 
 @query
@@ -656,11 +656,11 @@ def run_latency(spark, sf_dir):
 @query
 def lifetime_latency(spark, sf_dir):
     """Percentiles over all runs from the run rows, and whether their rank in all latencies is within the bound of the sketch."""
-    found = L.lifetime_latency(_run_rows(spark, sf_dir)).first()
+    found = Q.lifetime_latency(_run_rows(spark, sf_dir)).first()
     n = F.count("latency")
 
     def close(p: int) -> Column:
-        value, slack = F.lit(found[f"p{p}"]), L.RANK_ERROR + 1 / n
+        value, slack = F.lit(found[f"p{p}"]), Q.RANK_ERROR + 1 / n
         under, upto = F.count_if(F.round("latency", 4) < value), F.count_if(F.round("latency", 4) <= value)
         return ((under / n <= p / 100 + slack) & (upto / n >= p / 100 - slack)).alias(f"p{p}_close")
 
@@ -670,7 +670,7 @@ def lifetime_latency(spark, sf_dir):
 @query
 def latency_by_window(spark, sf_dir):
     """Runs and latencies per day in which runs ended; percentiles rise."""
-    found = L.latency_by_window(_run_rows(spark, sf_dir), "1 day")
+    found = Q.latency_by_window(_run_rows(spark, sf_dir), "1 day")
     return found.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "runs", "latencies", ((F.col("p50") <= F.col("p95")) & (F.col("p95") <= F.col("p99"))).alias("rising"))
 
 
