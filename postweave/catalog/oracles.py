@@ -707,6 +707,9 @@ ORACLES["bulk_ingest"] = ctes(
     "(SELECT count(*) FROM keys) - (SELECT count(*) FROM fresh) AS duplicates, per_source FROM done, per"
 )
 ORACLES["streaming_ingest"] = ORACLES["dedup_postings"]
+ORACLES["streaming_ingest_in_state"] = ctes(postings=POSTINGS) + (
+    "SELECT external_id, CASE WHEN external_id IS NULL THEN count(*) ELSE 1 END AS rows FROM postings GROUP BY 1"
+)
 ORACLES["review_queue"] = ctes(**_FIELDS, checked=graded("structured")) + (
     "SELECT CASE WHEN confidence >= 0.5 AND n_issues = 0 THEN 'sent' ELSE 'parsed' END AS status, count(*) AS jobs, "
     "count(CASE WHEN confidence >= 0.5 AND n_issues = 0 THEN 1 END) AS written FROM checked GROUP BY 1"

@@ -7,7 +7,7 @@ row of an id. Status changes are appended events, never updates in place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -112,6 +112,14 @@ class JobTables:
         """All saved rows, earlier versions included."""
         return self._read(spark, "raw_jobs", S.RAW)
 
+    def raw_of_runs(self, spark: SparkSession, wanted: Callable[[str], bool]) -> DataFrame | None:
+        """Saved rows of the runs whose names are wanted; other folders are not opened. None if there is no such run."""
+        runs = sorted(n[7:] for n in folders(spark, self.path("raw_jobs")) if n.startswith("run_id=") and wanted(n[7:]))
+        if not runs:
+            return None
+        schema = T.StructType([*S.RAW, T.StructField("run_id", T.StringType())])
+        return spark.read.schema(schema).option("basePath", self.path("raw_jobs")).parquet(*(self.path(f"raw_jobs/run_id={r}") for r in runs))
+
     def parsed_rows(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "parsed_jobs", S.PARSED)
 

@@ -11,6 +11,7 @@ from postweave.operators import metrics as M
 from postweave.operators.tables import JobTables, seen_part
 from postweave.plans.intake import SINGLE_NOTE, Intake, results
 from postweave.session import pin
+from postweave.streaming.unique import keep_state_on_disk, unique_rows
 
 
 BATCH = "batch-"
@@ -22,7 +23,7 @@ def batch_run_id(epoch: int) -> str:
 
 def run_cycle(
     intake: Intake, raw: DataFrame, checkpoint: str, by_fingerprint: bool = True, available_now: bool = True,
-    compact_every: int = 100,
+    compact_every: int = 100, within: str | None = None,
 ) -> StreamingQuery:
     """Takes in a stream of raw rows. First of a kind wins, within a micro-batch and over all of them.
 
@@ -32,7 +33,20 @@ def run_cycle(
     batches the key folders become one. Each micro-batch writes folders named after its number: a
     repeated batch replaces its own rows, and its own earlier attempt is left out of the comparison.
     Statistics of each batch go to the table cycles.
+
+    With `within`, a time such as '30 days', keys lie in Spark's own state and are forgotten after that time (`unique_rows`): no
+    key folders, and of rows alike in one micro-batch any one wins.
     """
+    def others(spark) -> DataFrame | None:
+        """External ids of runs that are not of this stream; only their folders are listed."""
+        return intake.tables.raw_of_runs(spark, lambda run: not run.startswith(BATCH))
+
+    def one_unique_batch(batch: DataFrame, epoch: int) -> None:
+        run_id, known = batch_run_id(epoch), others(batch.sparkSession)
+        left = pin(batch.select("seq", "external_id") if known is None else U.drop_known(batch.select("seq", "external_id"), known))
+        parsed, sent = intake.process(U.rows_at(batch, left), run_id, SINGLE_NOTE)
+        intake.tables.save_cycle(M.cycle_stats(results(parsed, sent)), run_id)
+
     def one_batch(batch: DataFrame, epoch: int) -> None:
         spark, run_id = batch.sparkSession, batch_run_id(epoch)
         tables = intake.tables
@@ -40,9 +54,8 @@ def run_cycle(
         # At most SEEN_PARTS numbers.
         parts = [r[0] for r in first.select(F.explode(F.array(seen_part(F.col("external_id")), seen_part(F.col("fp"))))).distinct().collect()]
         seen = tables.seen_keys(spark, parts).filter(F.col("run_id") != run_id)
-        others = tables.raw_rows(spark).filter(~F.col("run_id").startswith(BATCH))
-        ids = seen.filter("kind = 'id'").select(F.col("value").alias("external_id"))
-        fresh = pin(U.drop_known(first, ids.unionByName(others.select("external_id"))))
+        ids, known = seen.filter("kind = 'id'").select(F.col("value").alias("external_id")), others(spark)
+        fresh = pin(U.drop_known(first, ids if known is None else ids.unionByName(known.select("external_id"))))
         left = fresh
         if by_fingerprint:
             fps = seen.filter("kind = 'fp'").select(F.col("value").alias("fp")).distinct()
@@ -54,7 +67,10 @@ def run_cycle(
         parsed, sent = intake.process(U.rows_at(batch, left), run_id, SINGLE_NOTE)
         tables.save_cycle(M.cycle_stats(results(parsed, sent)), run_id)
 
-    writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one_batch)
+    if within:
+        keep_state_on_disk(raw.sparkSession)
+        raw = unique_rows(raw, within, by_fingerprint)
+    writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one_unique_batch if within else one_batch)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
