@@ -188,6 +188,7 @@ ORACLES["decode_model_json"] = ctes(postings=POSTINGS, answers=_ANSWERS) + (
     "CASE WHEN NOT bad THEN CAST((seq % 40) / CASE WHEN seq % 10 = 7 THEN 4 ELSE 1 END AS INT) END AS years_experience, "
     "CASE WHEN bad THEN 0.0 ELSE CAST(seq % 100 AS DOUBLE) / 100 END AS confidence, CASE WHEN bad THEN 1 ELSE 0 END AS warnings FROM answers"
 )
+ORACLES["parse_generic_uncut"] = ORACLES["clean_description_uncut"]
 ORACLES["hybrid_overlay"] = ctes(**_FIELDS, answers=_ANSWERS) + (
     "SELECT s.raw_id, CASE WHEN good THEN CASE WHEN seq % 10 = 4 THEN '[UNKNOWN]' ELSE concat(segment, ' Engineer') END ELSE s.job_title END AS job_title, "
     "CASE WHEN good THEN 'stub' ELSE s.model_used END AS model_used, CASE WHEN good THEN CAST(seq % 100 AS DOUBLE) / 100 ELSE s.confidence END AS confidence, "
@@ -205,6 +206,7 @@ ORACLES["extract_with_model"] = ctes(**_CALLS) + (
     "CASE WHEN main THEN 0.9 WHEN second THEN 0.8 ELSE 0.0 END::DOUBLE AS confidence, CASE WHEN second THEN 'second' ELSE 'first' END AS model_used, "
     "CASE WHEN main THEN 0 ELSE 3 END AS failed_attempts, second AS used_fallback FROM calls"
 )
+ORACLES["extract_with_model_once"] = f"SELECT raw_id, job_title, confidence, model_used, used_fallback FROM ({ORACLES['extract_with_model']})"
 ORACLES["parse_stats"] = ctes(**_CALLS) + (
     "SELECT CASE WHEN second THEN 'second' ELSE 'first' END AS model_used, count(*) FILTER (main OR second) AS parsed, "
     "count(*) FILTER (NOT main AND NOT second) AS errors, CAST(sum(CASE WHEN main THEN 0 ELSE 3 END) AS BIGINT) AS retries, "

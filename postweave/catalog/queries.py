@@ -187,6 +187,24 @@ def extract_with_model(spark, sf_dir):
     return _by_model(spark, sf_dir).select("raw_id", "job_title", "confidence", "model_used", "failed_attempts", "used_fallback")
 
 
+@query
+def extract_with_model_once(spark, sf_dir):
+    """Equal postings cost one call, and the second run takes the first one's answers."""
+    answers = N.Answers(_new_dir(spark))
+    for _ in range(2):
+        got = N.extract_with_model(
+            I.postings(spark, sf_dir), _stub_model, "first", fallback=_stub_fallback, fallback_name="second", chars=None, answers=answers, in_flight=4
+        )
+    return got.select("raw_id", "job_title", "confidence", "model_used", "used_fallback")
+
+
+@query
+def parse_generic_uncut(spark, sf_dir):
+    """Whole descriptions of whole texts."""
+    docs = I.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.lit("manual").alias("source"), F.col("text").alias("raw_text"))
+    return P.parse_generic(docs, limits=P.UNCUT).select(F.col("raw_id").cast("bigint").alias("doc_id"), F.col("description_clean").alias("description"))
+
+
 @query
 def parse_stats(spark, sf_dir):
     return P.parse_stats(_by_model(spark, sf_dir))

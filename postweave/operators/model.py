@@ -5,9 +5,12 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from postweave.operators import parse as P
 from postweave.session import pin
@@ -65,13 +68,15 @@ def ask(
     fallback: Callable[[str], str] | None = None,
     fallback_name: str = "",
     max_attempts: int = MAX_ATTEMPTS,
+    in_flight: int = 1,
 ) -> DataFrame:
     """prompts: id, prompt. One answer row per record, whether it succeeded or not.
 
     A call fails when it raises or when its answer does not decode. The main model gets
     max_attempts calls, the fallback one. Batches follow spark.sql.execution.arrow.maxRecordsPerBatch;
     repartition the input to set how many calls run side by side. Answers come from outside, so pin
-    or write the result before using it twice.
+    or write the result before using it twice. A task has up to in_flight calls open at once; it takes the
+    next batch when all of the last one are answered.
     """
     plan = [(model, name, False)] * max_attempts + ([(fallback, fallback_name, True)] if fallback else [])
 
@@ -91,12 +96,56 @@ def ask(
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cols = [c.split()[0] for c in ANSWER.split(", ")]
-        for f in frames:
-            yield pd.DataFrame([one(r, p) for r, p in zip(f["id"], f["prompt"])], columns=cols)
+        with ThreadPoolExecutor(max_workers=in_flight) as pool:
+            for f in frames:
+                yield pd.DataFrame(list(pool.map(one, f["id"], f["prompt"])), columns=cols)
 
     return prompts.select("id", "prompt").mapInPandas(batches, ANSWER)
 
 
+@dataclass(frozen=True)
+class Answers:
+    """Answers by the content of what was asked, in a folder that all executors reach."""
+
+    root: str
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        schema = ANSWER.replace("raw_id", "key")
+        try:
+            return spark.read.schema(schema).parquet(self.root)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+
+    def add(self, answers: DataFrame) -> None:
+        """Appends in one commit: a task that is repeated leaves one copy of its answers."""
+        answers.write.mode("append").parquet(self.root)
+
+
+def ask_once(prompts: DataFrame, answers: Answers, model: Callable[[str], str], name: str, fallback: Callable[[str], str] | None = None, fallback_name: str = "", **options) -> DataFrame:
+    """As ask, but equal prompts are asked together, and what was answered before is not asked again.
+
+    The key is a hash of models and prompt, hence of template and text. Answers are stored before they are used; failures are not,
+    so that a later run tries again. Of the records that share an answer, the one of least id tells of its attempts and latency if
+    it was given now; the others made no call.
+    """
+    spark = prompts.sparkSession
+    keyed = prompts.select("id", F.sha2(F.concat_ws("\n", F.lit(name), F.lit(fallback_name), F.col("prompt")), 256).alias("key"), "prompt")
+    known = answers.read(spark)
+    # Partial aggregation leaves one prompt a task of those that many records share.
+    asked = pin(keyed.groupBy("key").agg(F.min("prompt").alias("prompt"), F.min("id").alias("first")).join(known.select("key"), "key", "left_anti"))
+    new = pin(ask(asked.select(F.col("key").alias("id"), "prompt"), model, name, fallback, fallback_name, **options).withColumnRenamed("raw_id", "key"))
+    answers.add(new.filter(F.col("response").isNotNull()))
+    # Two runs at once may both have asked: one answer per key is taken.
+    old = known.join(new.select("key"), "key", "left_anti").groupBy("key").agg(F.min(F.struct(*(c for c in known.columns if c != "key"))).alias("a")).select("key", "a.*")
+    every = new.join(asked.select("key", "first"), "key").unionByName(old.withColumn("first", F.lit(None).cast(prompts.schema["id"].dataType)))
+    mine = F.coalesce(F.col("id") == F.col("first"), F.lit(False))
+    told = {"failed_attempts": F.when(mine, F.col("failed_attempts")).otherwise(0), "latency": F.when(mine, F.col("latency"))}
+    names = [c.split()[0] for c in ANSWER.split(", ")]
+    return keyed.select("id", "key").join(every, "key").withColumns(told).withColumnRenamed("id", "raw_id").select(*names)
+
+
 CALL_COLUMNS = ("failed_attempts", "used_fallback", "latency")
 
 
@@ -107,9 +156,15 @@ def to_parsed(answers: DataFrame, now: Column | None = None, carry: Sequence[str
     return parsed.withColumn("parse_warnings", told).drop("error")
 
 
-def extract_with_model(raw: DataFrame, model: Callable[[str], str], name: str, now: Column | None = None, **options) -> DataFrame:
+def extract_with_model(
+    raw: DataFrame, model: Callable[[str], str], name: str, now: Column | None = None,
+    template: str = P.PROMPT, chars: int | None = P.PROMPT_CHARS, answers: Answers | None = None, **options,
+) -> DataFrame:
     """Prompt, call and decode; parsed rows plus failed_attempts, used_fallback and latency.
 
-    The result is pinned, so that neither a lost executor nor a second use calls the model again.
+    The prompt holds the first `chars` characters of the text, or all of it with None. With `answers`, equal postings cost one call
+    and a repeated run none. The result is pinned, so that neither a lost executor nor a second use calls the model again.
     """
-    return pin(to_parsed(ask(P.build_prompt(raw), model, name, **options), now))
+    prompts = P.build_prompt(raw, template, chars)
+    got = ask(prompts, model, name, **options) if answers is None else ask_once(prompts, answers, model, name, **options)
+    return pin(to_parsed(got, now))

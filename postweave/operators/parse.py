@@ -48,7 +48,12 @@ def _finish(df: DataFrame, now: Column | None = None, carry: Sequence[str] = ())
     ), *carry)
 
 
-def _from_text(text: Column) -> dict[str, Column]:
+# How long descriptions may be; None for no limit.
+Limits = dict[str, int | None]
+UNCUT: Limits = {"lines": None, "chars": None}
+
+
+def _from_text(text: Column, limits: Limits | None = None) -> dict[str, Column]:
     return {
         "job_title": X.title(text),
         "company": X.company(text),
@@ -57,7 +62,7 @@ def _from_text(text: Column) -> dict[str, Column]:
         "salary": X.salary(text),
         "required_skills": X.skills(text),
         "employment_type": X.employment_type(text),
-        "description_clean": X.description(text),
+        "description_clean": X.description(text, **(limits or {})),
     }
 
 
@@ -113,20 +118,20 @@ def _extract(raw: DataFrame, fields: dict[str, Column], carry: Sequence[str] = (
     )
 
 
-def parse_generic(raw: DataFrame, now: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
-    """carry: columns of raw that stay beside the parsed ones."""
-    return _finish(_extract(raw, _from_text(F.col("raw_text")), carry).withColumns(_generic_marks()), now, carry)
+def parse_generic(raw: DataFrame, now: Column | None = None, carry: Sequence[str] = (), limits: Limits | None = None) -> DataFrame:
+    """carry: columns of raw that stay beside the parsed ones. limits: lines and chars of descriptions where not the usual ones, or UNCUT."""
+    return _finish(_extract(raw, _from_text(F.col("raw_text"), limits), carry).withColumns(_generic_marks()), now, carry)
 
 
-def parse_workable(raw: DataFrame, now: Column | None = None) -> DataFrame:
-    fields = _from_metadata(_from_text(F.col("raw_text")))
+def parse_workable(raw: DataFrame, now: Column | None = None, limits: Limits | None = None) -> DataFrame:
+    fields = _from_metadata(_from_text(F.col("raw_text"), limits))
     return _finish(_extract(raw, fields).withColumns(_board_marks()), now)
 
 
-def parse_structured(raw: DataFrame, now: Column | None = None) -> DataFrame:
+def parse_structured(raw: DataFrame, now: Column | None = None, limits: Limits | None = None) -> DataFrame:
     """Each row by the rules of its source, in one scan: text fields are extracted once for both kinds."""
     board = F.col("source") == "workable"
-    text = _from_text(F.col("raw_text"))
+    text = _from_text(F.col("raw_text"), limits)
     meta = _from_metadata(text)
     changed = [n for n in text if meta[n] is not text[n]]
     fields = text | {n: F.when(board, meta[n]).otherwise(text[n]) for n in changed}
