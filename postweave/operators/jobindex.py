@@ -47,6 +47,16 @@ def folders(spark: SparkSession, path: str) -> dict[str, int]:
     return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(p) if s.isDirectory()}
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in place of what was there."""
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 @dataclass(frozen=True)
 class Manifest:
     """One state of the index: its levels (1 is the newest) with their folders, and the runs they hold."""

@@ -7,14 +7,16 @@ row of an id. Status changes are appended events, never updates in place.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postweave import schemas as S
-from postweave.operators.jobindex import JobIndex, folders
+from postweave.operators.jobindex import JobIndex, folders, write_text
 from postweave.session import pin
 
 
@@ -158,6 +160,21 @@ class JobTables:
             waiting = waiting.orderBy("parsed_at", "job_id").limit(limit)
         return self.jobs_of(spark, waiting.select("job_id"))
 
+    def tell(self, spark: SparkSession, run_id: str, step: str, current: int, total: int | None) -> None:
+        """Notes how far a run is: one small file per step, written at once and replaced by a repeated run, for other sessions to read."""
+        note = {"step": step, "current": current, "total": total, "at": datetime.now(timezone.utc).isoformat()}
+        write_text(spark, f"{self.path('progress')}/run_id={run_id}/{step}.json", json.dumps(note))
+
+    def progress(self, spark: SparkSession) -> DataFrame:
+        """step, current, total, at, run_id: every step that a run has told of; the last one of a run is where it is."""
+        schema = T.StructType([
+            T.StructField("step", T.StringType()), T.StructField("current", T.LongType()), T.StructField("total", T.LongType()),
+            T.StructField("at", T.TimestampType()), T.StructField("run_id", T.StringType()),
+        ])
+        if not folders(spark, self.path("progress")):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).json(self.path("progress"))
+
     def has_run(self, spark: SparkSession, name: str, run_id: str) -> bool:
         return f"run_id={run_id}" in folders(spark, self.path(name))
 

@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from postweave import schemas as S
 from postweave.functions import rules as R
@@ -42,6 +42,11 @@ def hybrid_parser(primary: Parser, fallback: Parser = P.parse_structured) -> Par
     return lambda raw: P.hybrid_parse(raw, primary(raw), fallback)
 
 
+def _seen(step: Observation) -> int:
+    """Rows of a step that has run; a plan that turned out empty tells nothing."""
+    return step.get.get("current") or 0
+
+
 @dataclass(frozen=True)
 class Intake:
     """What a run needs besides its rows. Every part can be replaced by another function.
@@ -70,12 +75,18 @@ class Intake:
         # Events can only name ids of this run if the run was here before.
         again = self.tables.has_run(spark, "parsed_jobs", run_id)
         named = raw.withColumn("id", stable_uuid(F.lit(run_id), F.col("source"), F.col("seq").cast("string")))
+        named, seen = M.progress(named, "saving")
         self.tables.save_raw(named, run_id)
+        n = _seen(seen)
+        self.tables.tell(spark, run_id, "saving", n, n)
         saved = self.of_run(self.tables.raw_rows(spark), run_id).drop("run_id")
         stamped = validate(self.parse(saved), self.rules).withColumns(
             {"reviewed_by": F.lit(REVIEWER), "reviewed_at": F.current_timestamp()}
         )
+        stamped, seen = M.progress(stamped, "parsing", n)
         self.tables.save_parsed(stamped, run_id)
+        done = _seen(seen)
+        self.tables.tell(spark, run_id, "parsing", done, n)
         parsed = self.of_run(self.tables.parsed_rows(spark), run_id)
         if self.review_gate:
             return parsed, None
@@ -83,10 +94,12 @@ class Intake:
         if again:
             ids = parsed.select(F.col("id").alias("job_id"))
             told = self.tables.status_log(spark).filter(F.col("run_id") != run_id).join(ids, "job_id", "left_semi")
-            done = pin(latest_events(told).filter("status = 'sent'").select("job_id"))
-            left = parsed.join(done, F.col("id") == F.col("job_id"), "left_anti")
+            gone = pin(latest_events(told).filter("status = 'sent'").select("job_id"))
+            left = parsed.join(gone, F.col("id") == F.col("job_id"), "left_anti")
         sent = self.send(D.to_payload(left), run_id)
-        self.tables.log_status(D.delivery_status(sent, note), run_id)
+        events, seen = M.progress(D.delivery_status(sent, note), "delivering", done)
+        self.tables.log_status(events, run_id)
+        self.tables.tell(spark, run_id, "delivering", _seen(seen), done)
         return parsed, sent
 
 
@@ -164,6 +177,7 @@ def _fetch(intake: Intake, spark: SparkSession, sources: Mapping[str, Callable[[
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(sources)))) as pool:
         tried = list(pool.map(one, enumerate(sources.items())))
     intake.tables.save_fetches(spark.createDataFrame([t[2] for t in tried], S.FETCH), run_id)
+    intake.tables.tell(spark, run_id, "fetching", sum(t[0] is not None for t in tried), len(tried))
     return [t[:2] for t in tried if t[0] is not None]
 
 

@@ -300,3 +300,18 @@ def test_native_operators_have_no_python_node(spark):
     raw = raw_rows(spark, [(1, "manual", None, "Title: T", None)])
     plan = W.validate(P.parse_structured(raw))._jdf.queryExecution().executedPlan().toString()
     assert not any(node in plan for node in ("EvalPython", "InPandas", "InArrow"))
+
+
+def test_progress_is_read_while_a_run_goes_on(spark, store, to_files):
+    """Another session sees the steps that are done; the counts are those of the steps."""
+    seen = []
+
+    def send(payloads, run_id):
+        seen.extend((r.step, r.current, r.total) for r in store.progress(spark.newSession()).orderBy("at").collect())
+        return to_files(payloads, run_id)
+
+    assert store.progress(spark).count() == 0
+    J.run_bulk(spark, J.Intake(store, send, parse=mock_parser), {"ok": lambda: mock_source(spark, "alpha", 3, 9, 0), "no": lambda: 1 / 0}, run_id="r")
+    assert seen == [("fetching", 1, 2), ("saving", 3, 3), ("parsing", 3, 3)]
+    last = store.progress(spark).orderBy("at").collect()[-1]
+    assert (last.run_id, last.step, last.current, last.total) == ("r", "delivering", 3, 3)
