@@ -5,8 +5,8 @@ how many documents hold them (rarest first), and only a prefix that two similar
 positional and suffix filters and are verified once by the whole sets.
 
 Links are asked for up to connectivity: in a first round every node is compared with one pivot of each of its prefix shingles,
-which joins up a large group of near copies in as many pairs as it has rows; the second round compares what shares a prefix
-shingle and is not connected yet, and is complete for these.
+which joins up a large group of near copies in as many pairs as it has rows; rounds with other pivots follow while they connect
+much of what they compare; the last round compares what shares a prefix shingle and is not connected yet, and is complete for these.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ N = 3
 # Similarity as a fraction, so that every bound is exact.
 NUM, DEN = 90, 100
 SKETCH_BITS, SLICES = 21, 64
+# Rounds with one hub per shingle before all pairs that are left, as long as one pair in WORTH compared is a link.
+HUBS, WORTH = 6, 20
 # Two short images of a set: whether the elements of each of 512 hash classes are odd in number, as eight 64-bit numbers, and
 # the number of elements in each of 128 hash ranges.
 ODD, FINE = 8, 128
@@ -214,6 +216,24 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, salt:
     return both.where(den * F.col("common") >= num * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b")
 
 
+def _hub_round(shared: DataFrame, group: DataFrame, nodes: DataFrame, coarse: DataFrame, hub: int, docs: DataFrame, n: int, salt: int, num: int, den: int) -> tuple[int, DataFrame]:
+    """One node per shingle, another in every round, is compared with those of other components: pairs compared, and links found.
+
+    The order of nodes is the same for all shingles, so near copies meet the same hub; the rows are as many as the prefix entries.
+    """
+    known = shared.select("token", "node", "place").distinct().join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    hubs = known.groupBy("token").agg(
+        F.min_by(F.struct("node", "component", "place"), F.xxhash64("node", F.lit(hub))).alias("h"), F.min("component").alias("x"), F.max("component").alias("y")
+    ).where("x <> y")
+    met = known.join(hubs.select("token", "h"), "token").where(F.col("component") != F.col("h.component")).select(
+        *_pair("node", "h.node")
+    ).distinct()
+    likely = met.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_", num, den)).select("a", "b")
+    likely = pin(likely)
+    compared = likely.count()
+    return compared, pin(_verified(likely, nodes, docs, n, salt, num, den)) if compared else likely
+
+
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -251,6 +271,14 @@ def jaccard_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
     first = first.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_", num, den)).select("a", "b")
     near = pin(_verified(first, nodes, docs, n, salt, num, den))
     group = pin(components(near))
+    for hub in range(1, HUBS + 1):
+        compared, more = _hub_round(shared, group, nodes, coarse, hub, docs, n, salt, num, den)
+        found = more.count()
+        if found:
+            near = pin(near.union(more))
+            group = pin(components(near))
+        if found * WORTH < compared:
+            break
 
     # What shares a shingle with another component than its own.
     known = shared.select("token", "node", "place").distinct().join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
