@@ -509,10 +509,16 @@ def store_stats(spark, sf_dir):
     return T.stats(I.postings(spark, sf_dir), _current(spark, sf_dir))
 
 
+def _written(df: DataFrame) -> DataFrame:
+    path = _new_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _indexed(spark, sf_dir) -> T.JobTables:
     """The jobs as twelve runs and their events as three; most of them are in levels of the index, the last ones are its tail."""
     store = T.JobTables(_new_dir(spark))
-    jobs, log = _stored(I.jobs(spark, sf_dir)), _stored(I.status_log(spark, sf_dir))
+    jobs, log = _written(I.jobs(spark, sf_dir)), _written(I.status_log(spark, sf_dir))
     for i in range(12):
         store.save_parsed(jobs.filter(F.pmod(F.xxhash64("id"), F.lit(12)) == i), f"run-{i}")
         if i in (3, 6, 9):
@@ -662,7 +668,7 @@ def latency_percentiles(spark, sf_dir):
 
 def _run_rows(spark, sf_dir) -> DataFrame:
     """Run rows with their latency sketches, as they are stored."""
-    return _stored(Q.with_latency(_summaries(spark, sf_dir), Q.sketches(I.records(spark, sf_dir), "run_id", "source")))
+    return _written(Q.with_latency(_summaries(spark, sf_dir), Q.sketches(I.records(spark, sf_dir), "run_id", "source")))
 
 
 @query

@@ -30,7 +30,8 @@ ROWS, EVENTS = "parsed_jobs", "status_log"
 _OF_ROW = "struct<saved_at:timestamp,parsed_at:timestamp,status:string,run_id:string,file:string>"
 _OF_EVENT = "struct<reviewed_at:timestamp,event_seq:bigint,status:string,reviewer_notes:string,run_id:string>"
 _LEVEL = f"job_id string, status string, of_row {_OF_ROW}, of_event {_OF_EVENT}"
-# kind 'run': table and run in `name`, stamp in `at`; kind 'file': folder, file and the rows and least and largest id of a status.
+# kind 'run': table and run in `name`, stamp in `at`; kind 'file': folder, file, and of a status the number of rows and the least and
+# largest id; `at` is how many of them are events alone, of jobs whose rows lie elsewhere.
 _MANIFEST = "kind string, level int, folder string, name string, run_id string, at bigint, status string, n bigint, low string, high string"
 
 
@@ -215,16 +216,18 @@ class JobIndex:
         for k in taken:
             parts = parts.unionByName(self._level(spark, manifest, k, again).drop("status"))
         folder = self._at("job_index", f"level-{level}-{uuid.uuid4().hex}")
-        whole = self._merged(parts).repartitionByRange(max(1, -(-held // file_rows)), "status", "job_id").sortWithinPartitions("status", "job_id")
+        # Events without their rows come last, so few files hold any.
+        order = [F.col("of_row").isNull(), F.col("status"), F.col("job_id")]
+        whole = self._merged(parts).repartitionByRange(max(1, -(-held // file_rows)), *order).sortWithinPartitions(*order)
         writer = whole.write.option("parquet.bloom.filter.enabled#job_id", "true").option("parquet.bloom.filter.expected.ndv#job_id", str(file_rows))
         writer.parquet(folder)
         files = (
-            spark.read.schema(_LEVEL).parquet(folder).select("job_id", "status", F.col("_metadata.file_name").alias("name"))
-            .groupBy("name", "status").agg(F.count(F.lit(1)).alias("n"), F.min("job_id").alias("low"), F.max("job_id").alias("high"))
+            spark.read.schema(_LEVEL).parquet(folder).select("job_id", "status", F.col("of_row").isNull().alias("alone"), F.col("_metadata.file_name").alias("name"))
+            .groupBy("name", "status").agg(F.count(F.lit(1)).alias("n"), F.count_if("alone").alias("at"), F.min("job_id").alias("low"), F.max("job_id").alias("high"))
         )
         null = lambda t: F.lit(None).cast(t)
         named = files.select(
-            F.lit("file").alias("kind"), F.lit(level).alias("level"), F.lit(folder).alias("folder"), "name", null("string").alias("run_id"), null("bigint").alias("at"), "status", "n", "low", "high"
+            F.lit("file").alias("kind"), F.lit(level).alias("level"), F.lit(folder).alias("folder"), "name", null("string").alias("run_id"), "at", "status", "n", "low", "high"
         )
         if manifest.version:
             old = self._entries(spark, manifest.version)
@@ -287,24 +290,33 @@ class JobIndex:
             # What the levels say of repeated runs has to be brought together with the tail.
             both = self._merged(self._parts(spark)).where(F.col("of_row").isNotNull() & (F.col("status") == status))
             return both.select("job_id", F.col("of_row.parsed_at").alias("parsed_at"))
-        # A job of the tail is new there, or the tail has an event of it.
-        found = newer.where(F.col("status") == status)
-        out = found.where(F.col("of_row").isNotNull()).select("job_id", F.col("of_row.parsed_at").alias("parsed_at"))
-        moved = found.where(F.col("of_row").isNull()).select("job_id")
+        alone = {k: self._files(spark, manifest, k, F.col("at") > 0) for k in manifest.levels}
+
+        def sure(rows: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+            """Rows of a level (0: the tail) that no event alone in an older level tells of, and ids that need a closer look."""
+            out, open_ = rows.where(F.col("of_row").isNotNull()), rows.where(F.col("of_row").isNull()).select("job_id")
+            for j in sorted(manifest.levels):
+                if j > level and alone[j]:
+                    early = self._level(spark, manifest, j, {}, alone[j]).where(F.col("of_row").isNull()).select("job_id")
+                    open_ = open_.unionByName(out.join(early, "job_id", "left_semi").select("job_id"))
+                    out = out.join(early, "job_id", "left_anti")
+            return out.select("job_id", F.col("of_row.parsed_at").alias("parsed_at")), open_
+
+        out, moved = sure(newer.where(F.col("status") == status), 0)
         above = newer.select("job_id")
         for k in sorted(manifest.levels):
             paths = self._files(spark, manifest, k, F.col("status") == status)
             if paths:
                 rows = self._level(spark, manifest, k, {}, paths).where(F.col("status") == status)
-                rows = rows.join(above, "job_id", "left_anti")
-                out = out.unionByName(rows.where(F.col("of_row").isNotNull()).select("job_id", F.col("of_row.parsed_at").alias("parsed_at")))
-                moved = moved.unionByName(rows.where(F.col("of_row").isNull()).select("job_id"))
-            above = above.unionByName(self._level(spark, manifest, k, {}).select("job_id"))
-        moved = pin(moved)
+                found, unsure = sure(rows.join(above, "job_id", "left_anti"), k)
+                out, moved = out.unionByName(found), moved.unionByName(unsure)
+            if k != max(manifest.levels):
+                above = above.unionByName(self._level(spark, manifest, k, {}).select("job_id"))
+        moved = pin(moved.distinct())
         if manifest.levels and not moved.isEmpty():
-            # Events that set this status later than the level that holds the job's row.
-            rows = self._merged(self._parts(spark).join(moved, "job_id", "left_semi"))
-            out = out.unionByName(rows.where(F.col("of_row").isNotNull()).select("job_id", F.col("of_row.parsed_at").alias("parsed_at")))
+            # Jobs whose row and event lie in different levels.
+            rows = self._merged(self._parts(spark).join(moved, "job_id", "left_semi")).where(F.col("of_row").isNotNull() & (F.col("status") == status))
+            out = out.unionByName(rows.select("job_id", F.col("of_row.parsed_at").alias("parsed_at")))
         return out
 
     def rows_of(self, found: DataFrame) -> DataFrame:

@@ -73,6 +73,17 @@ def test_levels_and_tail_give_the_plain_answer(spark, store):
     check(spark, store, [named("a")[3], named("f")[0]])
 
 
+def test_events_before_their_rows(spark, store):
+    """Whatever the order of saving: an event that a level took in before the job's row still counts."""
+    store.log_status(events(spark, named("z", 8)[:4], "sent") .unionByName(events(spark, named("z", 8)[4:5], "parsed")), "early")
+    store.index.compact(spark, ratio=1, file_rows=1)
+    store.save_parsed(parsed(spark, named("z", 8)), "run-z")
+    check(spark, store, named("z", 8)[3:5])
+    store.save_parsed(parsed(spark, named("y", 3)), "run-y")
+    store.index.compact(spark, ratio=100, file_rows=100)
+    check(spark, store, named("z", 8)[3:5])
+
+
 def test_current_status_reads_the_newest_levels_and_the_tail(spark, store):
     for k in range(6):
         store.save_parsed(parsed(spark, named(f"r{k}", 5)), f"run-{k}")
