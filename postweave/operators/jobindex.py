@@ -197,6 +197,8 @@ class JobIndex:
         The tail and level 1 make the new level 1; if that has more than ratio x file_rows rows, it is level 2 with what level 2
         holds, and so on: a level may be ratio times the one before, and a row is written once per level.
         """
+        if ratio < 2 or file_rows < 1:
+            raise ValueError("a level is at least twice the one below it, and a file holds a row")
         manifest = self.manifest(spark)
         tail = self.tail(spark, manifest)
         if not tail:
