@@ -216,20 +216,15 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, salt:
     return both.where(den * F.col("common") >= num * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b")
 
 
-def _hub_round(shared: DataFrame, group: DataFrame, nodes: DataFrame, coarse: DataFrame, hub: int, docs: DataFrame, n: int, salt: int, num: int, den: int) -> tuple[int, DataFrame]:
+def _hub_round(rest: DataFrame, hub: int, nodes: DataFrame, docs: DataFrame, n: int, salt: int, num: int, den: int) -> tuple[int, DataFrame]:
     """One node per shingle, another in every round, is compared with those of other components: pairs compared, and links found.
 
-    The order of nodes is the same for all shingles, so near copies meet the same hub; the rows are as many as the prefix entries.
+    The order of nodes is the same for all shingles, so near copies meet the same hub; the rows are as many as the entries.
     """
-    known = shared.select("token", "node", "place").distinct().join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    hubs = known.groupBy("token").agg(
-        F.min_by(F.struct("node", "component", "place"), F.xxhash64("node", F.lit(hub))).alias("h"), F.min("component").alias("x"), F.max("component").alias("y")
-    ).where("x <> y")
-    met = known.join(hubs.select("token", "h"), "token").where(F.col("component") != F.col("h.component")).select(
-        *_pair("node", "h.node")
-    ).distinct()
-    likely = met.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_", num, den)).select("a", "b")
-    likely = pin(likely)
+    hubs = rest.groupBy("token").agg(F.min_by(F.struct("node", "component", "size", *_ODD), F.xxhash64("node", F.lit(hub))).alias("h"))
+    met = rest.join(hubs.select("token", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("node", "component", "size", *_ODD)]), "token")
+    met = met.where((F.col("component") != F.col("h_component")) & _may_be_similar("", "h_", num, den))
+    likely = pin(met.select(*_pair("node", "h_node")).distinct())
     compared = likely.count()
     return compared, pin(_verified(likely, nodes, docs, n, salt, num, den)) if compared else likely
 
@@ -271,19 +266,21 @@ def jaccard_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
     first = first.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_", num, den)).select("a", "b")
     near = pin(_verified(first, nodes, docs, n, salt, num, den))
     group = pin(components(near))
+
+    # What shares a shingle with another component than its own.
+    known = shared.select("token", "node", "place").distinct().join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_tokens = known.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
+    rest = stored(known.join(open_tokens, "token").join(coarse, "node"), "jaccard-open")
     for hub in range(1, HUBS + 1):
-        compared, more = _hub_round(shared, group, nodes, coarse, hub, docs, n, salt, num, den)
+        compared, more = _hub_round(rest, hub, nodes, docs, n, salt, num, den)
         found = more.count()
         if found:
             near = pin(near.union(more))
             group = pin(components(near))
-        if found * WORTH < compared:
+            # Few rows beside all entries: those of shingles that one component does not hold alone.
+            rest = stored(rest.drop("component").join(group, "node", "left").withColumn("component", F.coalesce("component", "node")), "jaccard-open")
+        if found * WORTH < compared or not compared:
             break
-
-    # What shares a shingle with another component than its own.
-    known = shared.select("token", "node", "place").distinct().join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_tokens = known.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
-    rest = stored(known.join(open_tokens, "token").join(coarse, "node"), "jaccard-open")
     fields = ("node", "size", "place", "component", *_ODD)
     x, y = (rest.select("token", *[F.col(c).alias(f"{s}_{c}") for c in fields]) for s in "xy")
     size, other = F.col("x_size"), F.col("y_size")
