@@ -284,6 +284,6 @@ def test_toxicity_without_labels_or_texts(spark):
 
 
 def test_restored_texts(spark):
-    docs = clashing(spark.createDataFrame([(1, PLAIN, "en", "a", 1), (2, "an 1d10t", "en", "a", 1), (3, None, None, None, None)], DOCS))
+    docs = clashing(spark.createDataFrame([(1, PLAIN * 50, "en", "a", 1), (2, "an 1d10t", "en", "a", 1), (3, None, None, None, None)], DOCS))
     got = {r["doc_id"]: r["restored"] for r in toxicity.restore(docs).collect()}
     assert got[2] == "an idiot" and got[3] == ""
