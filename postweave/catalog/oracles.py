@@ -103,6 +103,7 @@ of_text("extract_title", first_match(T, X.TITLE_PATTERNS), "title")
 of_text("extract_company", first_match(T, X.COMPANY_PATTERNS), "company")
 of_text("extract_location", location(T), "location")
 of_text("extract_skills", skills(T), "skills")
+of_text("extract_names_one_pass", skills(T), "skills")
 of_text("extract_employment_type", employment(T), "employment_type")
 of_text("is_remote", remote(T), "remote")
 of_text("clean_description_of_postings", description(T), "description")

@@ -12,6 +12,7 @@ from postweave.catalog import inputs as I
 from postweave.catalog import payloads as L
 from postweave.functions import extract as X
 from postweave.functions import rules as R
+from postweave.functions.names import names_in
 from postweave.operators import breaker as B
 from postweave.operators import dedup as U
 from postweave.operators import deliver as D
@@ -76,6 +77,7 @@ _of_text("extract_title", X.title, alias=("title",))
 _of_text("extract_company", X.company, alias=("company",))
 _of_text("extract_location", X.location, alias=("location",))
 _of_text("extract_skills", lambda t: _joined(X.skills(t)), alias=("skills",))
+_of_text("extract_names_one_pass", lambda t: _joined(names_in(t, X.SKILLS)), alias=("skills",))
 _of_text("extract_employment_type", X.employment_type, alias=("employment_type",))
 _of_text("is_remote", X.is_remote, alias=("remote",))
 _of_text("clean_description_of_postings", X.description, alias=("description",))
