@@ -649,6 +649,19 @@ ORACLES["cycle_stats"] = ctes(records=RECORDS) + (
     "SELECT source, count(*) AS fetched, count(*) FILTER (delivered) AS parsed, count(*) FILTER (delivered) AS handoff_ok, "
     "count(*) FILTER (NOT coalesce(delivered, false)) AS errors FROM records GROUP BY 1"
 )
+_HOUR = "SELECT source, time_bucket(INTERVAL 1 HOUR, CAST(ts AS TIMESTAMP)) AS h, count(*) AS tries, count(*) FILTER (NOT ok) AS failures FROM records GROUP BY ALL"
+_AT = "'%Y-%m-%d %H:%M:%S'"
+ORACLES["fetch_windows"] = ctes(records=RECORDS, hours=_HOUR) + (
+    f"SELECT source, strftime(h, {_AT}) AS window_start, strftime(h + INTERVAL 1 HOUR, {_AT}) AS window_end, tries, failures FROM hours"
+)
+ORACLES["streaming_fetch_windows"] = ctes(records=RECORDS, hours=_HOUR) + f"SELECT source, strftime(h, {_AT}) AS window_start, tries, failures FROM hours"
+ORACLES["failure_sessions"] = ctes(
+    records=RECORDS,
+    failed="SELECT source, CAST(ts AS TIMESTAMP) AS ts, lag(CAST(ts AS TIMESTAMP)) OVER (PARTITION BY source ORDER BY ts) AS before FROM records WHERE NOT ok",
+    numbered="SELECT *, count(*) FILTER (before IS NULL OR ts - before > INTERVAL 2 HOUR) OVER (PARTITION BY source ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM failed",
+) + (
+    f"SELECT source, strftime(min(ts), {_AT}) AS session_start, epoch_us(max(ts) + INTERVAL 2 HOUR) AS end_us, count(*) AS failures FROM numbered GROUP BY source, k"
+)
 ORACLES["progress"] = "SELECT 'validating' AS step, count(*) AS current FROM orders"
 _STREAKS = dict(
     records=RECORDS,

@@ -29,6 +29,7 @@ from postweave.sources import grid as G
 from postweave.sources import html as H
 from postweave.sources import landed as S
 from postweave.streaming import cycle as C
+from postweave.streaming import windows as Y
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -732,6 +733,38 @@ def cycle_stats(spark, sf_dir):
     return M.cycle_stats(rows, "source")
 
 
+def _instant(name: str) -> Column:
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+
+
+@query
+def fetch_windows(spark, sf_dir):
+    """Tries and failures of every source by the hour."""
+    rows = Y.fetch_windows(I.records(spark, sf_dir), "1 hour")
+    return rows.select("source", _instant("window_start"), _instant("window_end"), *Y.COUNTS)
+
+
+@query
+def failure_sessions(spark, sf_dir):
+    """Outages: failures of a source that are no more than two hours apart."""
+    rows = Y.failure_sessions(I.records(spark, sf_dir), "2 hours")
+    return rows.select("source", _instant("session_start"), F.unix_micros("session_end").alias("end_us"), "failures")
+
+
+@query
+def streaming_fetch_windows(spark, sf_dir):
+    """The hourly windows of a stream of tries that land in three parts, as they stand in the end."""
+    root = _new_dir(spark)
+    rows = I.records(spark, sf_dir).select("source", "ts", "ok", "seq")
+    for n in range(3):
+        rows.filter(F.col("seq") % 3 == n).write.parquet(f"{root}/landed/part={n}")
+    stream = spark.readStream.schema("source string, ts timestamp, ok boolean").parquet(f"{root}/landed/part=*")
+    windows = Y.fetch_windows(stream.select("source", "ts", "ok"), "1 hour", late="5000 days")
+    Y.keep_windows(windows, f"{root}/windows", f"{root}/progress").awaitTermination()
+    last = Y.windows_of(spark.read.parquet(f"{root}/windows"), "source", "window_start", "window_end")
+    return last.select("source", _instant("window_start"), *Y.COUNTS)
+
+
 @query
 def progress(spark, sf_dir):
     """Counts seen while the validation step runs, as a table."""
