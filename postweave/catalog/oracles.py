@@ -317,6 +317,7 @@ ORACLES["drop_known"] = ctes(postings=POSTINGS) + (
     "SELECT seq, external_id FROM postings p WHERE mark <> 'F' AND NOT EXISTS "
     "(SELECT 1 FROM postings s WHERE s.mark = 'F' AND s.external_id = p.external_id AND s.external_id <> '')"
 )
+ORACLES["drop_known_by_filter"] = ORACLES["drop_known"]
 ORACLES["exists_by_external_id"] = ctes(postings=POSTINGS) + (
     "SELECT external_id, bool_or(mark = 'F') AS known FROM postings WHERE external_id IS NOT NULL GROUP BY 1"
 )

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from postweave import schemas as S
 from postweave.operators.jobindex import JobIndex, folders, write_text
+from postweave.operators.membership import KnownIds
 from postweave.session import pin
 
 
@@ -141,6 +142,11 @@ class JobTables:
         """Takes the runs saved since the last time into the levels of the index; the version that readers see from now on."""
         return self.index.compact(spark)
 
+    @property
+    def known(self) -> KnownIds:
+        """Filters over the stored external ids; runs that they do not hold yet are read."""
+        return KnownIds(self)
+
     def last_events(self, spark: SparkSession) -> DataFrame:
         """The last event of every job, without reading runs that a level of the index holds."""
         return self.index.last_events(spark)

@@ -37,13 +37,12 @@ def run_cycle(
     With `within`, a time such as '30 days', keys lie in Spark's own state and are forgotten after that time (`unique_rows`): no
     key folders, and of rows alike in one micro-batch any one wins.
     """
-    def others(spark) -> DataFrame | None:
-        """External ids of runs that are not of this stream; only their folders are listed."""
-        return intake.tables.raw_of_runs(spark, lambda run: not run.startswith(BATCH))
+    # Runs that are not of this stream; their filters are asked first.
+    other = ~F.col("run_id").startswith(BATCH)
 
     def one_unique_batch(batch: DataFrame, epoch: int) -> None:
-        run_id, known = batch_run_id(epoch), others(batch.sparkSession)
-        left = pin(batch.select("seq", "external_id") if known is None else U.drop_known(batch.select("seq", "external_id"), known))
+        run_id = batch_run_id(epoch)
+        left = pin(intake.tables.known.drop_known(batch.select("seq", "external_id"), other))
         parsed, sent = intake.process(U.rows_at(batch, left), run_id, SINGLE_NOTE)
         intake.tables.save_cycle(M.cycle_stats(results(parsed, sent)), run_id)
 
@@ -54,8 +53,8 @@ def run_cycle(
         # At most SEEN_PARTS numbers.
         parts = [r[0] for r in first.select(F.explode(F.array(seen_part(F.col("external_id")), seen_part(F.col("fp"))))).distinct().collect()]
         seen = tables.seen_keys(spark, parts).filter(F.col("run_id") != run_id)
-        ids, known = seen.filter("kind = 'id'").select(F.col("value").alias("external_id")), others(spark)
-        fresh = pin(U.drop_known(first, ids if known is None else ids.unionByName(known.select("external_id"))))
+        ids = seen.filter("kind = 'id'").select(F.col("value").alias("external_id"))
+        fresh = pin(U.drop_known(first, ids.unionByName(tables.known.stored(spark, first, other))))
         left = fresh
         if by_fingerprint:
             fps = seen.filter("kind = 'fp'").select(F.col("value").alias("fp")).distinct()
