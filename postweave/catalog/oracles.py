@@ -588,6 +588,7 @@ ORACLES["deliver"] = ctes(jobs=JOBS) + (
     "SELECT id AS job_id, n % 5 > 1 AS ok, CASE WHEN n % 5 = 1 THEN 3 ELSE 1 END AS attempts, "
     "CASE n % 5 WHEN 0 THEN 'refused' WHEN 1 THEN 'down' END AS error FROM jobs"
 )
+ORACLES["deliver_through_outbox"] = ORACLES["deliver"]
 ORACLES["delivery_status"] = ctes(jobs=JOBS) + (
     "SELECT id AS job_id, CASE WHEN n % 5 > 1 THEN 'sent' ELSE 'failed' END AS status, "
     "CASE n % 5 WHEN 0 THEN 'refused' WHEN 1 THEN 'down' ELSE 'Bulk auto-handoff' END AS reviewer_notes FROM jobs"

@@ -19,6 +19,7 @@ from postweave.operators import deliver as D
 from postweave.operators import latency as Q
 from postweave.operators import metrics as M
 from postweave.operators import model as N
+from postweave.operators import outbox as O
 from postweave.operators import parse as P
 from postweave.operators import review as V
 from postweave.operators import tables as T
@@ -652,6 +653,14 @@ def deliver(spark, sf_dir):
     return D.to_sender(_refusing)(D.to_payload(I.jobs(spark, sf_dir)))
 
 
+@query
+def deliver_through_outbox(spark, sf_dir):
+    """As deliver; what was sent is staged as it is sent, and a second delivery only tries those again that were refused."""
+    jobs, box = D.to_payload(I.jobs(spark, sf_dir)), O.Outbox(f"{_new_dir(spark)}/outbox")
+    box.deliver(jobs, _refusing, "run-1", tasks=8, batch=1_000)
+    return box.deliver(jobs, _refusing, "run-2", tasks=8, batch=1_000)
+
+
 @query
 def delivery_status(spark, sf_dir):
     sent = D.to_sender(_refusing)(D.to_payload(I.jobs(spark, sf_dir)))

@@ -41,27 +41,29 @@ def write_jsonl(payloads: DataFrame, path: str, mode: str = "append") -> None:
     payloads.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def attempt(send: Callable[[dict], None], body: dict, max_tries: int) -> tuple[str, bool, int, str | None]:
+    """job_id, ok, attempts, error. A refusal (code below 500) ends at once, other failures are tried again without delay."""
+    for n in range(1, max_tries + 1):
+        try:
+            send(body)
+        except Exception as e:  # noqa: BLE001 - the injected sender may raise anything
+            status = getattr(e, "status", None)
+            if n == max_tries or not isinstance(e, SendError) or (status is not None and status < 500):
+                return body["job_id"], False, n, str(e)
+        else:
+            return body["job_id"], True, n, None
+    raise ValueError("a payload is tried at least once")
+
+
 def deliver(payloads: DataFrame, send: Callable[[dict], None], max_tries: int = MAX_TRIES) -> DataFrame:
     """Sends each payload from the executors; one outcome row per job.
 
-    A refusal (code below 500) ends at once, other failures are tried again without delay. Delivery
-    is at least once: a repeated task sends again, so receivers key by job_id, and callers pin or
-    write the outcomes before using them.
+    Delivery is at least once: a repeated task sends again, so receivers key by job_id, and callers pin
+    or write the outcomes before using them. `outbox` sends again only what is in doubt.
     """
-    def one(body: dict) -> tuple:
-        for attempt in range(1, max_tries + 1):
-            try:
-                send(body)
-            except Exception as e:  # noqa: BLE001 - the injected sender may raise anything
-                status = getattr(e, "status", None)
-                if attempt == max_tries or not isinstance(e, SendError) or (status is not None and status < 500):
-                    return body["job_id"], False, attempt, str(e)
-            else:
-                return body["job_id"], True, attempt, None
-
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            outcomes = [one(body) for body in part.to_pylist()]
+            outcomes = [attempt(send, body, max_tries) for body in part.to_pylist()]
             yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, o)) for o in outcomes], schema=_ARROW)
 
     return payloads.mapInArrow(batches, OUTCOME)
