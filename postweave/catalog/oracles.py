@@ -402,6 +402,10 @@ ORACLES["raw_from_rss"] = ctes(postings=POSTINGS) + (
 for _name in ("raw_from_jsearch", "raw_from_adzuna", "raw_from_workable", "raw_from_rss"):
     ORACLES[_name] = identified(ORACLES[_name])
 
+ORACLES["streaming_landed"] = " UNION ALL ".join(
+    f"SELECT source, external_id, raw_text, source_url FROM ({ORACLES[n]})" for n in ("raw_from_workable", "raw_from_rss")
+)
+
 _ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 )

@@ -30,6 +30,7 @@ from postweave.sources import grid as G
 from postweave.sources import html as H
 from postweave.sources import landed as S
 from postweave.streaming import cycle as C
+from postweave.streaming import landing as Z
 from postweave.streaming import windows as Y
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,6 +376,18 @@ _source("raw_from_workable", S.raw_from_workable, L.workable_pages)
 _source("raw_from_rss", S.raw_from_rss, L.rss_feeds)
 
 
+@query
+def streaming_landed(spark, sf_dir):
+    """Payload folders of two sources as one stream into a table."""
+    root = _new_dir(spark)
+    landed = {"workable": f"{root}/workable", "indeed_rss": f"{root}/feeds"}
+    for pages, folder in ((L.workable_pages, landed["workable"]), (L.rss_feeds, landed["indeed_rss"])):
+        pages(spark, sf_dir).write.json(folder)
+    rows = Z.raw_of_folders(spark, landed, files_per_batch=4)
+    rows.writeStream.format("parquet").option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start(f"{root}/raw").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{root}/raw").select("source", "external_id", "raw_text", "source_url")
+
+
 @query
 def unreadable_feeds(spark, sf_dir):
     """Feeds that could not be read, with the number of postings that are lost with each."""
