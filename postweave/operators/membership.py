@@ -132,18 +132,22 @@ class KnownIds:
         spark.createDataFrame(entries, _MANIFEST).coalesce(1).write.mode("error").parquet(self._at("manifest", f"version={version:012d}"))
         return version
 
-    def stored(self, spark: SparkSession, asked: DataFrame, which: Column | None = None) -> DataFrame:
+    def stored(self, spark: SparkSession, asked: DataFrame, besides: str | None = None) -> DataFrame:
         """external_id of stored rows, holding all those of asked (external_id) that are stored, and as few others as the filters let through.
 
-        which: a condition on run_id that the runs asked for meet. Null and empty ids are not stored.
+        besides: a run that is left out, or, with a star at its end, all runs whose names begin so; their folders are not opened.
+        Null and empty ids are not stored.
         """
         held = self.manifest(spark)
         tail = self._tail(spark, held)
-        which = F.lit(True) if which is None else which
+        out_of = lambda run: besides is not None and (run.startswith(besides[:-1]) if besides.endswith("*") else run == besides)
+        run_id = F.col("run_id")
+        which = F.lit(True) if besides is None else ~run_id.startswith(besides[:-1]) if besides.endswith("*") else run_id != besides
         repeated = sorted(set(tail) & set(held.runs))
         out = spark.createDataFrame([], "external_id string")
-        if tail:
-            out = out.unionByName(self.tables.raw_of_runs(spark, lambda run: run in tail).where(which).select("external_id"))
+        new = self.tables.raw_of_runs(spark, lambda run: run in tail and not out_of(run))
+        if new is not None:
+            out = out.unionByName(new.select("external_id"))
         wanted = pin(asked.where(~blank(F.col("external_id"))).select("external_id").distinct()) if held.levels else None
         for name, (_, blocks) in sorted(held.levels.items()):
             bloom = spark.read.schema(_FILTER).parquet(self._at(name, "filter"))
@@ -155,7 +159,7 @@ class KnownIds:
                 out = out.unionByName(ids.join(maybe, "external_id", "left_semi").select("external_id"))
         return out
 
-    def drop_known(self, rows: DataFrame, which: Column | None = None, spread: int = 1) -> DataFrame:
+    def drop_known(self, rows: DataFrame, besides: str | None = None, spread: int = 1) -> DataFrame:
         """Rows whose external id is not stored; rows without id pass. As `dedup.drop_known`, with the filters asked first."""
         asked = rows.select(or_null(F.col("external_id")).alias("external_id"))
-        return U.drop_known(rows, self.stored(rows.sparkSession, asked, which), spread)
+        return U.drop_known(rows, self.stored(rows.sparkSession, asked, besides), spread)

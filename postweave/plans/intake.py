@@ -219,7 +219,7 @@ def run_bulk(
             raw, keys = U.union_sources(*(f for f, _ in fetched)), U.union_sources(*(k for _, k in fetched))
             kept = pin(U.take_target(U.survivors(keys, by_fingerprint), target))
             # The run's own folder is left out, so that a repeated run finds its rows new again.
-            new = pin(intake.tables.known.drop_known(kept, F.col("run_id") != run_id))
+            new = pin(intake.tables.known.drop_known(kept, besides=run_id))
             records = pin(_fetched(run_id, U.dedup_stats(keys, by_fingerprint, target, kept), kept, new))
             records = records.unionByName(_processed(run_id, *intake.process(U.rows_at(raw, new), run_id, BULK_NOTE)))
             latency = _latency(intake, spark, run_id)

@@ -37,12 +37,9 @@ def run_cycle(
     With `within`, a time such as '30 days', keys lie in Spark's own state and are forgotten after that time (`unique_rows`): no
     key folders, and of rows alike in one micro-batch any one wins.
     """
-    # Runs that are not of this stream; their filters are asked first.
-    other = ~F.col("run_id").startswith(BATCH)
-
     def one_unique_batch(batch: DataFrame, epoch: int) -> None:
         run_id = batch_run_id(epoch)
-        left = pin(intake.tables.known.drop_known(batch.select("seq", "external_id"), other))
+        left = pin(intake.tables.known.drop_known(batch.select("seq", "external_id"), besides=BATCH + "*"))
         parsed, sent = intake.process(U.rows_at(batch, left), run_id, SINGLE_NOTE)
         intake.tables.save_cycle(M.cycle_stats(results(parsed, sent)), run_id)
 
@@ -54,7 +51,7 @@ def run_cycle(
         parts = [r[0] for r in first.select(F.explode(F.array(seen_part(F.col("external_id")), seen_part(F.col("fp"))))).distinct().collect()]
         seen = tables.seen_keys(spark, parts).filter(F.col("run_id") != run_id)
         ids = seen.filter("kind = 'id'").select(F.col("value").alias("external_id"))
-        fresh = pin(U.drop_known(first, ids.unionByName(tables.known.stored(spark, first, other))))
+        fresh = pin(U.drop_known(first, ids.unionByName(tables.known.stored(spark, first, besides=BATCH + "*"))))
         left = fresh
         if by_fingerprint:
             fps = seen.filter("kind = 'fp'").select(F.col("value").alias("fp")).distinct()
