@@ -23,6 +23,8 @@ from postweave.session import pin
 
 # Rows of one index file, and by how much a level may be larger than the one below it.
 FILE_ROWS, RATIO = 1_000_000, 8
+# A level of more files than this gets larger files instead, so what the driver samples, lists and holds of it is bounded.
+LEVEL_FILES = 1_000
 # Tables whose runs the index takes in.
 ROWS, EVENTS = "parsed_jobs", "status_log"
 
@@ -195,7 +197,8 @@ class JobIndex:
         """Takes the tail into the levels; the version of the new manifest, or of the present one if nothing is new.
 
         The tail and level 1 make the new level 1; if that has more than ratio x file_rows rows, it is level 2 with what level 2
-        holds, and so on: a level may be ratio times the one before, and a row is written once per level.
+        holds, and so on: a level may be ratio times the one before, and a row is written once per level. Files hold file_rows rows,
+        or more where a level would have over LEVEL_FILES of them.
         """
         if ratio < 2 or file_rows < 1:
             raise ValueError("a level is at least twice the one below it, and a file holds a row")
@@ -220,15 +223,16 @@ class JobIndex:
         folder = self._at("job_index", f"level-{level}-{uuid.uuid4().hex}")
         # Events without their rows come last, so few files hold any.
         order = [F.col("of_row").isNull(), F.col("status"), F.col("job_id")]
-        whole = self._merged(parts).repartitionByRange(max(1, -(-held // file_rows)), *order).sortWithinPartitions(*order)
-        writer = whole.write.option("parquet.bloom.filter.enabled#job_id", "true").option("parquet.bloom.filter.expected.ndv#job_id", str(file_rows))
+        files = min(max(1, -(-held // file_rows)), LEVEL_FILES)
+        whole = self._merged(parts).repartitionByRange(files, *order).sortWithinPartitions(*order)
+        writer = whole.write.option("parquet.bloom.filter.enabled#job_id", "true").option("parquet.bloom.filter.expected.ndv#job_id", str(max(file_rows, -(-held // files))))
         writer.parquet(folder)
-        files = (
+        listed = (
             spark.read.schema(_LEVEL).parquet(folder).select("job_id", "status", F.col("of_row").isNull().alias("alone"), F.col("_metadata.file_name").alias("name"))
             .groupBy("name", "status").agg(F.count(F.lit(1)).alias("n"), F.count_if("alone").alias("at"), F.min("job_id").alias("low"), F.max("job_id").alias("high"))
         )
         null = lambda t: F.lit(None).cast(t)
-        named = files.select(
+        named = listed.select(
             F.lit("file").alias("kind"), F.lit(level).alias("level"), F.lit(folder).alias("folder"), "name", null("string").alias("run_id"), "at", "status", "n", "low", "high"
         )
         if manifest.version:

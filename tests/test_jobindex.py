@@ -86,6 +86,19 @@ def test_events_before_their_rows(spark, store):
     check(spark, store, named("z", 8)[3:5])
 
 
+def test_a_level_has_a_bounded_number_of_files(spark, store, monkeypatch):
+    """More rows make larger files: what the driver samples and lists of a level does not grow with the store."""
+    monkeypatch.setattr("postweave.operators.jobindex.LEVEL_FILES", 3, raising=False)
+    for k in range(2):
+        store.save_parsed(parsed(spark, named(f"r{k}", 40)), f"run-{k}")
+        store.log_status(events(spark, named(f"r{k}", 40)[:7], "sent", k), f"run-{k}")
+        store.index.compact(spark, ratio=100, file_rows=2)
+    manifest = store.index.manifest(spark)
+    files = spark.read.parquet(manifest.levels[1]).inputFiles()
+    assert list(manifest.levels) == [1] and 1 < len(files) <= 3
+    check(spark, store, [named("r0")[3], named("r1", 40)[39]])
+
+
 def test_current_status_reads_the_newest_levels_and_the_tail(spark, store):
     for k in range(6):
         store.save_parsed(parsed(spark, named(f"r{k}", 5)), f"run-{k}")
