@@ -881,32 +881,31 @@ def bulk_ingest(spark, sf_dir):
     return done.select(*M.COUNTS, _joined(per_source).alias("per_source"))
 
 
-def _landed(spark, sf_dir, root: str) -> DataFrame:
-    """Postings as a stream of three parts."""
-    raw = I.postings(spark, sf_dir).drop("mark")
+def _stream_of_parts(spark, sf_dir, **options) -> DataFrame:
+    """Raw rows kept of postings that land in three parts. A part is a micro-batch, whatever the number of its files: the stream is
+    run when it has landed, and goes on behind it when the next one has."""
+    root = _new_dir(spark)
+    store, raw = _intake(spark, root), I.postings(spark, sf_dir).drop("mark")
     top = raw.agg(F.max("seq")).scalar()
     for i in range(3):
         part = raw.filter((F.col("seq") * 3 > top * i) if i else F.lit(True)).filter(F.col("seq") * 3 <= top * (i + 1))
         part.write.mode("append").parquet(f"{root}/landed/part={i}")
-    return spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed/part=*")
+        rows = spark.readStream.schema(raw.schema).parquet(f"{root}/landed/part=*")
+        C.run_cycle(store, rows, f"{root}/progress", **options).awaitTermination()
+    return store.tables.raw(spark)
 
 
 @query
 def streaming_ingest(spark, sf_dir):
     """Postings land in three parts; the stream keeps the rows that one batch over all would keep."""
-    root = _new_dir(spark)
-    rows, store = _landed(spark, sf_dir, root), _intake(spark, root)
-    C.run_cycle(store, rows, f"{root}/progress").awaitTermination()
-    return _flat_raw(store.tables.raw(spark))
+    return _flat_raw(_stream_of_parts(spark, sf_dir))
 
 
 @query
 def streaming_ingest_in_state(spark, sf_dir):
     """The same stream with its keys in Spark's state: rows kept per external id."""
-    root = _new_dir(spark)
-    rows, store = _landed(spark, sf_dir, root), _intake(spark, root)
-    C.run_cycle(store, rows, f"{root}/progress", by_fingerprint=False, within="5000 days").awaitTermination()
-    return store.tables.raw(spark).groupBy("external_id").agg(F.count(F.lit(1)).alias("rows"))
+    kept = _stream_of_parts(spark, sf_dir, by_fingerprint=False, within="5000 days")
+    return kept.groupBy("external_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query

@@ -315,3 +315,24 @@ def test_progress_is_read_while_a_run_goes_on(spark, store, to_files):
     assert seen == [("fetching", 1, 2), ("saving", 3, 3), ("parsing", 3, 3)]
     last = store.progress(spark).orderBy("at").collect()[-1]
     assert (last.run_id, last.step, last.current, last.total) == ("r", "delivering", 3, 3)
+
+
+def test_parts_of_many_files_are_kept_as_one_batch_would(spark, tmp_path):
+    """A part that lands as several files, dealt by a key other than the arrival, is still one micro-batch."""
+    from postweave.catalog.queries import QUERIES
+
+    for t in ("customer", "nation"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    # Every external id stands six times, twice in each part.
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").filter("o_orderkey between 1 and 60")
+    orders.withColumn("o_orderkey", F.expr("o_orderkey % 10 + 1 + 9000 * (o_orderkey div 10)")).write.parquet(f"{tmp_path}/orders.parquet")
+    shuffled = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in shuffled}
+    for k, v in shuffled.items():
+        spark.conf.set(k, v)
+    try:
+        got = QUERIES["streaming_ingest"](spark, str(tmp_path)).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, QUERIES["dedup_postings"](spark, str(tmp_path)).collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
