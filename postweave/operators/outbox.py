@@ -15,10 +15,11 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from itertools import batched
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from postweave.operators.deliver import MAX_TRIES, OUTCOME, attempt
 from postweave.operators.jobindex import folders
@@ -58,19 +59,22 @@ class _Done(WriterCommitMessage):
     sent: int
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
+    """Takes whole Arrow batches: a payload reaches the sender as the dict that `deliver` gives it, without a row object in between."""
+
     def __init__(self, root: str, run_id: str, send: Callable[[dict], None], batch: int, max_tries: int):
         self.root, self.run, self.send, self.batch, self.max_tries = root, f"run_id={run_id}", send, batch, max_tries
 
-    def write(self, iterator: Iterator) -> WriterCommitMessage:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         mine = f"part-{TaskContext.get().partitionId():06d}-"
         # What earlier tries of this task have sent.
         done = {o["job_id"] for o in _lines(self.root, f"sent/{self.run}", mine) if o["ok"]}
         n = 0
-        for rows in batched((r for r in iterator if r["job_id"] not in done), self.batch):
+        bodies = (body for part in iterator for body in part.to_pylist())
+        for rows in batched((b for b in bodies if b["job_id"] not in done), self.batch):
             name = f"{self.run}/{mine}{uuid.uuid4().hex}.json"
             _put(self.root, f"claimed/{name}", [{"job_id": r["job_id"]} for r in rows])
-            outcomes = [attempt(self.send, r.asDict(recursive=True), self.max_tries) for r in rows]
+            outcomes = [attempt(self.send, r, self.max_tries) for r in rows]
             at = datetime.now(timezone.utc).isoformat()
             _put(self.root, f"sent/{name}", [dict(zip(("job_id", "ok", "attempts", "error"), o)) | {"at": at} for o in outcomes])
             n += len(rows)
@@ -89,7 +93,7 @@ def _source(name: str, *parts) -> type[DataSource]:
         def name(cls) -> str:
             return name
 
-        def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
             return _Writer(*parts)
 
     return OutboxSource

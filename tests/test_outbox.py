@@ -62,3 +62,12 @@ def test_no_payloads(spark, tmp_path):
     box = Outbox(f"{tmp_path}/box")
     assert box.deliver(payloads(spark, 0), sender(f"{tmp_path}/log"), "run-1").count() == 0
     assert box.ledger(spark).count() == 0
+
+
+def test_the_sender_gets_what_a_plain_delivery_gives_it(spark, tmp_path):
+    def tell(body):
+        raise D.SendError(repr(sorted(body.items())), 400)
+
+    jobs = payloads(spark, 5).withColumn("submitted_at", F.timestamp_seconds(F.lit(7)))
+    boxed = Outbox(f"{tmp_path}/box").deliver(jobs, tell, "run-1", tasks=2, batch=2)
+    assert sorted(boxed.collect()) == sorted(D.deliver(jobs, tell).collect())
