@@ -130,7 +130,7 @@ def _amount(digits: Column) -> Column:
 
 
 # Cheap test that any salary match implies; spares most texts the two full scans.
-_RANGE_HINT = java_pattern(r"[\d,k]\s*(?:-|–|to)", ANYWHERE)
+_RANGE_HINT = java_pattern(r"[\d,k]\s*(?:-|–|to)\s*(?:\$|USD|GBP|EUR)?\s*\d", ANYWHERE)
 
 
 def salary(text: Column) -> Column:

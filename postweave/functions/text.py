@@ -6,7 +6,8 @@ from pyspark.sql import Column, functions as F
 
 # Python counts \x1c-\x1f as whitespace, Java's \s does not.
 SPACE = r"[\s\x1c-\x1f]"
-_TRIM = rf"(?U)^{SPACE}++|{SPACE}++$"
+# The same characters one by one: trimming looks at both ends only, a pattern at every run in between.
+SPACES = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _RUN = rf"(?U){SPACE}++"
 
 
@@ -16,7 +17,7 @@ def java_pattern(pattern: str, flags: str = "imdU") -> str:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _TRIM, "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def squeeze(c: Column) -> Column:

@@ -226,7 +226,9 @@ class _Answer:
     def strings(self, path: str) -> Column:
         got, k = self._get(path)
         read = F.coalesce(F.try_variant_get(self.v, path, "array<string>"), _no_strings())
-        self.unfit.append(~k.isin("MISSING", "ARRAY<STRING>", "ARRAY<VOID>") | F.exists(read, F.isnull))
+        # Sorting puts nulls first; a lambda would be interpreted and read the variant once more.
+        null_in = (F.size(read) > 0) & F.get(F.sort_array(read), F.lit(0)).isNull()
+        self.unfit.append(~k.isin("MISSING", "ARRAY<STRING>", "ARRAY<VOID>") | null_in)
         return read
 
 
@@ -256,18 +258,17 @@ def decode_model_json(answers: DataFrame, now: Column | None = None, carry: Sequ
         "confidence": a.number("$.confidence", 1.0),
         "parse_warnings": a.strings("$.parse_warnings"),
     }
-    is_object = F.coalesce(J.kind(F.col("_v")), F.lit("")).startswith("OBJECT<")
     unfit = ~no_money & ~money_kind.startswith("OBJECT<")
     for u in a.unfit:
         unfit = unfit | F.coalesce(u, F.lit(False))
     reason = (
         F.when(F.col("_v").isNull(), "not valid JSON")
-        .when(~is_object, "not a JSON object")
+        .when(~F.col("_object"), "not a JSON object")
         .when(unfit, "field of the wrong type")
     )
     read = (
         answers.select("raw_id", "model_used", _unfenced(F.col("response")).alias("_json"), *carry)
-        .select("raw_id", "model_used", v.alias("_v"), *carry)
+        .select("raw_id", "model_used", v.alias("_v"), F.startswith("_json", F.lit("{")).alias("_object"), *carry)
         .select("raw_id", "model_used", *carry, reason.alias("_why"), (~no_money).alias("_paid"),
                 *(c.alias(n) for n, c in fields.items()))
     )

@@ -5,6 +5,7 @@ from hypothesis import given, settings, strategies as st, HealthCheck
 from pyspark.sql import functions as F
 
 from postweave.functions import extract as X
+from postweave.functions.text import strip
 from tests import bruteforce as B
 
 # id: (text, title, company, location, salary, employment, skills, remote)
@@ -106,3 +107,17 @@ def test_description_without_limits(spark):
     full = [r[0] for r in df.select(X.description(F.col("t"), None, None)).collect()]
     assert full == [text, "x" * 5000]
     assert [len(r[0].split("\n")) for r in df.select(X.description(F.col("t"))).collect()] == [100, 1]
+
+
+def test_strip_trims_as_python_without_a_pattern(spark):
+    marks = [chr(i) for i in range(0x3001) if chr(i).isspace()] + ["​", "﻿", "\x00", "x", "\U0001f600"]
+    texts = [*(m + "a " + m + " b" + m for m in marks), "".join(marks[:-5]), "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip(F.col("t")).alias("s"))
+    assert all(r.s == (None if r.t is None else r.t.strip()) for r in df.collect())
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_salary_hint_passes_only_what_may_be_a_range(spark):
+    texts = ["- priority 1-URGENT", "5 to ten", "90k to 120k", "Pay: 5,000 - USD 9,000", "20,000–EUR\n30,000"]
+    got = {r.t: r.h for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").rlike(X._RANGE_HINT).alias("h")).collect()}
+    assert got == dict(zip(texts, [False, False, True, True, True]))

@@ -246,6 +246,12 @@ def test_decoding(spark):
         assert usable(answer) == (want is not None), answer
 
 
+def test_decoding_reads_lists_in_generated_code(spark):
+    """A lambda would be interpreted, with the reading of the variant under it."""
+    df = spark.createDataFrame([], "raw_id string, model_used string, response string")
+    assert "exists(" not in P.decode_model_json(df)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def usable(answer):
     try:
         return N._usable(answer)
