@@ -63,3 +63,21 @@ def test_wrapper_is_union_free():
 def test_copies_of_a_page_are_no_frame():
     same = page(1, 4, article=False)
     assert W.extract(same, W.infer([same, same.replace("Title 1", "Title 9"), same.replace("©", "c")]), {}) == want(1, 4)
+
+
+def test_wrappers_come_from_all_pages(spark):
+    """What one page in 300 has, or changes, is in the wrapper; however the rows are dealt, it is the same."""
+    rows = [(f"http://all.example/{i}", page(i, 2, extra={70: "<pre>once</pre>", 140: "<dl><dt>two</dt></dl>", 210: "<table><tr><td>3</td></tr></table>"}.get(i, ""))) for i in range(300)]
+    df = spark.createDataFrame([(u, h.replace("Side", "Other side") if i == 33 else h) for i, (u, h) in enumerate(rows)], "url string, html string")
+    (made,) = [json.loads(r.wrapper) for r in W.wrappers(df).collect()]
+    optional = {x["k"] for x in made[0]["nodes"] if x["o"]}
+    assert len(made) == 1 and {"<pre>", "<dl>", "<table>"} <= optional and "<article>" not in optional
+    assert [x["t"] for x, _ in W._slots(made[0]["nodes"]) if x["p"][-1] == "aside"] == [None]
+    assert [json.loads(r.wrapper) for r in W.wrappers(df.repartition(7), held=50).collect()] == [made]
+
+
+def test_two_templates_of_a_host(spark):
+    """One template has an article element, the other has none: neither decides for the other."""
+    rows = [(i, "http://two.example/", page(i, i % 3 + 1, article=i % 20 == 0)) for i in range(60)]
+    got = {r.page_id: r.text for r in W.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: want(i, i % 3 + 1) for i in range(60)}
