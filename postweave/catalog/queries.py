@@ -843,7 +843,7 @@ def _delivered(spark, root: str) -> DataFrame:
 @query
 def ingest_manual(spark, sf_dir):
     """Counts of the results, and how many of their payloads stand in the delivered files."""
-    texts = I.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("text").alias("raw_text"))
+    texts = I.spread_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("text").alias("raw_text"))
     root = _new_dir(spark)
     done = J.ingest(_intake(spark, root), S.raw_manual(texts), "run-1")
     both = done.join(_delivered(spark, root).select("job_id", F.lit(1).alias("written")), "job_id", "left")
@@ -853,7 +853,7 @@ def ingest_manual(spark, sf_dir):
 @query
 def ingest_two_runs(spark, sf_dir):
     """Two runs whose rows are numbered alike: every row has an id of its own, and a rejection in one run stays in it."""
-    docs = I.table(spark, sf_dir, "documents")
+    docs = I.spread_table(spark, sf_dir, "documents")
     root = _new_dir(spark)
     store = _intake(spark, root)
     for run, text in (("run-9", F.col("text")), ("run-10", F.concat(F.lit("Title: Second\n"), "text"))):

@@ -35,6 +35,16 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """The rows of a plain scan over all cores, by a unique key, for costly work per row.
+
+    A file is read by row group: a table of few groups keeps few tasks busy, and a split without a group has no rows. A scan of at
+    least four splits a core is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(2 * cores, key) if scan.rdd.getNumPartitions() < 4 * cores else scan
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Computes df once into reliable storage, so that every later use sees the same rows."""
     spark = df.sparkSession

@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from postweave.catalog import inputs as I
 from postweave.catalog.inputs import TABLES
 from postweave.catalog.oracles import ORACLES
 from postweave.catalog.queries import QUERIES
@@ -35,3 +36,11 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", SAMPLE)
 def test_sample(spark, con, name):
     assert compare(spark, con, SF_DIR, name, entry.queries()[name], entry.oracle_sql()[name]).startswith("ok")
+
+
+def test_costly_scans_lie_over_all_cores(spark, tmp_path):
+    """One row group is one task: its rows are dealt to all cores before they are parsed, none lost."""
+    spark.range(1000).selectExpr("id AS o_orderkey", "repeat('x', 50) AS t").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    got = I.spread_table(spark, str(tmp_path), "orders")
+    assert got.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert min(got.rdd.glom().map(len).collect()) > 0 and got.distinct().count() == 1000
