@@ -43,10 +43,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Whether the shuffle files of a query are deleted when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as a table in the shared folder and read again: as pinning, but columnar and compressed."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    """df written as a table in the shared folder and read again: as pinning, but columnar and compressed, and without its shuffles."""
+    path, conf = new_folder(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(CLEANUP)
+        else:
+            conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,6 +9,7 @@ from postweave.llm import jaccard as J
 from postweave.llm import lm as M
 from postweave.llm import mixing as X
 from postweave.llm import tokens as K
+from postweave.llm import common
 from postweave.llm.components import components
 from tests.llm.fixtures import DOCS, awkward, clashing, spaced
 
@@ -313,3 +314,25 @@ def test_lm_learns_every_word(spark):
         assert len(got) == len(texts) and all(abs(got[i].score - score(spaced(t) + ["</s>"])) < 1e-6 for i, t in texts)
     good, bad = sum(got[i].score for i, _ in ordered), sum(got[i].score for i, _ in mixed)
     assert good > sum(got[i].base_score for i, _ in ordered) + 400 and good > bad + 400
+
+
+def test_lm_tables_are_small(spark, tmp_path, monkeypatch):
+    """What the model keeps in the shared folder is a few bytes a token, whatever the words; scores don't depend on chunks and parts."""
+    rng = np.random.default_rng(8)
+    texts = [(i, " ".join(f"v{x}" for x in rng.zipf(1.3, 500))) for i in range(200)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(common, "new_folder", lambda spark, name: f"{tmp_path}/{name}")
+    want = {r.doc_id: r.score for r in M.lm_scores(df).collect()}
+    used = sum(f.stat().st_size for f in tmp_path.rglob("part-*")) / (200 * 501)
+    assert used < 6
+    monkeypatch.undo()
+    monkeypatch.setattr(M, "HELD", 3_000)
+    monkeypatch.setattr(M, "PART", 7_000)
+    got = {r.doc_id: r.score for r in M.lm_scores(df, 50).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in want)
+
+
+def test_stored_leaves_no_shuffle_files_setting(spark, tmp_path):
+    before = spark.conf.get(common.CLEANUP, None)
+    assert common.stored(spark.range(10).groupBy("id").count(), "kept").count() == 10
+    assert spark.conf.get(common.CLEANUP, None) == before
