@@ -214,6 +214,22 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, salt:
     return both.where(den * F.col("common") >= num * (F.col("a_size") + F.col("b_size") - F.col("common"))).select("a", "b")
 
 
+def _pivots(shared: DataFrame, num: int, den: int) -> DataFrame:
+    """(token, pivot): the node of each shingle that has the largest part of its prefix in common with others.
+
+    Every change to a copy makes shingles that no other text has, and these are the rarest, so they come first. The text that copies
+    were made of, or the copy with the fewest changes, has the fewest of them, and the other copies are more similar to it than to
+    each other.
+    """
+    rows = shared.select("token", "node", "size").distinct()
+    central = rows.groupBy("node").agg((F.count("*") / _prefix_of(F.first("size"), num, den)).alias("part"))
+    return rows.join(central, "node").groupBy("token").agg(F.max(F.struct("part", "node")).alias("best")).select("token", F.col("best.node").alias("pivot"))
+
+
+def _prefix_of(size: Column, num: int, den: int) -> Column:
+    return size - F.ceil(F.lit(num) * size / F.lit(den)).cast("int") + 1
+
+
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -238,7 +254,7 @@ def jaccard_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
         salt += 1
     sketch = docs.sparkSession.sparkContext.broadcast(_sketch(measured))
     entries = _entries(docs, sketch, n, salt, num, den)
-    met = entries.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last").select("token", "pivot")
+    met = entries.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("last")).where("least <> last").select("token")
     # Copies within a task are already one; those of several tasks are dealt with where the rows are few.
     shared = stored(entries.join(met, "token"), "jaccard-shared")
     member = per.join(shared.select("node").distinct(), "node")
@@ -247,7 +263,8 @@ def jaccard_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
     nodes = stored(nodes, "jaccard-nodes")
     coarse = nodes.select("node", "size", *_ODD)
 
-    first = shared.where("node <> pivot").select(*_pair("node", "pivot")).distinct()
+    pivots = _pivots(shared, num, den)
+    first = shared.join(pivots, "token").where("node <> pivot").select(*_pair("node", "pivot")).distinct()
     first = first.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_", num, den)).select("a", "b")
     near = pin(_verified(first, nodes, docs, n, salt, num, den))
     group = pin(components(near))

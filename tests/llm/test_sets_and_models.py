@@ -174,6 +174,23 @@ def test_mix_of_many_sources_and_empty_ones(spark):
     assert all(abs(taken[s] - want[s]) <= 1 for s in want)
 
 
+def test_edited_copies_meet_at_their_source(spark, monkeypatch):
+    """Copies that are similar to their source only are linked in as many pairs as there are copies, not compared with each other."""
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 5_000, 400)]
+    texts = [" ".join(base)]
+    for c in range(60):
+        own = list(base)
+        for x in rng.choice(400, 7, replace=False):
+            own[x] = f"c{c}x{x}"
+        texts.append(" ".join(own))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    asked, verified = [], J._verified
+    monkeypatch.setattr(J, "_verified", lambda pairs, *rest: asked.append(pairs.count()) or verified(pairs, *rest))
+    got = J.jaccard_groups(df, 5, 80, 100).select("doc_id", "component_id").collect()
+    assert {r.component_id for r in got} == {0} and sum(asked) <= 180
+
+
 # ── token shards ────────────────────────────────────────────────────────────────────────────────
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 65, 1000])
