@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from postweave.llm.common import SPACED_BYTES, Words, small_batches, stored
 from postweave.llm.components import components
@@ -143,6 +143,20 @@ def _entries(docs: DataFrame, sketch, n: int, salt: int, num: int, den: int) ->
     return docs.select("text").mapInArrow(run, "token bigint, node bigint, size int, place int")
 
 
+def _shared(entries: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The distinct entries whose shingle is also in the prefix of another node of a size that a similar set can have.
+
+    In the order of sizes the next set on either side is the one nearest in size, so no link is lost. Most shingles that meet by
+    chance, which grow faster than the texts, do so in texts of other lengths. The entries are made and dealt once; a shingle has at
+    most one row for each node.
+    """
+    rows = entries.repartition("token").dropDuplicates(["token", "node"])
+    by_size = Window.partitionBy("token").orderBy("size", "node")
+    smaller, larger = F.lag("size").over(by_size), F.lead("size").over(by_size)
+    near = (den * smaller >= num * F.col("size")) | (den * F.col("size") >= num * larger)
+    return rows.withColumn("near", near).where("near").drop("near")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, n: int, salt: int, most: int = 500_000) -> DataFrame:
     """(node, size, own) of the wanted (node, w_doc_id, w_tkey): the sorted hashes.
 
@@ -205,7 +219,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, salt:
     apart = F.arrow_udf(_fine_apart, T.IntegerType())
     allowed = F.col("a_size") + F.col("b_size") - 2 * _need(F.col("a_size"), F.col("b_size"), num, den)
     likely = pairs.join(_side(fine, "a"), "a").join(_side(fine, "b"), "b").where(apart("a_fine", "b_fine") <= allowed).select("a", "b")
-    likely = pin(likely)
+    likely = stored(likely, "jaccard-likely")
     if likely.isEmpty():
         return likely
     ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
@@ -221,7 +235,7 @@ def _pivots(shared: DataFrame, num: int, den: int) -> DataFrame:
     were made of, or the copy with the fewest changes, has the fewest of them, and the other copies are more similar to it than to
     each other.
     """
-    rows = shared.select("token", "node", "size").distinct()
+    rows = shared.select("token", "node", "size")
     central = rows.groupBy("node").agg((F.count("*") / _prefix_of(F.first("size"), num, den)).alias("part"))
     return rows.join(central, "node").groupBy("token").agg(F.max(F.struct("part", "node")).alias("best")).select("token", F.col("best.node").alias("pivot"))
 
@@ -253,10 +267,7 @@ def jaccard_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
             break
         salt += 1
     sketch = docs.sparkSession.sparkContext.broadcast(_sketch(measured))
-    entries = _entries(docs, sketch, n, salt, num, den)
-    met = entries.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("last")).where("least <> last").select("token")
-    # Copies within a task are already one; those of several tasks are dealt with where the rows are few.
-    shared = stored(entries.join(met, "token"), "jaccard-shared")
+    shared = stored(_shared(_entries(docs, sketch, n, salt, num, den), num, den), "jaccard-shared")
     member = per.join(shared.select("node").distinct(), "node")
     first_row = F.min(F.struct("doc_id", "tkey", F.col("n_shingles").cast("int").alias("size"), *_ODD, "fine")).alias("r")
     nodes = member.groupBy("node").agg(first_row).select("node", F.col("r.doc_id").alias("w_doc_id"), F.col("r.tkey").alias("w_tkey"), "r.size", *(f"r.{o}" for o in _ODD), "r.fine")
@@ -266,11 +277,11 @@ def jaccard_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
     pivots = _pivots(shared, num, den)
     first = shared.join(pivots, "token").where("node <> pivot").select(*_pair("node", "pivot")).distinct()
     first = first.join(_side(coarse, "a"), "a").join(_side(coarse, "b"), "b").where(_may_be_similar("a_", "b_", num, den)).select("a", "b")
-    near = pin(_verified(first, nodes, docs, n, salt, num, den))
+    near = stored(_verified(first, nodes, docs, n, salt, num, den), "jaccard-near")
     group = pin(components(near))
 
     # What shares a shingle with another component than its own.
-    known = shared.select("token", "node", "place").distinct().join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = shared.select("token", "node", "place").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_tokens = known.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
     rest = stored(known.join(open_tokens, "token").join(coarse, "node"), "jaccard-open")
     fields = ("node", "size", "place", "component", *_ODD)
@@ -285,10 +296,10 @@ def jaccard_groups(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
         (x["token"] == y["token"]) & ordered & (F.col("x_component") != F.col("y_component")) & can_reach & _may_be_similar("x_", "y_", num, den),
     ).select(*_pair("x_node", "y_node")).distinct()
     links = near.union(_verified(second, nodes, docs, n, salt, num, den))
-    of = components(pin(links))
+    of = components(stored(links, "jaccard-links"))
 
-    named = per.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = pin(named)
+    named = per.select("doc_id", "tkey", "n_shingles", "node").join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = stored(named, "jaccard-named")
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return named.join(least, "component", "left").select(
         "doc_id", "tkey", "n_shingles", "node", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

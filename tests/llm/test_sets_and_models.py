@@ -104,6 +104,32 @@ def test_filters_lose_no_similar_pair(spark):
         assert np.abs(np.frombuffer(fx, "<u2").astype(int) - np.frombuffer(fy, "<u2").astype(int)).sum() <= allowed
 
 
+def test_shingles_met_in_sets_of_other_sizes_only_are_left_out(spark, monkeypatch):
+    """A short text in front of a long one that many share: rare shingles meet, but no sets of similar sizes."""
+    kept = {}
+
+    def stored(df, name):
+        kept[name] = df, common.stored(df, name)
+        return kept[name][1]
+
+    monkeypatch.setattr(J, "stored", stored)
+    body = " ".join(f"b{k}" for k in range(200))
+    rows = []
+    for i in range(30):
+        head = " ".join(f"h{i}x{k}" for k in range(30))
+        rows += [(2 * i, head), (2 * i + 1, f"{head} {body}")]
+    rows.append((100, "h0x0 changed " + rows[1][1]))
+    got = J.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=repr) == plain_groups(rows)
+    plan, shared = kept["jaccard-shared"]
+    sizes = {r["size"] for r in shared.select("size").distinct().collect()}
+    # The one pair of similar sizes is there, the thirty short texts are not.
+    assert sizes == {228, 230} and shared.select("node").distinct().count() == 2
+    # The texts are read once for them, and a node has one row for a shingle.
+    assert plan._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert shared.count() == shared.select("token", "node").distinct().count()
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 120)] + [(200, 201), (201, 200), (300, 300)]
     got = components(spark.createDataFrame(links, "a long, b long"))
