@@ -45,6 +45,22 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     return scan.repartition(2 * cores, key) if scan.rdd.getNumPartitions() < 4 * cores else scan
 
 
+# Bytes of a method beyond which the JVM leaves it interpreted, for as long as it runs.
+COMPILED = 8_000
+
+
+def small_methods(df: DataFrame) -> DataFrame:
+    """df, after lowering the session's limit for the methods of generated code to the JVM's where it is larger.
+
+    A projection of many columns can become one method of more bytes than that; with the limit Spark takes its projections in parts,
+    which are compiled. It is read when a plan runs, so it stays lowered.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.codegen.hugeMethodLimit")) > COMPILED:
+        conf.set("spark.sql.codegen.hugeMethodLimit", COMPILED)
+    return df
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Computes df once into reliable storage, so that every later use sees the same rows."""
     spark = df.sparkSession

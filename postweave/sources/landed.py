@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postweave.functions import jsonval as J
 from postweave.functions.text import blank, stable_uuid, strip
+from postweave.session import small_methods
 
 # Places on a page are 32-bit numbers, so this many bits hold every place of every page.
 PLACE_BITS = 31
@@ -34,7 +35,7 @@ def _raw(rows: DataFrame, source: str, external_id: Column, text: Column, url: C
 def _items(pages: DataFrame, path: str) -> DataFrame:
     """One row per element of the JSON array at path; pages that are no JSON or lack it give none."""
     v = F.try_variant_get(F.try_parse_json("payload"), path, "array<variant>")
-    return pages.select("page_seq", "unit", "query", "fetched_at", F.posexplode(v).alias("pos", "v")).select(
+    return small_methods(pages).select("page_seq", "unit", "query", "fetched_at", F.posexplode(v).alias("pos", "v")).select(
         arrival(F.col("page_seq"), F.col("pos")).alias("seq"), "unit", "query", "fetched_at", "v"
     )
 

@@ -56,3 +56,17 @@ def test_folders_without_files_and_unknown_sources(spark, tmp_path):
     assert raw_of_folders(spark, {"workable": str(tmp_path / "w")}, stream=False).count() == 0
     with pytest.raises(ValueError):
         raw_of_folders(spark, {"elsewhere": str(tmp_path / "w")})
+
+
+def test_methods_of_a_stream_are_small_enough_to_be_compiled(spark, tmp_path):
+    """The JVM never compiles a method of more than 8,000 bytes; the board's projection was one of them."""
+    land(tmp_path / "workable", "a", [(0, workable("a", "b"))])
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(limit)
+    rows = raw_of_folders(spark, {"workable": str(tmp_path / "workable")}, stream=False)
+    assert int(spark.conf.get(limit)) == 8000
+    assert sorted(r.external_id for r in rows.collect()) == ["a", "b"]
+    spark.conf.set(limit, 4000)
+    raw_of_folders(spark, {"workable": str(tmp_path / "workable")}, stream=False)
+    assert int(spark.conf.get(limit)) == 4000
+    spark.conf.unset(limit)
